@@ -26,13 +26,13 @@ def read_csv(
     columns: Sequence[str] | None = None,
     multiline: bool = False,
     corrupt_column: str | None = None,
-    base_path: str | None = None,
+    folder_key: str | None = None,
 ) -> DataFrame:
     """All-text scan of CSV files that share one header.
 
     ``columns`` spares Spark the look at the first file. ``corrupt_column`` keeps the
-    whole text of a line with too few or too many fields. ``base_path`` also reads the
-    ``key=value`` folders below it as text columns.
+    whole text of a line with too few or too many fields. ``folder_key`` takes a column
+    from its ``key=value`` folder where the files themselves do not have it.
     """
     reader = (
         spark.read.option("header", True)
@@ -47,24 +47,21 @@ def read_csv(
         if columns is None:
             raise ValueError("a corrupt-line column needs the declared columns")
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-    if base_path:
-        reader = reader.option("basePath", base_path)
     df = reader.csv(paths if isinstance(paths, str) else list(paths))
-    folder_keys = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.StringType)]
-    return df.withColumns({c: F.col(c).cast("string") for c in folder_keys}) if folder_keys else df
+    if folder_key is None or folder_key in df.columns:
+        return df
+    value = F.regexp_extract(F.col("_metadata.file_path"), f"/{folder_key}=([^/]*)/", 1)
+    return df.withColumn(folder_key, F.nullif(value, F.lit("")))
 
 
-def file_headers(
-    spark: SparkSession, paths: str | Sequence[str], first_column: str, base_path: str | None = None
-) -> DataFrame:
+def file_headers(spark: SparkSession, paths: str | Sequence[str], first_column: str) -> DataFrame:
     """Path and header line of every file.
 
     A header is the line that starts with the declared first column; the lines are searched
     by the executors, so the driver opens no file.
     """
-    reader = spark.read.option("basePath", base_path) if base_path else spark.read
     try:
-        lines = reader.text(paths if isinstance(paths, str) else list(paths))
+        lines = spark.read.text(paths if isinstance(paths, str) else list(paths))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise NoFilesFound(f"no file matches {paths}") from error
@@ -86,14 +83,14 @@ def read_drifting_csv(
     paths: str | Sequence[str],
     first_column: str,
     multiline: bool = False,
-    base_path: str | None = None,
+    folder_key: str | None = None,
 ) -> DataFrame:
     """All-text scan of files whose columns changed over time, matched by name.
 
     Files are grouped by header and read once per header, so the plan grows with the number
     of schema versions, not of files. The driver holds file paths, as it does for any scan.
     """
-    headers = file_headers(spark, paths, first_column, base_path)
+    headers = file_headers(spark, paths, first_column)
     versions = (
         headers.groupBy("header")
         .agg(F.sort_array(F.collect_list("file_path")).alias("paths"))
@@ -108,7 +105,7 @@ def read_drifting_csv(
         columns = tuple(header_columns(version.header))
         by_columns.setdefault(columns, []).extend(unquote(p) for p in version.paths)
     scans = [
-        read_csv(spark, files, columns, multiline, base_path=base_path)
+        read_csv(spark, files, columns, multiline, folder_key=folder_key)
         for columns, files in by_columns.items()
     ]
     return union_by_name(scans)

@@ -23,14 +23,19 @@ class Source:
     def landing_table(self) -> str:
         return f"{self.name}_raw"
 
+    @property
+    def folder_key(self) -> str | None:
+        """The column that names the daily folders, if the source has any."""
+        return self.pattern.split("=")[0] if "=" in self.pattern else None
+
     def path(self, base: str) -> str:
         return f"{base.rstrip('/')}/{self.name}/{self.pattern}"
 
     def read(self, spark: SparkSession, paths: str | list[str]) -> DataFrame:
         """Text rows of the source; only a drifting source pays for the look at headers."""
         if self.drifting:
-            return read_drifting_csv(spark, paths, self.first_column, self.multiline)
-        return read_csv(spark, paths, multiline=self.multiline)
+            return read_drifting_csv(spark, paths, self.first_column, self.multiline, self.folder_key)
+        return read_csv(spark, paths, multiline=self.multiline, folder_key=self.folder_key)
 
 
 # The layout of the raw area.
