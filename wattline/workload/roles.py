@@ -428,7 +428,7 @@ def raw_outages(spark: SparkSession, sf: str) -> DataFrame:
             .when(F.col("affected_customers") % 71 == 0, F.lit(None))
             .otherwise(F.col("severity")),
             "outage_start_timestamp": every(
-                "n", 47, F.lit("then"), F.date_format("outage_start_timestamp", "yyyy-MM-dd HH:mm:ss")
+                "affected_customers", 47, F.lit("then"), F.date_format("outage_start_timestamp", "yyyy-MM-dd HH:mm:ss")
             ),
             "outage_end_timestamp": F.when(F.col("affected_customers") % 37 == 0, "1990-01-01 00:00:00").otherwise(
                 F.date_format("outage_end_timestamp", "yyyy-MM-dd HH:mm:ss")
