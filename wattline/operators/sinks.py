@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from wattline.operators.incremental import require_unique, upsert
 from wattline.operators.skew import BROADCAST_ROWS
+from wattline.session import shared_folder
 
 FULL, INCREMENTAL = "full", "incremental"
 
@@ -84,8 +86,9 @@ def replace_partitions(
     """Upsert into a partitioned table, rewriting only partitions the batch touches.
 
     Touched are the partitions of the batch and those that hold an older row of one of its
-    keys. Their names are read to the driver: one value per day, never per row. Running the
-    same batch again gives the same table.
+    keys. Their names are read to the driver: one value per day, never per row. The new
+    content is written to the shared folder first, so the table is not read while it is
+    overwritten. Running the same batch again gives the same table.
     """
     names = [keys] if isinstance(keys, str) else list(keys)
     require_unique(batch, names)
@@ -112,19 +115,30 @@ def replace_partitions(
         in_touched = in_touched | F.col(partition).isNull()
 
     merged = upsert(target.filter(in_touched), _aligned(batch, target), names, broadcast_rows)
-    left = {row[0] for row in merged.select(partition).distinct().collect()}
-    (
-        merged.select(*target.columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table, overwrite=True)
-    )
+    staging = shared_folder(spark, "upsert")
+    merged.select(*target.columns).write.parquet(staging)
+    staged = spark.read.schema(target.schema).parquet(staging)
+    left = {row[0] for row in staged.select(partition).distinct().collect()}
+    with _dynamic_overwrite(spark):
+        staged.write.insertInto(table, overwrite=True)
     for value in touched - left:
         spec = f"{partition} = {'NULL' if value is None else repr(str(value))}"
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
     spark.catalog.refreshTable(table)
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Overwrite only partitions that receive rows, for the statements inside."""
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def _aligned(batch: DataFrame, target: DataFrame) -> DataFrame:
     return batch.select(
         *[

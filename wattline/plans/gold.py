@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattline.operators.checks import check_report, require_passed
+from wattline.operators.checks import check_report, freshness, require_passed
 from wattline.operators.incremental import newer_rows
 from wattline.operators.scd import HIDDEN_COLUMNS, HISTORIES, apply_snapshot, versioned_dimension
 from wattline.operators.sinks import publish, replace_partitions
@@ -15,6 +15,7 @@ from wattline.plans import dimensions, facts, marts
 from wattline.plans.build import Build
 from wattline.plans.model_checks import HISTORY_CHECKS, MODEL_CHECKS, STAGING_CHECKS
 from wattline.plans.staging import STAGING, stage
+from wattline.sources.registry import SOURCE_CHECKS
 
 REGION_SOURCES = (
     "stg_customers",
@@ -123,10 +124,19 @@ class Gold:
 
     def check(self) -> DataFrame:
         """The report over all declared checks of this run's tables."""
-        wanted = [*STAGING_CHECKS, *MODEL_CHECKS, *HISTORY_CHECKS]
+        wanted = [*SOURCE_CHECKS, *STAGING_CHECKS, *MODEL_CHECKS, *HISTORY_CHECKS]
         names = dict.fromkeys(name for c in wanted for name in (c.table, c.parent) if name)
-        tables = {n: self.staged(n) if n.startswith("stg_") else self.table(n) for n in names}
-        return check_report(tables, wanted)
+        return check_report({n: self._named(n) for n in names}, wanted)
+
+    def _named(self, name: str) -> DataFrame:
+        if name.endswith("_clean"):
+            return self.spark.table(f"{self.silver}.{name}")
+        return self.staged(name) if name.startswith("stg_") else self.table(name)
+
+    def freshness(self) -> DataFrame:
+        """Age of every validated source at the time of this run."""
+        tables = {m.source: self._named(f"{m.source}_clean") for m in STAGING.values()}
+        return freshness(tables, "silver_processed_at_utc", self.run.as_of)
 
 
 def build_gold(
