@@ -46,7 +46,8 @@ def read_csv(
     if corrupt_column:
         if columns is None:
             raise ValueError("a corrupt-line column needs the declared columns")
-        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+        # A pruned scan would not notice a missing or extra field in columns nobody asked for.
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column).option("columnPruning", False)
     df = reader.csv(paths if isinstance(paths, str) else list(paths))
     if folder_key is None or folder_key in df.columns:
         return df
@@ -66,7 +67,7 @@ def file_headers(spark: SparkSession, paths: str | Sequence[str], first_column:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise NoFilesFound(f"no file matches {paths}") from error
         raise
-    first = F.trim(F.regexp_replace(F.split_part("value", F.lit(","), F.lit(1)), '^﻿|"', ""))
+    first = F.trim(F.regexp_replace(F.split_part("value", F.lit(","), F.lit(1)), '^\ufeff|"', ""))
     return (
         lines.filter(F.col("value").contains(first_column) & (first == first_column))
         .select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("header"))
@@ -75,7 +76,7 @@ def file_headers(spark: SparkSession, paths: str | Sequence[str], first_column:
 
 
 def header_columns(header: str) -> list[str]:
-    return [name.strip() for name in next(csv.reader([header.lstrip("﻿")]))]
+    return [name.strip() for name in next(csv.reader([header.lstrip("\ufeff")]))]
 
 
 def read_drifting_csv(
@@ -156,7 +157,7 @@ def file_manifest(
 ) -> DataFrame:
     """One row per file: its rows, its columns and whether it has the later columns."""
     headers = file_headers(spark, paths, first_column)
-    names = F.split("header", ",")
+    names = F.transform(F.split("header", ","), lambda name: F.trim(F.regexp_replace(name, '^\ufeff|"', "")))
     described = headers.select(
         "file_path",
         F.size(names).alias("column_count"),
