@@ -87,6 +87,12 @@ def test_hot_keys_are_bounded(spark):
     assert hot_keys(df, ["id"], floor=1, limit=4) is None
 
 
+def test_hot_keys_are_found_in_a_sample(spark):
+    ids = spark.range(400_000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) as id")
+    assert rows(hot_keys(ids, ["id"], floor=100_000)) == [("hot",)]
+    assert hot_keys(ids, ["id"], floor=200_000) is None
+
+
 def test_latest_rows_keep_one_per_key_and_all_without(spark):
     data = [("a", T0, 1), ("a", T0 + timedelta(1), 2), (None, T0, 3), (None, T0, 4)]
     assert rows(latest_rows(make(spark, data), "id", "at", ("n",)), "id", "n") == [("a", 2), (None, 3), (None, 4)]

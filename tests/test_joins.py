@@ -56,3 +56,14 @@ def test_join_on_two_columns(spark):
     for broadcast_rows in (10, 0):
         joined = lookup_join(left, right, ["x", "y"], broadcast_rows)
         assert rows(joined, "n", "v") == [(5, "hit"), (6, None), (7, None)]
+
+
+def test_settled_rows_are_spread_and_the_input_is_read_once(spark, facts, lookup):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lookup_join(facts, lookup, "k", 0, hot_rows=50)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(_spread#" in plan
+    assert plan.count("Scan ExistingRDD[n#") == 1

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 # A key is hot when it has more rows than one task should sort or join.
 HOT_GROUP_ROWS = 1_000_000
+SAMPLED_ROWS_OF_A_HOT_KEY = 10_000
 # At most this many keys can be hot, because a hot key also holds at least 1/limit of all rows.
 HOT_KEY_LIMIT = 10_000
 
@@ -38,15 +39,25 @@ def hot_keys(
     floor: int = HOT_GROUP_ROWS,
     limit: int = HOT_KEY_LIMIT,
 ) -> DataFrame | None:
-    """The keys too large for one task, or None. Never more than ``limit`` rows."""
-    counts = df.filter(all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    """The keys too large for one task, or None. Always fewer than ``limit`` rows.
+
+    The list is fetched once, so all uses in a plan agree on it. Only the key columns are read. Against a large floor the counts come from a sample, in
+    which a key at the floor still has some ten thousand rows and cannot be missed. The
+    counts decide which plan runs; every row goes through that plan.
+    """
+    fraction = min(1.0, SAMPLED_ROWS_OF_A_HOT_KEY / floor)
+    key_rows = df.filter(all_present(keys)).select(*keys)
+    if fraction < 1.0:
+        key_rows = key_rows.sample(fraction, seed=7)
+    counts = key_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total, largest = counts.agg(F.sum("_rows"), F.max("_rows")).first()
     if not total:
         return None
-    threshold = max(floor, total // limit)
+    threshold = max(floor * fraction * (1.0 if fraction == 1.0 else 0.9), total / limit)
     if largest <= threshold:
         return None
-    return counts.filter(F.col("_rows") > threshold).select(*keys)
+    found = counts.filter(F.col("_rows") > threshold).select(*keys)
+    return df.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
 def lookup_join(
@@ -55,40 +66,60 @@ def lookup_join(
     on: str | Sequence[str],
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_GROUP_ROWS,
+    lookup_rows: int | None = None,
 ) -> DataFrame:
     """Left join to a table with one row per key, without sending a hot key to one task.
 
     * A short lookup (counted first) is broadcast, so ``rows`` is not shuffled at all.
-    * Against a long lookup, rows with a null key bypass the join, and rows of hot keys
-      join the few lookup rows of those keys by broadcast; only the rest is shuffled.
+    * Against a long lookup, hot keys get their values from a broadcast of just those keys.
+      Their rows, and rows without a key, then need no partner: they are spread by their
+      content over all tasks, while the other rows are shuffled to their key.
+
+    ``rows`` is read once in either case. ``lookup_rows`` gives a row count that was measured
+    already, for instance that of the saved table from which the lookup is derived row by row.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if lookup.count() <= broadcast_rows:
-        return rows.join(F.broadcast(lookup), keys, "left").select(*_result_columns(rows, lookup, keys))
-
-    added = [f for f in lookup.schema.fields if f.name not in keys]
-    present = all_present(keys)
-    unmatched = rows.filter(~present).withColumns({f.name: F.lit(None).cast(f.dataType) for f in added})
-    keyed = rows.filter(present)
+    added = [c for c in lookup.columns if c not in keys]
+    names = [*rows.columns, *added]
+    if rows.isStreaming:
+        # A stream cannot be measured ahead; its batches join as Spark plans them.
+        return rows.join(lookup, keys, "left").select(*names)
+    if (lookup.count() if lookup_rows is None else lookup_rows) <= broadcast_rows:
+        return rows.join(F.broadcast(lookup), keys, "left").select(*names)
+
+    settled = ~all_present(keys)
     hot = hot_keys(rows, keys, floor=hot_rows)
-    if hot is None:
-        parts = [keyed.join(lookup, keys, "left"), unmatched]
-    else:
-        hot_lookup = lookup.join(F.broadcast(hot), keys, "left_semi")
-        parts = [
-            keyed.join(F.broadcast(hot), keys, "left_anti").join(lookup, keys, "left"),
-            keyed.join(F.broadcast(hot), keys, "left_semi").join(broadcast_within(hot_lookup), keys, "left"),
-            unmatched,
-        ]
-    names = _result_columns(rows, lookup, keys)
-    result = parts[0].select(*names)
-    for part in parts[1:]:
-        result = result.unionByName(part.select(*names))
-    return result
-
-
-def _result_columns(rows: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> list[str]:
-    return [*rows.columns, *[c for c in lookup.columns if c not in keys]]
+    wide = rows
+    if hot is not None:
+        values = lookup.join(F.broadcast(hot), keys, "left_semi")
+        answers = hot.join(values, keys, "left").select(
+            *keys, *[F.col(c).alias(f"_hot_{c}") for c in added], F.lit(True).alias("_hot")
+        )
+        wide = rows.join(broadcast_within(answers), keys, "left")
+        settled = settled | F.col("_hot").isNotNull()
+
+    # Lookup rows all have spread 0. It is computed from the key, so that it stays a join
+    # column and with it part of the shuffle.
+    spread = F.when(settled, F.xxhash64(*[F.col(c) for c in rows.columns])).otherwise(F.lit(0))
+    side = wide.withColumns(
+        {"_spread": spread, **{f"_on_{i}": F.when(~settled, F.col(k)) for i, k in enumerate(keys)}}
+    )
+    partner = lookup.filter(all_present(keys)).select(
+        *[F.col(k).alias(f"_to_{i}") for i, k in enumerate(keys)],
+        F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(1)).alias("_zero"),
+        *[F.col(c).alias(f"_new_{c}") for c in added],
+    )
+    match = F.col("_spread") == F.col("_zero")
+    for i in range(len(keys)):
+        match = match & (F.col(f"_on_{i}") == F.col(f"_to_{i}"))
+    joined = side.join(partner, match, "left")
+
+    def value(name: str) -> Column:
+        if hot is None:
+            return F.col(f"_new_{name}").alias(name)
+        return F.when(F.col("_hot"), F.col(f"_hot_{name}")).otherwise(F.col(f"_new_{name}")).alias(name)
+
+    return joined.select(*rows.columns, *[value(c) for c in added])
 
 
 def flag_unknown_keys(
@@ -100,6 +131,9 @@ def flag_unknown_keys(
     hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Flag rows whose key is set but absent from the reference table. Null keys pass."""
-    known = reference.select(on).filter(F.col(on).isNotNull()).distinct().withColumn("_known", F.lit(True))
-    joined = lookup_join(df, known, on, broadcast_rows, hot_rows)
+    keys = reference.select(on)
+    # Counting with repeats avoids a shuffle and can only overstate the distinct keys.
+    found = keys.count()
+    known = keys.filter(F.col(on).isNotNull()).distinct().withColumn("_known", F.lit(True))
+    joined = lookup_join(df, known, on, broadcast_rows, hot_rows, lookup_rows=found)
     return joined.withColumn(flag, F.col(on).isNotNull() & F.col("_known").isNull()).drop("_known")

@@ -701,7 +701,8 @@ def dim_date(spark, sf):
 
 
 def region_and_date(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    regions = dimensions.dim_regions([roles.nation_regions(spark, sf, "key")], RUN)
+    names = roles.load(spark, sf, "region").select(F.col("r_name").alias("region"))
+    regions = dimensions.dim_regions([names], RUN)
     return regions, dimensions.dim_date(spark, RUN, *reading_days(spark, sf))
 
 
@@ -1282,8 +1283,7 @@ def stream_daily_usage(spark, sf):
     folder = shared_folder(spark, "usage-stream")
     schema = roles.load(spark, sf, "events").schema
     events = spark.readStream.schema(schema).parquet(f"{sf}/events*.parquet")
-    regions = roles.customer_regions(spark, sf, "user_id")
-    readings = events.join(regions, "user_id", "left").select(
+    readings = roles.with_region(spark, sf, events, "user_id").select(
         F.concat(F.lit("R"), F.col("event_id").cast("string")).alias("reading_id"),
         F.concat(F.lit("M"), F.col("user_id").cast("string")).alias("meter_id"),
         F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("customer_id"),

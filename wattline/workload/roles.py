@@ -23,8 +23,24 @@ RUN = Build(run_id="run-1", as_of=AS_OF, environment="test")
 ORDER_SHIFT_DAYS = 9861
 
 
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def load(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A table by its declared schema, so that no job runs to find the columns."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def text(value: Column) -> Column:
@@ -40,16 +56,19 @@ def identifier(prefix: str, key: str | Column) -> Column:
     return F.concat(F.lit(prefix), text(F.col(key) if isinstance(key, str) else key))
 
 
-def nation_regions(spark: SparkSession, sf: str, key: str) -> DataFrame:
+def with_nation(spark: SparkSession, sf: str, rows: DataFrame, key: str) -> DataFrame:
+    """Add nation and region names; both tables are short by nature and broadcast by size."""
     nation, region = load(spark, sf, "nation"), load(spark, sf, "region")
     named = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    return named.select(F.col("n_nationkey").alias(key), "n_name", F.col("r_name").alias("region"))
+    places = named.select(F.col("n_nationkey").alias(key), "n_name", F.col("r_name").alias("region"))
+    return rows.join(places, key, "left")
 
 
-def customer_regions(spark: SparkSession, sf: str, key: str) -> DataFrame:
+def with_region(spark: SparkSession, sf: str, rows: DataFrame, key: str) -> DataFrame:
+    """Add the region of the customer with the given number."""
     customer = load(spark, sf, "customer").select(F.col("c_custkey").alias(key), "c_nationkey")
-    placed = lookup_join(customer, nation_regions(spark, sf, "c_nationkey"), "c_nationkey")
-    return placed.select(key, "region")
+    homes = with_nation(spark, sf, customer, "c_nationkey").select(key, "region")
+    return lookup_join(rows, homes, key, lookup_rows=customer.count())
 
 
 def lineage(df: DataFrame, file: str) -> DataFrame:
@@ -70,7 +89,7 @@ def lineage(df: DataFrame, file: str) -> DataFrame:
 
 def readings(spark: SparkSession, sf: str) -> DataFrame:
     """Readings with known ids; values over 100 kWh are still in."""
-    events = lookup_join(load(spark, sf, "events"), customer_regions(spark, sf, "user_id"), "user_id")
+    events = with_region(spark, sf, load(spark, sf, "events"), "user_id")
     late = F.col("event_id") % 100 == 0
     return lineage(
         events.select(
@@ -96,9 +115,7 @@ def readings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf: str) -> DataFrame:
-    named = lookup_join(
-        load(spark, sf, "customer"), nation_regions(spark, sf, "c_nationkey"), "c_nationkey"
-    )
+    named = with_nation(spark, sf, load(spark, sf, "customer"), "c_nationkey")
     return lineage(
         named.select(
             identifier("C", "c_custkey").alias("customer_id"),
@@ -142,9 +159,7 @@ def tariffs(spark: SparkSession, sf: str) -> DataFrame:
 
 def meters(spark: SparkSession, sf: str) -> DataFrame:
     """One meter per supplier; its owner is the customer of the same number."""
-    placed = lookup_join(
-        load(spark, sf, "supplier"), customer_regions(spark, sf, "s_suppkey"), "s_suppkey"
-    )
+    placed = with_region(spark, sf, load(spark, sf, "supplier"), "s_suppkey")
     return lineage(
         placed.select(
             identifier("M", "s_suppkey").alias("meter_id"),
@@ -175,9 +190,7 @@ def payment_method(priority: str) -> Column:
 
 
 def billing(spark: SparkSession, sf: str) -> DataFrame:
-    orders = lookup_join(
-        load(spark, sf, "orders"), customer_regions(spark, sf, "o_custkey"), "o_custkey"
-    ).withColumn("day", F.date_add(F.col("o_orderdate").cast("date"), ORDER_SHIFT_DAYS))
+    orders = with_region(spark, sf, load(spark, sf, "orders"), "o_custkey").withColumn("day", F.date_add(F.col("o_orderdate").cast("date"), ORDER_SHIFT_DAYS))
     status = payment_status("o_orderstatus")
     return lineage(
         orders.select(
@@ -205,9 +218,7 @@ def billing(spark: SparkSession, sf: str) -> DataFrame:
 
 def weather(spark: SparkSession, sf: str) -> DataFrame:
     """One made-up weather row per billing day and region, from that day's order keys."""
-    orders = lookup_join(
-        load(spark, sf, "orders"), customer_regions(spark, sf, "o_custkey"), "o_custkey"
-    )
+    orders = with_region(spark, sf, load(spark, sf, "orders"), "o_custkey")
     days = (
         orders.groupBy(
             F.date_add(F.col("o_orderdate").cast("date"), ORDER_SHIFT_DAYS).alias("weather_date"), "region"
@@ -246,8 +257,10 @@ def outages(spark: SparkSession, sf: str) -> DataFrame:
 
 def numbered_outages(spark: SparkSession, sf: str) -> DataFrame:
     supplier = load(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    placed = lookup_join(supplier, nation_regions(spark, sf, "s_nationkey"), "s_nationkey")
-    lines = lookup_join(load(spark, sf, "lineitem"), placed.select("l_suppkey", "region"), "l_suppkey")
+    placed = with_nation(spark, sf, supplier, "s_nationkey").select("l_suppkey", "region")
+    lines = lookup_join(
+        load(spark, sf, "lineitem"), placed, "l_suppkey", lookup_rows=supplier.count()
+    )
     minutes = F.col("l_quantity") * 30
     start = F.col("l_shipdate").cast("timestamp")
     kinds = F.array(
