@@ -79,6 +79,20 @@ def test_partition_upsert_handles_null_partitions_and_new_columns(spark):
     assert rows(spark.table(table), "id", "n", "extra", "day") == [("a", 2, "x", D1), ("b", 1, None, D1)]
 
 
+def test_partition_upsert_drops_vanished_columns(spark):
+    table = "sinks.narrower"
+    replace_partitions(spark, table, batch(spark, ("a", 1, D1), ("b", 1, D2)), "id", "day")
+    replace_partitions(spark, table, batch(spark, ("a", 2, D2)).drop("n"), "id", "day")
+    assert spark.table(table).columns == ["id", "day"]
+    assert rows(spark.table(table)) == [("a", D2), ("b", D2)]
+
+
+def test_schema_can_have_its_own_folder(spark, tmp_path):
+    create_schemas(spark, "placed", location=str(tmp_path))
+    land_table(batch(spark, ("a", 1, D1)), "placed.t", "full")
+    assert (tmp_path / "placed" / "t").is_dir()
+
+
 def test_partition_upsert_rejects_repeated_keys(spark):
     with pytest.raises(ValueError, match="repeats key"):
         replace_partitions(spark, "sinks.rep", batch(spark, ("a", 1, D1), ("a", 2, D1)), "id", "day")

@@ -17,9 +17,11 @@ from wattline.session import shared_folder
 FULL, INCREMENTAL = "full", "incremental"
 
 
-def create_schemas(spark: SparkSession, *names: str) -> None:
+def create_schemas(spark: SparkSession, *names: str, location: str | None = None) -> None:
+    """Create missing schemas, each in a folder of its own if a location is given."""
     for name in names:
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
+        place = f" LOCATION '{location}/{name}'" if location else ""
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{place}")
 
 
 def create_table(spark: SparkSession, name: str, columns: str) -> None:
@@ -88,12 +90,22 @@ def replace_partitions(
     Touched are the partitions of the batch and those that hold an older row of one of its
     keys. Their names are read to the driver: one value per day, never per row. The new
     content is written to the shared folder first, so the table is not read while it is
-    overwritten. Running the same batch again gives the same table.
+    overwritten; it is rebalanced by partition there, which keeps files few and splits a
+    large day. Running the same batch again gives the same table.
+
+    Columns follow the batch: new ones are added to the table; when one has vanished, the
+    table is rebuilt without it, which reads all partitions.
     """
     names = [keys] if isinstance(keys, str) else list(keys)
     require_unique(batch, names)
     if not spark.catalog.tableExists(table):
-        save_table(batch, table, "errorifexists", [partition])
+        save_table(batch.hint("rebalance", partition), table, "errorifexists", [partition])
+        return
+    if set(spark.table(table).columns) - set(batch.columns):
+        whole = shared_folder(spark, "rebuild")
+        rebuilt = upsert(spark.table(table), batch, names, broadcast_rows)
+        rebuilt.hint("rebalance", partition).write.parquet(whole)
+        save_table(spark.read.schema(batch.schema).parquet(whole), table, "overwrite", [partition])
         return
     added = [f for f in batch.schema.fields if f.name not in spark.table(table).columns]
     if added:
@@ -116,7 +128,7 @@ def replace_partitions(
 
     merged = upsert(target.filter(in_touched), _aligned(batch, target), names, broadcast_rows)
     staging = shared_folder(spark, "upsert")
-    merged.select(*target.columns).write.parquet(staging)
+    merged.select(*target.columns).hint("rebalance", partition).write.parquet(staging)
     staged = spark.read.schema(target.schema).parquet(staging)
     left = {row[0] for row in staged.select(partition).distinct().collect()}
     with _dynamic_overwrite(spark):

@@ -26,7 +26,7 @@ class Source:
     @property
     def folder_key(self) -> str | None:
         """The column that names the daily folders, if the source has any."""
-        return self.pattern.split("=")[0] if "=" in self.pattern else None
+        return self.pattern.split("=")[0].split("/")[-1] if "=" in self.pattern else None
 
     def path(self, base: str) -> str:
         return f"{base.rstrip('/')}/{self.name}/{self.pattern}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -19,7 +20,17 @@ from wattline.functions import (
 from wattline.operators import checks, incremental, rulesets, scd
 from wattline.operators.dedup import distinct_rows, flag_duplicates, latest_rows
 from wattline.operators.rules import NULL_DROPS, NULL_PASSES, RuleSet
-from wattline.operators.sinks import source_metadata, write_daily_csv
+from wattline.operators.audit import VALIDATION_AUDIT, audit_of_run, create_audit_tables
+from wattline.operators.sinks import (
+    FULL,
+    INCREMENTAL,
+    create_schemas,
+    land_table,
+    publish,
+    replace_partitions,
+    source_metadata,
+    write_daily_csv,
+)
 from wattline.operators.skew import flag_unknown_keys
 from wattline.operators.validate import (
     billing_profile,
@@ -38,7 +49,10 @@ from wattline.plans.billing import billable, billing_charges
 from wattline.plans.landing import lineage_columns
 from wattline.plans.staging import stage
 from wattline.session import prepare, shared_folder
-from wattline.sources.csv import file_manifest, read_drifting_csv, union_by_name
+from wattline.plans.validation import validate_source
+from wattline.sources.csv import file_manifest, list_files, union_by_name, unseen_files
+from wattline.sources.registry import Source
+from wattline.streaming.ingest import ingest_new_files, read_ingested
 from wattline.streaming.usage import run_usage_stream, streamed_daily_usage
 from wattline.workload import oracle, roles
 from wattline.workload.oracle import AS_OF as NOW
@@ -1170,14 +1184,17 @@ def table_counts(spark, sf):
 
 DRIFT_COLUMNS = ("firmware_version", "signal_strength_dbm")
 _DRIFT_DAY = date(2024, 1, 16)
+EVENT_FILES = Source("events", "*/reading_date=*/*.csv", INCREMENTAL, "event_id", drifting=True)
 
 
 def daily_files(spark: SparkSession, sf: str) -> str:
     """The events as daily CSV files; two columns appear in the middle from a later day on.
 
-    The files are derived by Spark from the events and written to the shared folder.
+    The files are derived by Spark from the events and written below a new shared folder,
+    which is returned.
     """
-    folder = shared_folder(spark, "daily-files")
+    base = shared_folder(spark, "daily-files")
+    folder = f"{base}/{EVENT_FILES.name}"
     events = roles.load(spark, sf, "events").select(
         "event_id",
         F.col("ts").cast("date").alias("reading_date"),
@@ -1190,7 +1207,7 @@ def daily_files(spark: SparkSession, sf: str) -> str:
     early = named.filter(F.col("reading_date") < F.lit(_DRIFT_DAY)).drop(*DRIFT_COLUMNS)
     write_daily_csv(early, f"{folder}/early", "reading_date")
     write_daily_csv(named.filter(F.col("reading_date") >= F.lit(_DRIFT_DAY)), f"{folder}/late", "reading_date")
-    return f"{folder}/*/reading_date=*/*.csv"
+    return base
 
 
 def identifier_of(prefix: str, parts: int):
@@ -1207,7 +1224,7 @@ def identifier_of(prefix: str, parts: int):
       cast(cast(ts as date) as varchar) as reading_date from events""",
 )
 def drift_union(spark, sf):
-    rows = read_drifting_csv(spark, daily_files(spark, sf), "event_id", folder_key="reading_date")
+    rows = EVENT_FILES.read(spark, EVENT_FILES.path(daily_files(spark, sf)))
     return rows.select(
         "event_id",
         "user_id",
@@ -1231,7 +1248,9 @@ def drift_union(spark, sf):
 )
 def manifest(spark, sf):
     """One row per file, summed per day because Spark may split a day over several files."""
-    files = file_manifest(spark, daily_files(spark, sf), "meter_readings", "event_id", DRIFT_COLUMNS)
+    files = file_manifest(
+        spark, EVENT_FILES.path(daily_files(spark, sf)), "meter_readings", "event_id", DRIFT_COLUMNS
+    )
     return files.groupBy("source_name", "event_date", "schema_drift_applied", "columns").agg(
         F.sum("record_count").cast("bigint").alias("record_count"),
         F.max("column_count").cast("bigint").alias("column_count"),
@@ -1245,7 +1264,7 @@ def manifest(spark, sf):
     where (select count(*) from events) > 0""",
 )
 def schema_drift(spark, sf):
-    rows = read_drifting_csv(spark, daily_files(spark, sf), "event_id")
+    rows = EVENT_FILES.read(spark, EVENT_FILES.path(daily_files(spark, sf)))
     return drift_profile(rows, ["event_type", *DRIFT_COLUMNS, "meter_reading_quality_code"])
 
 
@@ -1266,9 +1285,131 @@ def named_union(spark, sf):
     return union_by_name([customer, supplier, part])
 
 
+# --- saved tables ------------------------------------------------------------------------
+
+
+def scratch_schema(spark: SparkSession) -> str:
+    """A new schema whose tables lie in the shared folder."""
+    name = f"scratch_{uuid.uuid4().hex}"
+    create_schemas(spark, name, location=shared_folder(spark, "tables"))
+    return name
+
+
+@register(
+    "partition_upsert",
+    """select o_orderkey, o_custkey, o_orderstatus, cast(date_trunc('month', o_orderdate) as date) as month
+      from orders where o_orderstatus <> 'P'
+    union all select o_orderkey, o_custkey, 'F', cast(date_trunc('month', o_orderdate) as date) + 3
+      from orders where o_orderstatus = 'P'
+    union all select -o_orderkey - 1, o_custkey, o_orderstatus, cast(date_trunc('month', o_orderdate) as date)
+      from orders where o_orderpriority = '1-URGENT'""",
+)
+def partition_upsert(spark, sf):
+    """Orders saved by month; open ones close and move to another partition, urgent ones get a twin."""
+    table = f"{scratch_schema(spark)}.orders_by_month"
+    orders = roles.load(spark, sf, "orders")
+    month = F.trunc(F.col("o_orderdate").cast("date"), "month").alias("month")
+    saved = orders.select("o_orderkey", "o_custkey", "o_orderstatus", month)
+    closed = saved.filter("o_orderstatus = 'P'").withColumns(
+        {"o_orderstatus": F.lit("F"), "month": F.date_add("month", 3)}
+    )
+    twins = orders.filter("o_orderpriority = '1-URGENT'").select(
+        (-F.col("o_orderkey") - 1).alias("o_orderkey"), "o_custkey", "o_orderstatus", month
+    )
+    replace_partitions(spark, table, saved, "o_orderkey", "month")
+    replace_partitions(spark, table, closed.unionByName(twins), "o_orderkey", "month")
+    return spark.table(table)
+
+
+@register(
+    "widened_append",
+    """select c_custkey, c_name, null::varchar as channel from customer
+    union all select -c_custkey - 1, null, 'mail' from customer""",
+)
+def widened_append(spark, sf):
+    """Two loads of one table; the second lacks a column and brings another."""
+    table = f"{scratch_schema(spark)}.customers"
+    first = roles.load(spark, sf, "customer").select("c_custkey", "c_name")
+    land_table(first, table, INCREMENTAL)
+    second = first.select((-F.col("c_custkey") - 1).alias("c_custkey"), F.lit("mail").alias("channel"))
+    land_table(second, table, INCREMENTAL)
+    return spark.table(table)
+
+
+@register(
+    "published_rebuild",
+    "select p_partkey, p_brand, p_retailprice * 2 as p_retailprice from part",
+)
+def published_rebuild(spark, sf):
+    """A published table rebuilt from its own rows."""
+    name = f"{scratch_schema(spark)}.parts"
+    publish(roles.load(spark, sf, "part").select("p_partkey", "p_brand", "p_retailprice"), name, "run-1")
+    doubled = spark.table(name).withColumn("p_retailprice", F.col("p_retailprice") * 2)
+    publish(doubled, name, "run-2")
+    return spark.table(name)
+
+
+@register(
+    "validation_audit",
+    sql(
+        f"""select 'SUCCESS' as status, count(*) as bronze_records,
+          count(*) filter (where not {oracle.faulty('readings', False)}) as clean_records,
+          count(*) filter (where {oracle.faulty('readings', False)}) as quarantined_records,
+          count(*) filter (where is_duplicate_reading) as duplicate_records, '' as error_message,
+          'test' as environment from judged_readings""",
+        "judged_readings",
+    ),
+)
+def validation_audit(spark, sf):
+    """The audit row of a validation run from a saved landing table to published tables."""
+    schema = scratch_schema(spark)
+    create_audit_tables(spark, schema)
+    land_table(roles.raw_readings(spark, sf).drop("row_number"), f"{schema}.meter_readings_raw", FULL)
+    validate_source(spark, rulesets.READINGS, schema, schema, schema, RUN)
+    return audit_of_run(spark.table(f"{schema}.{VALIDATION_AUDIT}"), RUN.run_id).select(
+        "status",
+        "bronze_records",
+        "clean_records",
+        "quarantined_records",
+        "duplicate_records",
+        "error_message",
+        "environment",
+    )
+
+
+@register(
+    "unseen_files",
+    """select distinct cast(cast(ts as date) as varchar) as event_date from events
+    where cast(ts as date) >= date '2024-01-16'""",
+)
+def new_files(spark, sf):
+    """Days whose files are not in the record of earlier loads."""
+    files = list_files(spark, EVENT_FILES.path(daily_files(spark, sf)))
+    recorded = files.filter(F.col("file_path").contains("/early/"))
+    day = F.regexp_extract("file_path", "reading_date=([^/]+)/", 1).alias("event_date")
+    return unseen_files(files, recorded).select(day).distinct()
+
+
 # --- streams -----------------------------------------------------------------------------
 
 
+@register(
+    "stream_file_ingest",
+    """select cast(event_id as varchar) as event_id, event_type,
+      case when cast(ts as date) >= date '2024-01-16' then 'FW_' || (event_id % 3) end as firmware_version,
+      'meter_readings_' || strftime(ts, '%Y%m%d') || '.csv' as _source_file_path,
+      'events' as _source_name, 'run-1' as _run_id from events""",
+)
+def stream_file_ingest(spark, sf):
+    """Daily files ingested by a stream in two calls; the second finds nothing new."""
+    raw_base, folder = daily_files(spark, sf), shared_folder(spark, "file-ingest")
+    for _ in range(2):
+        ingest_new_files(spark, EVENT_FILES, raw_base, f"{folder}/out", f"{folder}/checkpoint", RUN)
+    return read_ingested(spark, f"{folder}/out").select(
+        "event_id", "event_type", "firmware_version", "_source_file_path", "_source_name", "_run_id"
+    )
+
+
 @register(
     "stream_daily_usage",
     sql(
