@@ -49,6 +49,14 @@ def test_published_table_can_be_rebuilt_from_itself(spark):
     assert rows(spark.table("sinks.pub"), "id", "n") == [("a", 1), ("b", 2)]
 
 
+def test_a_version_can_be_published_again_and_old_ones_go(spark):
+    for n, version in enumerate(["v1", "v2", "v2", "v3"]):
+        publish(batch(spark, ("a", n, D1)), "sinks.kept", version)
+        assert rows(spark.table("sinks.kept"), "n") == [(n,)]
+    physical = [t.name for t in spark.catalog.listTables("sinks", "kept__*")]
+    assert sorted(name.split("_")[2] for name in physical) == ["v2", "v3"]
+
+
 def test_failed_rebuild_leaves_the_public_table(spark):
     publish(batch(spark, ("a", 1, D1)), "sinks.safe", "v1")
     broken = spark.sql("select raise_error('boom') as id, 1 as n, date'2026-01-01' as day")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import datetime
@@ -15,6 +16,7 @@ from wattline.operators.skew import BROADCAST_ROWS
 from wattline.session import shared_folder
 
 FULL, INCREMENTAL = "full", "incremental"
+VERSION_PROPERTY = "wattline.version"
 
 
 def create_schemas(spark: SparkSession, *names: str, location: str | None = None) -> None:
@@ -69,12 +71,28 @@ def publish(df: DataFrame, name: str, version: str, partition_by: Sequence[str]
     """Rebuild a table under a new physical name, then point the public view at it.
 
     The old rows stay readable until the new ones are complete, also when the rebuild
-    reads the table it replaces, and a failed run leaves the view as it was.
+    reads the table it replaces, and a failed run leaves the view as it was. The version
+    before stays for readers that have started on it; older ones are dropped.
     """
     spark = df.sparkSession
-    physical = f"{name}__{re.sub(r'[^0-9A-Za-z]', '_', version)}"
-    save_table(df, physical, "overwrite", partition_by)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {physical}")
+    schema, _, table = name.rpartition(".")
+    physical = re.sub(r"[^0-9a-z_]", "_", f"{table}__{version}_{uuid.uuid4().hex[:8]}".lower())
+    before = _current_version(spark, name)
+    save_table(df, f"{schema}.{physical}" if schema else physical, "overwrite", partition_by)
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{VERSION_PROPERTY}' = '{physical}') "
+        f"AS SELECT * FROM {schema + '.' if schema else ''}{physical}"
+    )
+    for old in spark.catalog.listTables(schema or None, f"{table}__*"):
+        if old.name not in (physical, before):
+            spark.sql(f"DROP TABLE IF EXISTS {schema + '.' if schema else ''}{old.name}")
+
+
+def _current_version(spark: SparkSession, name: str) -> str | None:
+    if not spark.catalog.tableExists(name):
+        return None
+    properties = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    return next((row.value for row in properties if row.key == VERSION_PROPERTY), None)
 
 
 def replace_partitions(
