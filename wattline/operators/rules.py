@@ -45,6 +45,8 @@ class RuleSet:
     clean_drops: tuple[str, ...] = ("_duplicate_rank", "quarantine_reason")
     late_columns: Mapping[str, str] = field(default_factory=dict)
     newest_by: str = "_ingested_at_utc"
+    # The business date by which a growing source is kept, if it is judged load by load.
+    day: str = ""
 
     @property
     def flags(self) -> list[str]:
@@ -54,6 +56,11 @@ class RuleSet:
     def duplicate_flag(self) -> str:
         return next(rule.flag for rule in self.rules if rule.kind == DUPLICATE)
 
+    @property
+    def clock_flags(self) -> list[str]:
+        """Flags whose outcome changes as time passes."""
+        return [rule.flag for rule in self.rules if "{now}" in rule.predicate]
+
     def of_kind(self, kind: str) -> list[Rule]:
         return [rule for rule in self.rules if rule.kind == kind]
 

@@ -73,6 +73,7 @@ READINGS = RuleSet(
     null_verdict=NULL_DROPS,
     rank="duplicate_rank",
     clean_drops=("duplicate_rank",),
+    day="reading_date",
     late_columns={
         "ingestion_delay_hours": "string",
         "firmware_version": "string",
@@ -185,6 +186,7 @@ WEATHER = RuleSet(
         outside("weather_condition", WEATHER_CONDITIONS),
         duplicate("weather_id"),
     ),
+    day="weather_date",
 )
 
 OUTAGES = RuleSet(

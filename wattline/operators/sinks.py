@@ -8,8 +8,9 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattline.operators.incremental import require_unique, upsert
 from wattline.operators.skew import BROADCAST_ROWS
@@ -50,21 +51,18 @@ def append_widening(df: DataFrame, name: str) -> None:
     if not spark.catalog.tableExists(name):
         save_table(df, name, "errorifexists")
         return
-    known = spark.table(name).columns
-    fresh = [f for f in df.schema.fields if f.name not in known]
+    widen(spark, name, df.schema)
+    _aligned(df, spark.table(name)).write.insertInto(name)
+
+
+def widen(spark: SparkSession, table: str, schema: T.StructType) -> None:
+    """Add the columns a table lacks; its earlier rows have nulls there."""
+    known = spark.table(table).columns
+    fresh = [f for f in schema.fields if f.name not in known]
     if fresh:
         added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fresh)
-        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({added})")
-    target = spark.table(name).schema
-    aligned = df.select(
-        *[
-            F.col(f.name).cast(f.dataType).alias(f.name)
-            if f.name in df.columns
-            else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in target.fields
-        ]
-    )
-    aligned.write.insertInto(name)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
+        spark.catalog.refreshTable(table)
 
 
 def publish(df: DataFrame, name: str, version: str, partition_by: Sequence[str] = ()) -> None:
@@ -125,12 +123,7 @@ def replace_partitions(
         rebuilt.hint("rebalance", partition).write.parquet(whole)
         save_table(spark.read.schema(batch.schema).parquet(whole), table, "overwrite", [partition])
         return
-    added = [f for f in batch.schema.fields if f.name not in spark.table(table).columns]
-    if added:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
-        spark.catalog.refreshTable(table)
-
+    widen(spark, table, batch.schema)
     target = spark.table(table)
     batch_keys = batch.select(*names).distinct()
     if batch_keys.count() <= broadcast_rows:
@@ -139,14 +132,17 @@ def replace_partitions(
     touched = {
         row[0] for row in batch.select(partition).union(holding_older.select(partition)).distinct().collect()
     }
-    values = [v for v in touched if v is not None]
-    in_touched = F.col(partition).isin(values)
-    if None in touched:
-        in_touched = in_touched | F.col(partition).isNull()
-
-    merged = upsert(target.filter(in_touched), _aligned(batch, target), names, broadcast_rows)
-    staging = shared_folder(spark, "upsert")
-    merged.select(*target.columns).hint("rebalance", partition).write.parquet(staging)
+    merged = upsert(target.filter(in_partitions(partition, touched)), _aligned(batch, target), names, broadcast_rows)
+    overwrite_partitions(spark, table, merged, partition, touched)
+
+
+def overwrite_partitions(
+    spark: SparkSession, table: str, df: DataFrame, partition: str, touched: set
+) -> None:
+    """Replace the named partitions of a table by the given rows, which may come from them."""
+    target = spark.table(table)
+    staging = shared_folder(spark, "partitions")
+    df.select(*target.columns).hint("rebalance", partition).write.parquet(staging)
     staged = spark.read.schema(target.schema).parquet(staging)
     left = {row[0] for row in staged.select(partition).distinct().collect()}
     with _dynamic_overwrite(spark):
@@ -157,6 +153,12 @@ def replace_partitions(
     spark.catalog.refreshTable(table)
 
 
+def in_partitions(partition: str, values: set) -> Column:
+    """Rows of the named partitions, the one without a value included."""
+    test = F.col(partition).isin([v for v in values if v is not None])
+    return test | F.col(partition).isNull() if None in values else test
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     """Overwrite only partitions that receive rows, for the statements inside."""

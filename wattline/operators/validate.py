@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wattline.functions import cast_columns, ensure_columns, trim_strings
 from wattline.operators.dedup import flag_duplicates
-from wattline.operators.rules import DUPLICATE, NULL_DROPS, NULL_PASSES, PREDICATE, REFERENCE, RuleSet
+from wattline.operators.rules import NULL_DROPS, NULL_PASSES, PREDICATE, REFERENCE, RuleSet
 from wattline.operators.skew import BROADCAST_ROWS, HOT_GROUP_ROWS, flag_unknown_keys
 from wattline.sources.tables import POSITION
 
@@ -33,17 +33,27 @@ def flag_rows(
     hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """One boolean column per rule and the joined messages of those that are true."""
-    flagged = df
-    for rule in rules.of_kind(DUPLICATE):
-        flagged = flag_duplicates(
-            flagged, rule.column, rule.flag, rules.newest_by, rules.rank, position, hot_rows
-        )
+    flagged = flag_copies(df, rules, position, hot_rows)
     for rule in rules.of_kind(REFERENCE):
         reference = (references or {}).get(rule.reference)
         if reference is None:
             raise ValueError(f"rules of {rules.source} need the reference table {rule.reference}")
         flagged = flag_unknown_keys(flagged, reference, rule.column, rule.flag, broadcast_rows, hot_rows)
-    flagged = flagged.withColumns({rule.flag: rule.test(as_of) for rule in rules.of_kind(PREDICATE)})
+    return flag_values(flagged, rules, as_of)
+
+
+def flag_copies(
+    df: DataFrame, rules: RuleSet, position: Sequence[str] = POSITION, hot_rows: int = HOT_GROUP_ROWS
+) -> DataFrame:
+    """Rank the copies of each key and flag all but the newest."""
+    return flag_duplicates(
+        df, rules.key, rules.duplicate_flag, rules.newest_by, rules.rank, position, hot_rows
+    )
+
+
+def flag_values(df: DataFrame, rules: RuleSet, as_of: datetime) -> DataFrame:
+    """Flags that depend on the row alone, and the joined messages of all true flags."""
+    flagged = df.withColumns({rule.flag: rule.test(as_of) for rule in rules.of_kind(PREDICATE)})
     return flagged.withColumn("quarantine_reason", reason_text({r.flag: r.message for r in rules.rules}))
 
 

@@ -14,7 +14,7 @@ from wattline.operators.sinks import create_schemas, create_table
 from wattline.plans.build import Build
 from wattline.plans.gold import build_gold
 from wattline.plans.landing import FILE_LOG, FILE_LOG_COLUMNS, land_source
-from wattline.plans.validation import validate_source
+from wattline.plans.validation import validate_new_rows, validate_source
 from wattline.sources.registry import SOURCES
 
 
@@ -43,13 +43,19 @@ def run_landing(spark: SparkSession, raw_base: str, run: Build, layout: Layout =
     }
 
 
-def run_validation(spark: SparkSession, run: Build, layout: Layout = Layout()) -> dict[str, dict]:
-    """Judge every source. Customers and tariffs come first: others refer to them."""
+def run_validation(
+    spark: SparkSession, run: Build, layout: Layout = Layout(), load_by_load: bool = False
+) -> dict[str, dict]:
+    """Judge every source. Customers and tariffs come first: others refer to them.
+
+    ``load_by_load`` judges only new rows where a source allows it, instead of all rows.
+    """
     create_areas(spark, layout)
-    return {
-        name: validate_source(spark, rules, layout.landing, layout.validated, layout.audit, run)
-        for name, rules in RULE_SETS.items()
-    }
+    outcome = {}
+    for name, rules in RULE_SETS.items():
+        judge = validate_new_rows if load_by_load and rules.day else validate_source
+        outcome[name] = judge(spark, rules, layout.landing, layout.validated, layout.audit, run)
+    return outcome
 
 
 def run_all(
@@ -61,10 +67,11 @@ def run_all(
     last: date = date(2026, 12, 31),
     lookback_days: int = 0,
     stop_on_failure: bool = True,
+    load_by_load: bool = False,
 ) -> DataFrame:
     """Landing, validation, models and checks, in that order."""
     run_landing(spark, raw_base, run, layout)
-    run_validation(spark, run, layout)
+    run_validation(spark, run, layout, load_by_load)
     return build_gold(
         spark, layout.validated, layout.reporting, run, first, last, lookback_days, stop_on_failure
     )

@@ -2,27 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.operators.audit import VALIDATION_AUDIT, VALIDATION_AUDIT_COLUMNS, audited
+from wattline.operators.incremental import high_watermark
 from wattline.operators.rules import REFERENCE, RuleSet
-from wattline.operators.sinks import publish
+from wattline.operators.sinks import in_partitions, overwrite_partitions, publish, save_table, widen
+from wattline.operators.skew import lookup_join
 from wattline.operators.validate import (
     CLEAN,
     QUARANTINED,
+    flag_copies,
     flag_rows,
+    flag_values,
     judged_rows,
     standardise,
+    verdict,
     view_of_clean,
     view_of_quarantined,
 )
 from wattline.plans.build import Build
-from wattline.sources.tables import read_table, with_position
+from wattline.sources.tables import POSITION, read_table, with_position
 
 COUNTERS = ("bronze_records", "clean_records", "quarantined_records", "duplicate_records")
 
 
+@contextmanager
+def _recorded(
+    spark: SparkSession, rules: RuleSet, landing: str, schema: str, audit_schema: str, run: Build
+) -> Iterator[dict]:
+    facts = {
+        "run_id": run.run_id,
+        "source_table": f"{landing}.{rules.source}_raw",
+        "clean_table": f"{schema}.{rules.source}_clean",
+        "quarantine_table": f"{schema}.{rules.source}_quarantine",
+        "environment": run.environment,
+    }
+    table = f"{audit_schema}.{VALIDATION_AUDIT}"
+    with audited(spark, table, VALIDATION_AUDIT_COLUMNS, COUNTERS, **facts) as record:
+        yield record
+
+
 def validate_source(
     spark: SparkSession, rules: RuleSet, landing: str, schema: str, audit_schema: str, run: Build
 ) -> dict:
@@ -32,41 +56,110 @@ def validate_source(
     in one folder each, and the two public tables are views on them. Counts come from the
     written files.
     """
-    source_table = f"{landing}.{rules.source}_raw"
-    clean = f"{schema}.{rules.source}_clean"
-    quarantine = f"{schema}.{rules.source}_quarantine"
-    judged_table = f"{schema}.{rules.source}_judged"
-    with audited(
-        spark,
-        f"{audit_schema}.{VALIDATION_AUDIT}",
-        VALIDATION_AUDIT_COLUMNS,
-        COUNTERS,
-        run_id=run.run_id,
-        source_table=source_table,
-        clean_table=clean,
-        quarantine_table=quarantine,
-        environment=run.environment,
-    ) as record:
-        raw = read_table(spark, source_table)
+    with _recorded(spark, rules, landing, schema, audit_schema, run) as record:
+        raw = read_table(spark, record["source_table"])
         record["bronze_records"] = raw.count()
         references = {
             r.reference: read_table(spark, f"{schema}.{r.reference}") for r in rules.of_kind(REFERENCE)
         }
         flagged = flag_rows(standardise(with_position(raw), rules), rules, run.as_of, references)
+        judged_table = f"{schema}.{rules.source}_judged"
         publish(judged_rows(flagged, rules, run.as_of), judged_table, run.run_id, ["verdict"])
+        record.update(_show_outcome(spark, rules, schema, judged_table))
+    return record
 
-        judged = spark.table(judged_table)
-        _view(spark, clean, view_of_clean(judged, rules).columns, judged_table, CLEAN)
-        _view(spark, quarantine, view_of_quarantined(judged).columns, judged_table, QUARANTINED)
-        counts = judged.agg(
-            F.count_if(F.col("verdict") == CLEAN).alias("clean_records"),
-            F.count_if(F.col("verdict") == QUARANTINED).alias("quarantined_records"),
-            F.count_if(F.col(rules.duplicate_flag)).alias("duplicate_records"),
-        ).first()
-        record.update(counts.asDict())
+
+def validate_new_rows(
+    spark: SparkSession, rules: RuleSet, landing: str, schema: str, audit_schema: str, run: Build
+) -> dict:
+    """Judge the rows that were loaded since the last run; earlier verdicts stay.
+
+    For sources that grow by loads and refer to no other table. An earlier row is judged
+    again only where its verdict can differ: when a new row has its key, or when it was
+    ahead of the clock. Rows are kept by day, and only days with such rows are rewritten.
+    The outcome is that of judging the whole landing table, but for the processing times.
+    Every load must carry a time of its own.
+    """
+    if rules.of_kind(REFERENCE) or not rules.day:
+        raise ValueError(f"{rules.source} cannot be judged load by load")
+    table = f"{schema}.{rules.source}_verdicts"
+    with _recorded(spark, rules, landing, schema, audit_schema, run) as record:
+        raw = read_table(spark, record["source_table"])
+        record["bronze_records"] = raw.count()
+        positioned = with_position(raw)
+        if spark.catalog.tableExists(table):
+            _judge_growth(spark, rules, table, positioned, run)
+        else:
+            flagged = flag_rows(standardise(positioned, rules), rules, run.as_of)
+            first = _all_verdicts(flagged, rules, run)
+            save_table(first.hint("rebalance", rules.day), table, "errorifexists", [rules.day])
+        record.update(_show_outcome(spark, rules, schema, table))
     return record
 
 
+def _all_verdicts(flagged: DataFrame, rules: RuleSet, run: Build) -> DataFrame:
+    """Judged rows, also those without a verdict: they may get one later."""
+    return flagged.drop(*POSITION).withColumns(
+        {
+            "verdict": verdict(rules.flags, rules.null_verdict),
+            "processed_at_utc": F.lit(run.as_of).cast("timestamp"),
+        }
+    )
+
+
+def _judge_growth(
+    spark: SparkSession, rules: RuleSet, table: str, positioned: DataFrame, run: Build
+) -> None:
+    day = rules.day
+    since = high_watermark(spark.table(table), rules.newest_by)
+    fresh = standardise(positioned.filter(F.col(rules.newest_by) > F.lit(since)), rules)
+    widen(spark, table, fresh.drop(*POSITION).schema)
+    known = spark.table(table)
+
+    renewed = fresh.select(rules.key).filter(F.col(rules.key).isNotNull()).distinct()
+    marked = lookup_join(known, renewed.withColumn("_renewed", F.lit(True)), rules.key)
+    due = F.lit(False)
+    for flag in rules.clock_flags:
+        due = due | F.coalesce(F.col(flag), F.lit(False))
+    marked = marked.withColumns({"_renewed": F.col("_renewed").isNotNull(), "_due": due})
+    touched = {
+        row[0]
+        for row in fresh.select(day)
+        .union(marked.filter("_renewed or _due").select(day))
+        .distinct()
+        .collect()
+    }
+    if not touched:
+        return
+
+    near = marked.filter(in_partitions(day, touched))
+    # Copies already ranked keep their order among themselves; new ones follow their files.
+    old_order = [F.lit(0).cast("bigint").alias(POSITION[0]), F.col(rules.rank).cast("bigint").alias(POSITION[1])]
+    source_columns = [c for c in fresh.columns if c not in POSITION]
+    copies = near.filter("_renewed").select(*source_columns, *old_order).unionByName(
+        fresh.select(*source_columns, *POSITION)
+    )
+    ranked = flag_copies(copies, rules).drop(*POSITION)
+    waiting = near.filter("_due and not _renewed").select(*ranked.columns)
+    again = _all_verdicts(flag_values(ranked.unionByName(waiting), rules, run.as_of), rules, run)
+    kept = near.filter("not _renewed and not _due").select(*known.columns)
+    overwrite_partitions(spark, table, kept.unionByName(again.select(*known.columns)), day, touched)
+
+
+def _show_outcome(spark: SparkSession, rules: RuleSet, schema: str, judged_table: str) -> dict:
+    """Point the two public tables at the judged rows and count them."""
+    judged = spark.table(judged_table)
+    clean, quarantine = f"{schema}.{rules.source}_clean", f"{schema}.{rules.source}_quarantine"
+    _view(spark, clean, view_of_clean(judged, rules).columns, judged_table, CLEAN)
+    _view(spark, quarantine, view_of_quarantined(judged).columns, judged_table, QUARANTINED)
+    counts = judged.agg(
+        F.count_if(F.col("verdict") == CLEAN).alias("clean_records"),
+        F.count_if(F.col("verdict") == QUARANTINED).alias("quarantined_records"),
+        F.count_if(F.col(rules.duplicate_flag)).alias("duplicate_records"),
+    )
+    return counts.first().asDict()
+
+
 def _view(spark: SparkSession, name: str, columns: list[str], table: str, outcome: str) -> None:
     shown = {"silver_processed_at_utc": "processed_at_utc", "quarantined_at_utc": "processed_at_utc"}
     listed = ", ".join(f"`{shown[c]}` AS `{c}`" if c in shown else f"`{c}`" for c in columns)

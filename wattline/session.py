@@ -21,6 +21,7 @@ def build_session(app: str = "wattline", cpus: int | None = None, **settings: st
         .config("spark.sql.shuffle.partitions", str(cpus or 8))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in settings.items():
         builder = builder.config(name, value)
