@@ -25,7 +25,7 @@ def built(spark, tmp_path_factory):
     write_raw_area(base)
     layout = Layout("b1", "s1", "g1", "a1")
     first = Build("run-1", datetime(2026, 1, 8, 12), "test")
-    report = run_all(spark, str(base), first, layout, stop_on_failure=False)
+    report = run_all(spark, str(base), first, layout, stop_on_failure=False, load_by_load=True)
     return base, layout, report.collect()
 
 
@@ -132,7 +132,7 @@ def test_second_run_loads_new_files_only_and_keeps_history(spark, built, tmp_pat
     customers.write_text(customers.read_text().replace("North West", "London"))
 
     second = Build("run-2", datetime(2026, 1, 9, 12), "test")
-    run_all(spark, str(base), second, layout, stop_on_failure=False)
+    run_all(spark, str(base), second, layout, stop_on_failure=False, load_by_load=True)
     landed = audit_of_run(spark.table("a1.bronze_ingestion_audit"), "run-2")
     assert rows(landed.filter("load_type = 'incremental'"), "source_name", "records_loaded") == [
         ("billing_events", 0),
@@ -149,6 +149,10 @@ def test_second_run_loads_new_files_only_and_keeps_history(spark, built, tmp_pat
     ]
     assert history.filter("customer_id = 'C1'").count() == 1
     assert spark.table("g1.mart_daily_energy_summary").count() == 5
+    times = rows(spark.table("s1.meter_readings_clean").groupBy("silver_processed_at_utc").count())
+    assert times == [(datetime(2026, 1, 8, 12), 5), (datetime(2026, 1, 9, 12), 1)]
+    judged = audit_of_run(spark.table("a1.silver_processing_audit"), "run-2")
+    assert rows(judged.filter("source_table = 'b1.meter_readings_raw'"), "bronze_records", "clean_records") == [(11, 6)]
 
 
 def test_failed_landing_is_recorded_and_raised(spark, tmp_path):

@@ -41,9 +41,10 @@ def hot_keys(
 ) -> DataFrame | None:
     """The keys too large for one task, or None. Always fewer than ``limit`` rows.
 
-    The list is fetched once, so all uses in a plan agree on it. Only the key columns are read. Against a large floor the counts come from a sample, in
+    Only the key columns are read. Against a large floor the counts come from a sample, in
     which a key at the floor still has some ten thousand rows and cannot be missed. The
-    counts decide which plan runs; every row goes through that plan.
+    counts decide which plan runs; every row goes through that plan. The list is fetched
+    once, so all uses in a plan agree on it.
     """
     fraction = min(1.0, SAMPLED_ROWS_OF_A_HOT_KEY / floor)
     key_rows = df.filter(all_present(keys)).select(*keys)
@@ -60,6 +61,14 @@ def hot_keys(
     return df.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
+def _fetch_bounded(df: DataFrame, rows: int) -> DataFrame:
+    """Read a few rows once; more than allowed means that the lookup repeats its keys."""
+    found = df.limit(rows + 1).collect()
+    if len(found) > rows:
+        raise ValueError(f"a lookup has more than {rows} rows for a few hot keys: keys must not repeat")
+    return df.sparkSession.createDataFrame(found, df.schema)
+
+
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
@@ -91,11 +100,11 @@ def lookup_join(
     hot = hot_keys(rows, keys, floor=hot_rows)
     wide = rows
     if hot is not None:
-        values = lookup.join(F.broadcast(hot), keys, "left_semi")
+        values = _fetch_bounded(lookup.join(F.broadcast(hot), keys, "left_semi"), BROADCAST_ROWS)
         answers = hot.join(values, keys, "left").select(
             *keys, *[F.col(c).alias(f"_hot_{c}") for c in added], F.lit(True).alias("_hot")
         )
-        wide = rows.join(broadcast_within(answers), keys, "left")
+        wide = rows.join(F.broadcast(answers), keys, "left")
         settled = settled | F.col("_hot").isNotNull()
 
     # Lookup rows all have spread 0. It is computed from the key, so that it stays a join
@@ -109,9 +118,11 @@ def lookup_join(
         F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(1)).alias("_zero"),
         *[F.col(c).alias(f"_new_{c}") for c in added],
     )
-    match = F.col("_spread") == F.col("_zero")
-    for i in range(len(keys)):
+    # The keys come before the spread: rows are sorted by the first column of the join.
+    match = F.col("_on_0") == F.col("_to_0")
+    for i in range(1, len(keys)):
         match = match & (F.col(f"_on_{i}") == F.col(f"_to_{i}"))
+    match = match & (F.col("_spread") == F.col("_zero"))
     joined = side.join(partner, match, "left")
 
     def value(name: str) -> Column:

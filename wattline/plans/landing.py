@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wattline.operators.audit import LANDING_AUDIT, LANDING_AUDIT_COLUMNS, audited
 from wattline.operators.sinks import INCREMENTAL, land_table
 from wattline.plans.build import Build
+from wattline.session import shared_folder
 from wattline.sources.csv import list_files, unseen_files
 from wattline.sources.registry import Source
 
@@ -33,7 +34,9 @@ def land_source(
 ) -> int:
     """Load one source into its landing table and record the run.
 
-    An incremental source loads only files that no earlier run has recorded. Files are
+    An incremental source loads only files that no earlier run has recorded. Their paths pass
+    through the driver, which lists files for any scan; a long backlog is better loaded in
+    portions by the file stream. Files are
     recorded after their rows are saved, so a run that fails in between loads them again
     and the duplicate flags of the next step keep the newest copy.
     """
@@ -58,11 +61,19 @@ def land_source(
         else:
             log = f"{audit_schema}.{FILE_LOG}"
             seen = spark.table(log).filter(F.col("source_name") == source.name)
-            fresh = [row.file_path for row in unseen_files(list_files(spark, path), seen).collect()]
+            arrivals = _fixed_list(unseen_files(list_files(spark, path), seen), source.name, run)
+            fresh = [row.file_path for row in arrivals.select("file_path").collect()]
             if fresh:
                 land_table(lineage_columns(source.read(spark, fresh), source.name, run), target, source.load_type)
-                entries = [(source.name, file, run.run_id) for file in fresh]
-                spark.createDataFrame(entries, FILE_LOG_COLUMNS).coalesce(1).write.insertInto(log)
+                arrivals.write.insertInto(log)
                 loaded = spark.table(target).filter(F.col("_run_id") == run.run_id)
                 record["records_loaded"] = loaded.count()
     return record["records_loaded"]
+
+
+def _fixed_list(files: DataFrame, source: str, run: Build) -> DataFrame:
+    """The files of this load, written down before it starts: later arrivals wait for the next."""
+    spark, folder = files.sparkSession, shared_folder(files.sparkSession, "arrivals")
+    listed = files.select(F.lit(source).alias("source_name"), "file_path", F.lit(run.run_id).alias("run_id"))
+    listed.write.parquet(folder)
+    return spark.read.schema(FILE_LOG_COLUMNS).parquet(folder)

@@ -18,9 +18,9 @@ from wattline.functions import (
     trim_strings,
 )
 from wattline.operators import checks, incremental, rulesets, scd
-from wattline.operators.dedup import distinct_rows, flag_duplicates, latest_rows
-from wattline.operators.rules import NULL_DROPS, NULL_PASSES, RuleSet
 from wattline.operators.audit import VALIDATION_AUDIT, audit_of_run, create_audit_tables
+from wattline.operators.dedup import distinct_rows, flag_duplicates, latest_rows
+from wattline.operators.rules import NULL_DROPS, RuleSet
 from wattline.operators.sinks import (
     FULL,
     INCREMENTAL,
@@ -48,8 +48,8 @@ from wattline.plans import dimensions, facts, marts
 from wattline.plans.billing import billable, billing_charges
 from wattline.plans.landing import lineage_columns
 from wattline.plans.staging import stage
-from wattline.session import prepare, shared_folder
 from wattline.plans.validation import validate_source
+from wattline.session import prepare, shared_folder
 from wattline.sources.csv import file_manifest, list_files, union_by_name, unseen_files
 from wattline.sources.registry import Source
 from wattline.streaming.ingest import ingest_new_files, read_ingested
@@ -1242,7 +1242,8 @@ def drift_union(spark, sf):
       cast(count(*) as bigint) as record_count, day >= date '2024-01-16' as schema_drift_applied,
       cast(case when day >= date '2024-01-16' then 8 else 6 end as bigint) as column_count,
       case when day >= date '2024-01-16'
-        then 'event_id|user_id|firmware_version|signal_strength_dbm|event_type|source_file_name|source_system|generated_at_utc'
+        then 'event_id|user_id|firmware_version|signal_strength_dbm|event_type|'
+          || 'source_file_name|source_system|generated_at_utc'
         else 'event_id|user_id|event_type|source_file_name|source_system|generated_at_utc' end as columns
     from (select cast(ts as date) as day from events) e group by day""",
 )

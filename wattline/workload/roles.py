@@ -190,7 +190,8 @@ def payment_method(priority: str) -> Column:
 
 
 def billing(spark: SparkSession, sf: str) -> DataFrame:
-    orders = with_region(spark, sf, load(spark, sf, "orders"), "o_custkey").withColumn("day", F.date_add(F.col("o_orderdate").cast("date"), ORDER_SHIFT_DAYS))
+    day = F.date_add(F.col("o_orderdate").cast("date"), ORDER_SHIFT_DAYS)
+    orders = with_region(spark, sf, load(spark, sf, "orders"), "o_custkey").withColumn("day", day)
     status = payment_status("o_orderstatus")
     return lineage(
         orders.select(
