@@ -120,7 +120,7 @@ def write_file(path: Path, table: list[list[str]]) -> None:
     with path.open("w", newline="") as file:
         writer = csv.writer(file)
         writer.writerow([*header, *META])
-        writer.writerows([*row, path.name, "smart_meter_platform", STAMP] for row in body)
+        writer.writerows([*row, path.name, "meter_feed", STAMP] for row in body)
 
 
 def write_daily(base: Path, source: str, folder: str, days: dict) -> None:
