@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +26,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def shipped(spark: SparkSession) -> None:
+    """Send the package to Python workers that would not find it: neither on PYTHONPATH nor in the working folder."""
+    application, root = spark.sparkContext.applicationId, Path(__file__).resolve().parents[2]
+    if application in _SHIPPED or str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or Path.cwd() == root:
+        return
+    archive = shutil.make_archive(f"{tempfile.mkdtemp()}/package", "zip", root, Path(__file__).parents[1].name)
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(application)
+
+
 def staged(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """The rows written to the folder that all executors share and read again: the plan behind them is cut.
 
@@ -55,6 +72,7 @@ def map_rows(df: DataFrame, schema: str, each: Callable[[], Callable[..., Iterat
     Output goes back in batches of bounded size, so one long text or many outputs of a row
     never add up to a large batch. If the function has a ``finish``, that gives the last rows.
     """
+    shipped(df.sparkSession)
     arrow = _arrow_schema(df.sparkSession, schema)
     names = df.columns
 
@@ -74,6 +92,7 @@ def map_rows(df: DataFrame, schema: str, each: Callable[[], Callable[..., Iterat
 
 def map_tables(df: DataFrame, schema: str, each: Callable[[], Callable[..., Iterator[dict]]]) -> DataFrame:
     """Like ``map_rows``, but a row yields columns (dicts of numpy arrays or lists) with many output rows each."""
+    shipped(df.sparkSession)
     arrow = _arrow_schema(df.sparkSession, schema)
     names = df.columns
 
@@ -114,7 +133,7 @@ def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     kinds = {
         "long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "float": pa.float32(),
         "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32()),
-        "array<long>": pa.list_(pa.int64()), "array<float>": pa.list_(pa.float32()), "array<string>": pa.list_(pa.string()),
+        "array<long>": pa.list_(pa.int64()), "array<float>": pa.list_(pa.float32()), "array<string>": pa.list_(pa.string()), "array<binary>": pa.list_(pa.binary()),
     }
     return pa.schema([(name, kinds[kind]) for name, kind in (part.split() for part in schema.split(", "))])
 

@@ -32,7 +32,7 @@ def exact_groups(df: DataFrame, id_column: str = "doc_id", text_column: str = "t
     Of several rows with the same smallest number one stays. Other columns are not looked at.
     An empty table gives no rows.
     """
-    unique, compared = _split(_hashed(df, id_column, text_column, []), slots)
+    unique, compared = split_copies(_hashed(df, id_column, text_column, []), slots)
     alone = unique.select(
         "doc_id",
         F.col("doc_id").alias("keep_id"),
@@ -51,7 +51,7 @@ def without_copies(df: DataFrame, id_column: str = "doc_id", text_column: str =
 
     Rows that are unique for certain are never shuffled.
     """
-    unique, compared = _split(_hashed(df, id_column, text_column, [F.struct("*").alias("carried")]), slots)
+    unique, compared = split_copies(_hashed(df, id_column, text_column, [F.struct("*").alias("carried")]), slots)
     return unique.select("carried.*").unionAll(compared.where("kept").select("carried.*"))
 
 
@@ -64,8 +64,10 @@ def _hashed(df: DataFrame, id_column: str, text_column: str, carried: list[Colum
     return rows
 
 
-def _split(rows: DataFrame, slots: int) -> tuple[DataFrame, DataFrame]:
-    """Rows that are unique for certain, and the others after an exact comparison.
+def split_copies(rows: DataFrame, slots: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (``doc_id``, ``digest`` and more) that are unique for certain, and the others compared exactly.
+
+    The others get ``group_size``, ``keep_id`` and ``kept``.
 
     Counts are combined before the shuffle, so a group with a third of all rows is one number per
     task. Sizes are written first: the join then reads plain files on both sides, and Spark

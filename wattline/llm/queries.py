@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattline.llm import quality, toxicity
 from wattline.llm.common import table
 from wattline.llm.exact_dedup import exact_groups
+from wattline.llm.html_text import extract
+from wattline.llm.labelled import remainder
 from wattline.llm.license_scan import scan
 from wattline.llm.packing import pack
+from wattline.llm.substring_dedup import repeated_words
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +24,21 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _verdicts(scored: DataFrame, modulus: int, held_out: int) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        F.coalesce(remainder("doc_id", modulus) == held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(documents, labels, quality.not_held_out(3, 1))
+    return _verdicts(quality.scored(documents, model), 3, 1)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -28,10 +47,29 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(documents, labels, toxicity.not_held_out(5, 0))
+    return _verdicts(toxicity.scored(documents, model), 5, 0)
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeated_words(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_quality": op2_quality,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_license_scan": op5_license_scan,
+    "op7_toxicity": op7_toxicity,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op10_html_text": op10_html_text,
 }
 
 ORACLE = {
