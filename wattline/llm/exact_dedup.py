@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import discard, staged
+from wattline.llm.common import staged
 
 #: Runs of these characters count as one space.
 WHITE = r"[\x20\x09-\x0D]+"

@@ -11,9 +11,11 @@ from wattline.llm import quality, toxicity
 from wattline.llm.common import table
 from wattline.llm.exact_dedup import exact_groups
 from wattline.llm.html_text import extract
+from wattline.llm.jaccard_join import similar_groups
 from wattline.llm.labelled import remainder
 from wattline.llm.license_scan import scan
 from wattline.llm.packing import pack
+from wattline.llm.sharding import shards
 from wattline.llm.substring_dedup import repeated_words
 
 
@@ -47,6 +49,11 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    places, _ = shards(table(spark, sf_dir, "documents"))
+    return places.drop("row")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.fit(documents, labels, toxicity.not_held_out(5, 0))
@@ -58,6 +65,11 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = similar_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "n_shingles", "component_id")
+
+
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
@@ -67,8 +79,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_license_scan": op5_license_scan,
+    "op6_sharding": op6_sharding,
     "op7_toxicity": op7_toxicity,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_html_text": op10_html_text,
 }
 

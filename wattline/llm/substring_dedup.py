@@ -17,7 +17,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import WordHashes, discard, map_rows, map_tables, mixed, rolling, staged
+from wattline.llm.common import WordHashes, map_rows, map_tables, mixed, rolling, staged
 from wattline.llm.exact_dedup import SLOTS, split_copies
 
 LENGTH = 35
@@ -73,12 +73,12 @@ class Levels:
         return mixed(runs[begin] + forward.astype(np.uint64))
 
 
-def _passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     at = hashes & np.uint64((1 << FILTER_BITS) - 1)
     return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def _bitmap(repeated: DataFrame) -> Broadcast:
+def bitmap(repeated: DataFrame) -> Broadcast:
     """The column ``run`` as a broadcast bitmap; Spark sets the bits, the driver gets at most 4096 parts of 4 KB."""
     place = F.col("run").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1
     parts = repeated.groupBy(F.bitmap_bucket_number(place).alias("bucket"))
@@ -120,7 +120,7 @@ def _double_runs(docs: DataFrame, length: int, short: Broadcast) -> DataFrame:
         def row(text: bytes, weight: int) -> Iterator[dict]:
             words = levels.words(text)
             runs, chosen = levels.anchors(words)
-            alive = _passes(short.value, runs[chosen])
+            alive = passes(short.value, runs[chosen])
             if alive.any():
                 found = levels.doubled(words, chosen)[alive]
                 # a run at one place counts once, however many windows choose it
@@ -141,9 +141,9 @@ def _windows(docs: DataFrame, length: int, short: Broadcast, double: Broadcast)
         def row(row: int, text: bytes, weight: int) -> Iterator[dict]:
             words = levels.words(text)
             runs, chosen = levels.anchors(words)
-            alive = _passes(short.value, runs[chosen])
+            alive = passes(short.value, runs[chosen])
             if alive.any():
-                alive &= _passes(double.value, levels.doubled(words, chosen))
+                alive &= passes(double.value, levels.doubled(words, chosen))
             at = np.flatnonzero(alive)
             if len(at):
                 second = rolling(words, length, SECOND_BASE)[at] >> np.uint64(33)
@@ -170,7 +170,7 @@ def _candidates(docs: DataFrame, length: int, short: Broadcast) -> DataFrame:
             words = text.split()
             if len(words) >= length:
                 runs, chosen = levels.anchors(levels.hashes.of(words))
-                if _passes(short.value, runs[np.unique(chosen)]).any():
+                if passes(short.value, runs[np.unique(chosen)]).any():
                     yield doc_id, len(words), None, text, weight
                     return
             yield doc_id, len(words), hashlib.sha256(b" ".join(words)).hexdigest(), None, weight
@@ -206,10 +206,10 @@ def repeated_words(
     )
 
     level = staged(_repeated(_short_runs(docs, length), "run"), "runs-short")
-    short = _bitmap(level)
+    short = bitmap(level)
     judged = staged(_candidates(docs, length, short).withColumn("row", F.monotonically_increasing_id()), "runs-texts")
     candidates = judged.where("text is not null")
-    double = _bitmap(_repeated(_double_runs(candidates, length, short), "run"))
+    double = bitmap(_repeated(_double_runs(candidates, length, short), "run"))
     windows = _windows(candidates, length, short, double)
     full = staged(_repeated(windows, "run", "more"), "runs-full")
     places = windows.select("run", "more", "row", "at").join(full, ["run", "more"], "left_semi")
