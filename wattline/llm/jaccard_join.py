@@ -32,6 +32,9 @@ COMMON = 64
 #: Bits of a document's bitmap, and documents of a node.
 BITS, NODE = 8192, 256
 
+#: A list of dropped rows up to this long is broadcast (16 bytes each), a longer one is joined by a shuffle.
+BROADCAST_ROWS = 2_000_000
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -291,3 +294,30 @@ def _labelled(judged: DataFrame, classes: DataFrame, compared: DataFrame) -> Dat
         "doc_id", "n_shingles", F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), empty.alias("kept")
     )
     return found.drop("digest", "group_size").unionAll(copies)
+
+
+def without_similar(
+    df: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    shingle: int = SHINGLE,
+    similarity: int = SIMILARITY,
+) -> DataFrame:
+    """One row of each component, with all columns: the one with the smallest number, or the first of several.
+
+    Cases as in ``similar_groups``. Rows are told apart by their place in a written copy, so equal
+    rows and rows without a number are no exception.
+    """
+    copy = staged(df.select(F.struct("*").alias("carried"), F.monotonically_increasing_id().alias("place")), "join-copy")
+    plain = copy.select("place", F.col("carried")[text_column].alias("text"))
+    groups = similar_groups(plain, "place", "text", shingle, similarity).select(F.col("doc_id").alias("place"), "component_id")
+    groups = staged(groups, "join-components")
+    joined = groups.where("place != component_id").select("component_id").distinct()
+    members = groups.join(joined, "component_id", "left_semi")
+    numbers = copy.select("place", F.col("carried")[id_column].cast("long").alias("number"))
+    members = staged(members.join(numbers, "place"), "join-members")
+    first = F.min(F.struct(F.col("number").isNull().alias("none"), "number", "place"))
+    firsts = members.groupBy("component_id").agg(first.alias("first")).select(F.col("first.place").alias("place"))
+    dropped = staged(members.select("place").join(firsts, "place", "left_anti"), "join-dropped")
+    dropped = F.broadcast(dropped) if dropped.count() <= BROADCAST_ROWS else dropped
+    return copy.join(dropped, "place", "left_anti").select("carried.*")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wattline.llm import quality, toxicity
 from wattline.llm.common import table
+from wattline.llm.decontaminate import contaminated
 from wattline.llm.exact_dedup import exact_groups
 from wattline.llm.html_text import extract
 from wattline.llm.jaccard_join import similar_groups
@@ -45,6 +46,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_decontamination": op4_decontamination,
     "op5_license_scan": op5_license_scan,
     "op6_sharding": op6_sharding,
     "op7_toxicity": op7_toxicity,
