@@ -1,4 +1,4 @@
-"""What the operators share: tables, staged copies in the shared folder, Arrow batches and word hashes."""
+"""What the operators share: tables, staged copies in the shared folder, and rows through Python in Arrow batches."""
 
 from __future__ import annotations
 
@@ -8,9 +8,7 @@ import tempfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
-import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -136,52 +134,3 @@ def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
         "array<long>": pa.list_(pa.int64()), "array<float>": pa.list_(pa.float32()), "array<string>": pa.list_(pa.string()), "array<binary>": pa.list_(pa.binary()),
     }
     return pa.schema([(name, kinds[kind]) for name, kind in (part.split() for part in schema.split(", "))])
-
-
-class WordHashes(dict):
-    """64-bit hashes of words, the same on every machine; remembers a bounded number of them."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
-def mixed(values: np.ndarray) -> np.ndarray:
-    """Spread the bits of 64-bit values (the finalizer of MurmurHash3)."""
-    with np.errstate(over="ignore"):
-        v = values ^ (values >> np.uint64(33))
-        v = v * np.uint64(0xFF51AFD7ED558CCD)
-        v ^= v >> np.uint64(33)
-        v = v * np.uint64(0xC4CEB9FE1A85EC53)
-        return v ^ (v >> np.uint64(33))
-
-
-def rolling(hashes: np.ndarray, length: int, base: int = 0x9E3779B97F4A7C15) -> np.ndarray:
-    """A 64-bit hash of each run of ``length`` words, by powers of an odd ``base``."""
-    n = len(hashes) - length + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    out = np.zeros(n, np.uint64)
-    with np.errstate(over="ignore"):
-        if length <= 8:
-            for i in range(length):
-                out = out * np.uint64(base) + hashes[i : i + n]
-            return mixed(out)
-        # by doubling: a run of 2k words is two runs of k words
-        done, runs, power = 0, hashes.copy(), base
-        size = 1
-        for bit in range(length.bit_length()):
-            if length >> bit & 1:
-                take = runs[done : done + n]
-                out = out * np.uint64(power % 2**64) + take
-                done += size
-            if length >> (bit + 1):
-                runs = runs[:-size] * np.uint64(power % 2**64) + runs[size:]
-                power = power * power % 2**64
-                size *= 2
-        return mixed(out)

@@ -19,10 +19,10 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import WordHashes, map_rows, map_tables, mixed, rolling, staged
+from wattline.llm.common import map_rows, map_tables, staged
 from wattline.llm.components import components
-from wattline.llm.exact_dedup import SLOTS, WHITE, split_copies
-from wattline.llm.substring_dedup import FILTER_BITS, bitmap, passes
+from wattline.llm.exact_dedup import SLOTS, split_copies
+from wattline.llm.runs import WordHashes, mixed, passes, repeated, rolling
 
 SHINGLE = 5
 #: Least similarity in hundredths.
@@ -35,7 +35,6 @@ BITS, NODE = 8192, 256
 #: A list of dropped rows up to this long is broadcast (16 bytes each), a longer one is joined by a shuffle.
 BROADCAST_ROWS = 2_000_000
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 class Shingles:
@@ -43,10 +42,10 @@ class Shingles:
 
     def __init__(self, size: int) -> None:
         self.size = size
-        self.hashes = WordHashes()
+        self.hashes = WordHashes(lower=True)
 
     def of(self, text: bytes) -> np.ndarray:
-        words = self.hashes.of(text.lower().split())
+        words = self.hashes.of(text)
         if len(words) > self.size:
             return np.unique(rolling(words, self.size))
         if not len(words):
@@ -66,23 +65,10 @@ def _ordered(tokens: np.ndarray, common: np.ndarray | None, similarity: int) ->
     return tokens[: first_length(len(tokens), similarity)]
 
 
-def _first_tokens(docs: DataFrame, size: int, similarity: int, common: Broadcast | None) -> DataFrame:
-    def each():
-        shingles = Shingles(size)
-        late = common.value if common else None
-
-        def row(text: bytes) -> Iterator[dict]:
-            tokens = _ordered(shingles.of(text), late, similarity)
-            if len(tokens):
-                yield {"run": tokens.view(np.int64), "n": np.ones(len(tokens), np.int64)}
-
-        return row
-
-    return map_tables(docs.select("text"), "run long, n long", each)
-
-
-def _counted(tokens: DataFrame, least: int) -> DataFrame:
-    return tokens.groupBy("run").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("run")
+def _first_tokens(size: int, similarity: int, common: Broadcast | None):
+    shingles = Shingles(size)
+    late = common.value if common else None
+    return lambda text: _ordered(shingles.of(text), late, similarity)
 
 
 def _judged(docs: DataFrame, size: int, similarity: int, common: Broadcast, shared: Broadcast) -> DataFrame:
@@ -244,20 +230,16 @@ def similar_groups(
     than a shingle is one token. Rows without a number come last: a component of only such rows
     has none. ``kept`` marks one row of each component, the one with the smallest number.
     """
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    plain = F.trim(F.regexp_replace(F.translate(text, UPPER, LOWER), WHITE, " "))
-    rows = df.select(
-        F.col(id_column).cast("long").alias("doc_id"),
-        F.unhex(F.md5(plain.cast("binary"))).alias("digest"),
-        text.cast("binary").alias("text"),
-    )
+    text = F.coalesce(F.col(text_column), F.lit("")).cast("binary")
+    number = F.col(id_column).cast("long").alias("doc_id")
+    rows = df.select(number, F.unhex(F.md5(text)).alias("digest"), text.alias("text"))
     unique, compared = split_copies(rows, slots)
     one = F.lit(1).cast("long").alias("group_size")
     docs = unique.select("doc_id", "digest", "text", one).unionAll(
         compared.where("kept").select("doc_id", "digest", "text", "group_size")
     )
-    common = bitmap(_counted(_first_tokens(docs, shingle, similarity, None), COMMON + 1))
-    shared = bitmap(_counted(_first_tokens(docs, shingle, similarity, common), 2))
+    common = repeated(docs.select("text"), lambda: _first_tokens(shingle, similarity, None), COMMON + 1)
+    shared = repeated(docs.select("text"), lambda: _first_tokens(shingle, similarity, common), 2)
     judged = _judged(docs, shingle, similarity, common, shared).withColumn("row", F.monotonically_increasing_id())
     judged = staged(judged, "join-judged")
 

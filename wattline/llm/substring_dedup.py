@@ -14,18 +14,16 @@ from collections.abc import Iterator
 
 import numpy as np
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import WordHashes, map_rows, map_tables, mixed, rolling, staged
+from wattline.llm.common import map_rows, map_tables, staged
 from wattline.llm.exact_dedup import SLOTS, split_copies
+from wattline.llm.runs import SECOND_BASE, WordHashes, mixed, passes, repeated, rolling
 
 LENGTH = 35
-#: Bits of the bitmap between two levels: 16 MB, whatever the size of the input.
-FILTER_BITS = 27
 #: Windows are looked at in stretches of this many, so a position fits beside its hash.
 STRETCH = 1 << 22
-SECOND_BASE = 0xD1342543DE82EF95
 
 
 class Levels:
@@ -38,7 +36,7 @@ class Levels:
         self.hashes = WordHashes()
 
     def words(self, text: bytes) -> np.ndarray:
-        return self.hashes.of(text.split())
+        return self.hashes.of(text)
 
     def anchors(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The hashes of all short runs, and for every window the place of the one it chooses."""
@@ -73,63 +71,31 @@ class Levels:
         return mixed(runs[begin] + forward.astype(np.uint64))
 
 
-def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = hashes & np.uint64((1 << FILTER_BITS) - 1)
-    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+def _short_runs(length: int):
+    levels = Levels(length)
 
+    def tokens(text: bytes, weight: int) -> np.ndarray:
+        runs, chosen = levels.anchors(levels.words(text))
+        return np.repeat(runs[np.unique(chosen)], weight)
 
-def bitmap(repeated: DataFrame) -> Broadcast:
-    """The column ``run`` as a broadcast bitmap; Spark sets the bits, the driver gets at most 4096 parts of 4 KB."""
-    place = F.col("run").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1
-    parts = repeated.groupBy(F.bitmap_bucket_number(place).alias("bucket"))
-    parts = parts.agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
-    bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    for bucket, part in parts:
-        bits[(bucket - 1) * 4096 : bucket * 4096] = np.frombuffer(part, np.uint8)
-    return repeated.sparkSession.sparkContext.broadcast(bits)
+    return tokens
 
 
-def _repeated(runs: DataFrame, *keys: str) -> DataFrame:
-    """Keys that occur more than once; counts are combined before the shuffle, so a very common run is no hot spot."""
-    return runs.groupBy(*keys).agg(F.sum("n").alias("n")).where("n > 1").select(*keys)
+def _double_runs(length: int, short: Broadcast):
+    levels = Levels(length)
 
+    def tokens(text: bytes, weight: int) -> np.ndarray:
+        words = levels.words(text)
+        runs, chosen = levels.anchors(words)
+        alive = passes(short.value, runs[chosen])
+        if not alive.any():
+            return runs[:0]
+        # a run at one place counts once, however many windows choose it
+        found = levels.doubled(words, chosen)[alive]
+        pairs = np.stack([chosen[alive].astype(np.uint64), found])
+        return np.repeat(pairs[1, np.flatnonzero((np.diff(pairs, prepend=~pairs[:, :1]) != 0).any(axis=0))], weight)
 
-def _counted(hashes: np.ndarray, weight: int) -> dict:
-    values, counts = np.unique(hashes, return_counts=True)
-    return {"run": values.view(np.int64), "n": counts * weight}
-
-
-def _short_runs(docs: DataFrame, length: int) -> DataFrame:
-    def each():
-        levels = Levels(length)
-
-        def row(text: bytes, weight: int) -> Iterator[dict]:
-            runs, chosen = levels.anchors(levels.words(text))
-            if len(chosen):
-                yield _counted(runs[np.unique(chosen)], weight)
-
-        return row
-
-    return map_tables(docs.select("text", "weight"), "run long, n long", each)
-
-
-def _double_runs(docs: DataFrame, length: int, short: Broadcast) -> DataFrame:
-    def each():
-        levels = Levels(length)
-
-        def row(text: bytes, weight: int) -> Iterator[dict]:
-            words = levels.words(text)
-            runs, chosen = levels.anchors(words)
-            alive = passes(short.value, runs[chosen])
-            if alive.any():
-                found = levels.doubled(words, chosen)[alive]
-                # a run at one place counts once, however many windows choose it
-                first = np.unique(np.stack([chosen[alive].astype(np.uint64), found]), axis=1)
-                yield _counted(first[1], weight)
-
-        return row
-
-    return map_tables(docs.select("text", "weight"), "run long, n long", each)
+    return tokens
 
 
 def _windows(docs: DataFrame, length: int, short: Broadcast, double: Broadcast) -> DataFrame:
@@ -169,7 +135,7 @@ def _candidates(docs: DataFrame, length: int, short: Broadcast) -> DataFrame:
         def row(doc_id: int | None, text: bytes, weight: int) -> Iterator[tuple]:
             words = text.split()
             if len(words) >= length:
-                runs, chosen = levels.anchors(levels.hashes.of(words))
+                runs, chosen = levels.anchors(levels.words(text))
                 if passes(short.value, runs[np.unique(chosen)]).any():
                     yield doc_id, len(words), None, text, weight
                     return
@@ -205,13 +171,13 @@ def repeated_words(
         compared.where("kept").select("doc_id", "text", grouped)
     )
 
-    level = staged(_repeated(_short_runs(docs, length), "run"), "runs-short")
-    short = bitmap(level)
+    short = repeated(docs.select("text", "weight"), lambda: _short_runs(length), 2)
     judged = staged(_candidates(docs, length, short).withColumn("row", F.monotonically_increasing_id()), "runs-texts")
     candidates = judged.where("text is not null")
-    double = bitmap(_repeated(_double_runs(candidates, length, short), "run"))
+    double = repeated(candidates.select("text", "weight"), lambda: _double_runs(length, short), 2)
     windows = _windows(candidates, length, short, double)
-    full = staged(_repeated(windows, "run", "more"), "runs-full")
+    counts = windows.groupBy("run", "more").agg(F.sum("n").alias("n"))
+    full = staged(counts.where("n > 1").select("run", "more"), "runs-full")
     places = windows.select("run", "more", "row", "at").join(full, ["run", "more"], "left_semi")
     places = staged(places.groupBy("row").agg(F.collect_list("at").alias("at")), "runs-places")
     found = candidates.join(places, "row", "left").select("doc_id", "text", "weight", "at")

@@ -200,6 +200,12 @@ def features(word: bytes) -> list[bytes]:
     return [f for w in forms for f in (w, *(w[:n] + b"-" for n in BEGINNINGS if len(w) > n))]
 
 
+def sketch(words: list[bytes]) -> int:
+    """The smallest hash of three words in a row: mostly the same for near copies, and for nothing else."""
+    runs = zip(words, words[1:], words[2:], strict=False) if len(words) > 2 else [words]
+    return min(xxhash.xxh3_64_intdigest(b" ".join(run)) for run in runs) - 2**63
+
+
 @dataclass
 class Model:
     """Costs of the character model, the precision of each toxic feature, and the rate without any."""
@@ -241,8 +247,7 @@ def fit(
 ) -> Model:
     """Learn the lexicon from at most ``rows`` labelled rows; the character model is counted over all ``docs``.
 
-    Copies must not make a chance word look toxic, so documents with the same smallest feature
-    hash, as near copies mostly have, count once. Without labels the lexicon is empty and all
+    Copies must not make a chance word look toxic, so documents with the same sketch count once. Without labels the lexicon is empty and all
     scores are the same.
     """
     costs = character_model(docs, text_column)
@@ -252,9 +257,8 @@ def fit(
         decoder = Decoder(costs.tolist())
 
         def row(label: int, text: bytes) -> Iterator[tuple]:
-            words = set(words_of(decoder.restore(text)))
-            hashes = {xxhash.xxh3_64_intdigest(w) - 2**63 for w in words}
-            yield label, min(hashes, default=0), list({f for w in words for f in features(w)}) if label else []
+            words = words_of(decoder.restore(text))
+            yield label, sketch(words), list({f for w in set(words) for f in features(w)}) if label else []
 
         return row
 
@@ -269,21 +273,20 @@ def fit(
         decoder = Decoder(costs.tolist())
 
         def row(label: int, text: bytes) -> Iterator[tuple]:
-            words = set(words_of(decoder.restore(text)))
-            hashes = {xxhash.xxh3_64_intdigest(w) - 2**63 for w in words}
-            hits = {number[f] for w in words for f in features(w) if f in number}
-            yield label, min(hashes, default=0), np.fromiter(hits, np.int32, len(hits)).tobytes()
+            words = words_of(decoder.restore(text))
+            hits = {number[f] for w in set(words) for f in features(w) if f in number}
+            yield label, sketch(words), np.fromiter(hits, np.int32, len(hits)).tobytes()
 
         return row
 
     seen = map_rows(sample, "label int, sketch long, found binary", known).collect()
     counts = np.zeros((2, len(number)))
     once: set[tuple] = set()
-    hits_of = [(label, sketch, np.frombuffer(found, np.int32)) for label, sketch, found in seen]
-    for label, sketch, hits in hits_of:
+    hits_of = [(label, copies, np.frombuffer(hits, np.int32)) for label, copies, hits in seen]
+    for label, copies, hits in hits_of:
         if label:
-            hits = np.array([h for h in hits.tolist() if (sketch, h) not in once], np.int32)
-            once.update((sketch, h) for h in hits.tolist())
+            hits = np.array([h for h in hits.tolist() if (copies, h) not in once], np.int32)
+            once.update((copies, h) for h in hits.tolist())
         counts[int(label > 0), hits] += 1
     precision = counts[1] / (counts.sum(axis=0) + 0.5)
     good = (precision >= LEAST_PRECISION) & (counts[1] >= least)
