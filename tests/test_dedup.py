@@ -73,10 +73,12 @@ def test_identical_copies_keep_exactly_one(spark, tmp_path):
         assert rows(flagged.groupBy("id", "dup").count()) == [("x", False, 1), ("x", True, 49), ("y", False, 1)]
 
 
-def test_a_hot_group_needs_positions(spark):
-    df = make(spark, [("x", T0, 1)] * 50)
-    with pytest.raises(ValueError, match="position columns"):
-        flag_duplicates(df, "id", "dup", "at", hot_rows=10)
+def test_a_hot_group_without_positions_is_numbered_whole(spark):
+    df = make(spark, [("x", T0, 1)] * 50 + [("y", T0, 1)] * 2)
+    plain = flag_duplicates(df, "id", "dup", "at")
+    hot = flag_duplicates(df, "id", "dup", "at", hot_rows=10)
+    assert plain.filter("dup").count() == hot.filter("dup").count() == 50
+    assert rows(hot, "id", "_duplicate_rank") == rows(plain, "id", "_duplicate_rank")
 
 
 def test_hot_keys_are_bounded(spark):

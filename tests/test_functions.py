@@ -6,6 +6,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from wattline.functions import (
+    rounded,
+    exact_sum,
     calendar_columns,
     cast_columns,
     date_spine,
@@ -101,3 +103,9 @@ def test_calendar_covers_both_ends_and_names_days(spark):
     assert [r.date_day.day for r in leap] == [28, 29, 1]
     assert leap[0].month_end_date == date(2024, 2, 29)
     assert leap[0].month_start_date == date(2024, 2, 1)
+
+
+def test_absurd_values_do_not_stop_sums_and_rounding(spark):
+    df = spark.createDataFrame([(10.0**15,), (8 * 10.0**14,), (1.5,)], "v double")
+    row = df.select(exact_sum("v").cast("double").alias("s"), rounded(F.max("v"), 2).alias("r")).first()
+    assert row.s == 1.8e15 + 1.5 and row.r == 1e15

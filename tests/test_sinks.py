@@ -122,3 +122,28 @@ def test_daily_csv_has_one_folder_per_day(spark, tmp_path):
     assert folders == ["day=2026-01-01", "day=2026-01-02"]
     back = spark.read.option("header", True).csv(str(tmp_path / "out"))
     assert rows(back, "id", "source_file_name") == [("a", "usage_20260101.csv"), ("b", "usage_20260102.csv")]
+
+
+def test_partition_upsert_evaluates_its_batch_once(spark):
+    table = "sinks.once"
+    replace_partitions(spark, table, batch(spark, ("a", 1, D1), ("b", 1, D2)), "id", "day")
+    seen = spark.sparkContext.accumulator(0)
+    source = batch(spark, ("a", 2, D2), ("c", 2, D3)).rdd.map(lambda row: (seen.add(1), row)[1])
+    replace_partitions(spark, table, spark.createDataFrame(source, "id string, n int, day date"), "id", "day")
+    assert seen.value == 2
+    assert rows(spark.table(table), "id", "n", "day") == [("a", 2, D2), ("b", 1, D2), ("c", 2, D3)]
+
+
+def test_partition_upsert_moves_a_null_key(spark):
+    table = "sinks.null_key"
+    replace_partitions(spark, table, batch(spark, (None, 1, D1), ("b", 1, D1)), "id", "day")
+    replace_partitions(spark, table, batch(spark, (None, 2, D2)), "id", "day")
+    assert rows(spark.table(table), "id", "n", "day") == [("b", 1, D1), (None, 2, D2)]
+
+
+def test_a_rebuild_lost_before_its_renaming_is_finished_by_the_next_run(spark):
+    table = "sinks.lost"
+    replace_partitions(spark, table, batch(spark, ("a", 1, D1), ("b", 1, D2)), "id", "day")
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__rebuilt")
+    replace_partitions(spark, table, batch(spark, ("a", 2, D1)), "id", "day")
+    assert rows(spark.table(table), "id", "n", "day") == [("a", 2, D1), ("b", 1, D2)]

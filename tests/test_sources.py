@@ -5,6 +5,7 @@ from conftest import rows
 
 from wattline.sources.csv import (
     NoFilesFound,
+    UnrecognisedHeader,
     file_manifest,
     list_files,
     read_csv,
@@ -125,3 +126,45 @@ def test_registered_layout():
     assert readings.path("/raw/") == "/raw/meter_readings/reading_date=*/meter_readings_*.csv"
     assert (readings.folder_key, SOURCES["customers"].folder_key) == ("reading_date", None)
     assert [s.name for s in SOURCES.values() if s.drifting] == ["meter_readings"]
+
+
+def test_a_file_may_name_its_columns_in_any_order(spark, drifting, tmp_path):
+    other = tmp_path / "raw" / "day=2026-01-05" / "r_5.csv"
+    other.parent.mkdir()
+    other.write_text("\nb,fw,id\nq,F,6\nid,F,7\n")
+    df = read_drifting_csv(spark, f"{drifting}/day=*/r_*.csv", "id")
+    assert rows(df.filter("id in ('6', '7')"), "id", "a", "b", "fw") == [("6", None, "q", "F"), ("7", None, "id", "F")]
+    assert df.count() == 7
+    manifest = file_manifest(spark, f"{drifting}/day=*/r_*.csv", "readings", "id", ["new"])
+    assert rows(manifest.filter("file_name = 'r_5.csv'"), "record_count", "columns", "recognised") == [(2, "b|fw|id", True)]
+
+
+@pytest.mark.parametrize("text", ["8,x,y\n9,x,y\n", "\n\n", "ID,a\n1,x\n"])
+def test_a_file_without_the_header_stops_the_read_and_shows_in_the_manifest(spark, drifting, tmp_path, text):
+    other = tmp_path / "raw" / "day=2026-01-05" / "r_5.csv"
+    other.parent.mkdir()
+    other.write_text(text)
+    with pytest.raises(UnrecognisedHeader, match="r_5.csv"):
+        read_drifting_csv(spark, f"{drifting}/day=*/r_*.csv", "id")
+    manifest = file_manifest(spark, f"{drifting}/day=*/r_*.csv", "readings", "id", ["new"])
+    assert rows(manifest, "file_name", "recognised") == [(f"r_{i}.csv", i != 5) for i in range(1, 6)]
+
+
+def test_paths_with_blanks_and_signs(spark, tmp_path):
+    path = tmp_path / "a b+c%20d" / "r 1.csv"
+    path.parent.mkdir()
+    path.write_text("id,a\n1,x\n")
+    assert rows(read_drifting_csv(spark, str(path), "id")) == [("1", "x")]
+
+
+def test_sources_keep_malformed_lines_and_growing_ones_read_every_header(spark, tmp_path):
+    folder = tmp_path / "weather" / "weather_date=2026-01-01"
+    folder.mkdir(parents=True)
+    (folder / "weather_1.csv").write_text("weather_id,region\nW1,London\nW2\n")
+    (folder / "weather_2.csv").write_text("region,weather_id\nLeeds,W3\n")
+    source = SOURCES["weather"]
+    assert rows(source.read(spark, source.path(str(tmp_path))), "weather_id", "region") == [
+        ("W1", "London"), ("W2", None), ("W3", "Leeds"),
+    ]
+    kept = source.read(spark, source.path(str(tmp_path)), corrupt_column="_corrupt")
+    assert rows(kept, "weather_id", "_corrupt") == [("W1", None), ("W2", "W2"), ("W3", None)]

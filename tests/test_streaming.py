@@ -52,3 +52,17 @@ def test_usage_counts_late_rows_until_the_watermark_and_ids_once(spark, tmp_path
     usage = streamed_daily_usage(spark, out)
     shown = ("reading_count", "active_meter_count", "total_consumption_kwh", "late_arriving_reading_count")
     assert [(str(r[0]), *r[1:]) for r in rows(usage, "reading_date", *shown)] == [("2026-01-01", 3, 2, 4.5, 1)]
+
+
+def test_readings_without_an_id_are_not_copies_of_each_other(spark, tmp_path):
+    folder, out, log = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "log")
+
+    def feed(*values):
+        spark.createDataFrame(values, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+        run_usage_stream(spark.readStream.schema(SCHEMA).parquet(folder), out, log, "1 hours")
+
+    feed(*[(None, "M1", "C1", T0, "London", 1.5, 230.0, False)] * 10)
+    feed(("R1", "M1", "C1", T0 + timedelta(days=3), "London", 1.5, 230.0, False))
+    feed(("R2", "M1", "C1", T0 + timedelta(days=4), "London", 1.5, 230.0, False))
+    usage = streamed_daily_usage(spark, out)
+    assert [(str(r[0]), r[1]) for r in rows(usage, "reading_date", "reading_count")][:1] == [("2026-01-01", 10)]

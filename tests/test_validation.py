@@ -103,3 +103,28 @@ def test_untouched_rows_keep_their_processing_time(spark):
 def test_sources_with_references_are_refused(spark):
     with pytest.raises(ValueError, match="load by load"):
         validate_new_rows(spark, BILLING, "times", "times", "times", build(0))
+
+
+@pytest.mark.parametrize("times", [(0, 0, 0), (2, 0, 1)])
+def test_loads_may_share_a_time_or_come_late(spark, times):
+    """Also when a run is lost before it records its files: the next judges their rows again."""
+    draw, whole, grown = random.Random(7), f"whole_late{times[0]}", f"grown_late{times[0]}"
+    create_schemas(spark, whole, grown)
+    for schema in (whole, grown):
+        create_audit_tables(spark, schema)
+    log = f"{grown}.meter_readings_verdicts_files"
+    for number, time in enumerate(times):
+        new = spark.createDataFrame(load(draw, time), COLUMNS).coalesce(1)
+        land_table(new, f"{grown}.meter_readings_raw", "incremental")
+        step = validate_new_rows(spark, READINGS, grown, grown, grown, build(5))
+        if number == 2:
+            kept = [tuple(r) for r in spark.table(log).collect()][:1]
+            spark.sql(f"truncate table {log}")
+            spark.createDataFrame(kept, "file_path string, run_id string").write.insertInto(log)
+            step = validate_new_rows(spark, READINGS, grown, grown, grown, build(5))
+        full = validate_source(spark, READINGS, grown, whole, whole, build(5))
+        assert spark.table(f"{grown}.meter_readings_verdicts").count() == 60 * (number + 1)
+        counted = ("bronze_records", "clean_records", "quarantined_records")
+        assert [step[c] for c in counted] == [full[c] for c in counted]
+        for part in ("clean", "quarantine"):
+            assert outcome(spark, grown, part) == outcome(spark, whole, part)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EXACT_TYPE = "decimal(20,6)"
+EXACT_TYPE = "decimal(28,6)"
 
 
 def _col(value: str | Column) -> Column:
@@ -23,12 +23,12 @@ def exact_sum(value: str | Column) -> Column:
 def exact_avg(total: str | Column, count: str | Column) -> Column:
     """Mean from an exact sum and a count; null when nothing was counted."""
     counted = F.when(_col(count) > 0, _col(count))
-    return (_col(total) / counted.cast("decimal(18,0)")).cast("decimal(24,9)")
+    return (_col(total) / counted.cast("decimal(18,0)")).cast("decimal(38,9)")
 
 
 def rounded(value: str | Column, digits: int) -> Column:
     """Half-up rounding on decimals, handed back as the double the tables store."""
-    return F.round(_col(value).cast("decimal(24,9)"), digits).cast("double")
+    return F.round(_col(value).cast("decimal(38,9)"), digits).cast("double")
 
 
 def pence_to_pounds(value: str | Column) -> Column:

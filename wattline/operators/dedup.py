@@ -29,7 +29,8 @@ def flag_duplicates(
 
     A key with more than ``hot_rows`` rows is numbered in pieces of bounded length: a piece
     is one time, one file and one run of positions. The number of a row is its number
-    within its piece plus the rows of all earlier pieces.
+    within its piece plus the rows of all earlier pieces. Rows without ``position`` have no place
+    to be cut at; their keys are numbered whole, with the same result and more spilling.
     """
     key_names = [keys] if isinstance(keys, str) else list(keys)
     positions = [c for c in position if c in df.columns]
@@ -42,12 +43,10 @@ def flag_duplicates(
 
     keyed = all_present(key_names)
     rows = df.withColumn("_spread", F.when(~keyed, spread))
-    if hot is None:
+    if hot is None or not positions:
         groups = Window.partitionBy(*key_names, "_spread").orderBy(*order)
         ranked = rows.withColumn(rank, F.row_number().over(groups))
     else:
-        if not positions:
-            raise ValueError(f"{key_names} holds a very large group: give the position columns of the rows")
         ranked = _rank_in_pieces(rows, key_names, hot, newest_by, positions, order, rank, hot_rows)
     return ranked.drop("_spread").withColumn(flag, keyed & (F.col(rank) > 1))
 

@@ -76,12 +76,13 @@ def upsert(
     names = [keys] if isinstance(keys, str) else list(keys)
     batch_keys = batch.select(*[F.col(k).alias(f"_key_{k}") for k in names])
     kept = sync_columns(target, batch.schema).join(
-        broadcast_within(batch_keys, broadcast_rows), _null_safe_match(names), "left_anti"
+        broadcast_within(batch_keys, broadcast_rows), null_safe_match(names), "left_anti"
     )
     return kept.unionByName(batch)
 
 
-def _null_safe_match(names: Sequence[str]) -> Column:
+def null_safe_match(names: Sequence[str]) -> Column:
+    """Keys and their ``_key_`` copies are the same, nulls included."""
     match = F.col(names[0]).eqNullSafe(F.col(f"_key_{names[0]}"))
     for name in names[1:]:
         match = match & F.col(name).eqNullSafe(F.col(f"_key_{name}"))

@@ -12,12 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.operators.incremental import require_unique, upsert
-from wattline.operators.skew import BROADCAST_ROWS
+from wattline.operators.incremental import null_safe_match, require_unique, upsert
+from wattline.operators.skew import BROADCAST_ROWS, broadcast_within
 from wattline.session import shared_folder
 
 FULL, INCREMENTAL = "full", "incremental"
 VERSION_PROPERTY = "wattline.version"
+REBUILT = "__rebuilt"
 
 
 def create_schemas(spark: SparkSession, *names: str, location: str | None = None) -> None:
@@ -103,32 +104,45 @@ def replace_partitions(
 ) -> None:
     """Upsert into a partitioned table, rewriting only partitions the batch touches.
 
-    Touched are the partitions of the batch and those that hold an older row of one of its
+    The batch is evaluated once, into a folder of its own that goes away afterwards. Touched are the partitions of the batch and those that hold an older row of one of its
     keys. Their names are read to the driver: one value per day, never per row. The new
     content is written to the shared folder first, so the table is not read while it is
     overwritten; it is rebalanced by partition there, which keeps files few and splits a
     large day. Running the same batch again gives the same table.
 
     Columns follow the batch: new ones are added to the table; when one has vanished, the
-    table is rebuilt without it, which reads all partitions.
+    table is rebuilt without it under another name, which reads all partitions, and takes the
+    old one's place when it is complete. Null keys match each other.
     """
     names = [keys] if isinstance(keys, str) else list(keys)
+    folder = shared_folder(spark, "batch")
+    try:
+        batch.write.parquet(folder)
+        _replace(spark, table, spark.read.schema(batch.schema).parquet(folder), names, partition, broadcast_rows)
+    finally:
+        remove_folder(spark, folder)
+
+
+def _replace(
+    spark: SparkSession, table: str, batch: DataFrame, names: list[str], partition: str, broadcast_rows: int
+) -> None:
     require_unique(batch, names)
+    _finish_swap(spark, table)
     if not spark.catalog.tableExists(table):
         save_table(batch.hint("rebalance", partition), table, "errorifexists", [partition])
         return
     if set(spark.table(table).columns) - set(batch.columns):
-        whole = shared_folder(spark, "rebuild")
         rebuilt = upsert(spark.table(table), batch, names, broadcast_rows)
-        rebuilt.hint("rebalance", partition).write.parquet(whole)
-        save_table(spark.read.schema(batch.schema).parquet(whole), table, "overwrite", [partition])
+        save_table(rebuilt.hint("rebalance", partition), f"{table}{REBUILT}", "overwrite", [partition])
+        spark.sql(f"DROP TABLE {table}")
+        _finish_swap(spark, table)
         return
     widen(spark, table, batch.schema)
     target = spark.table(table)
-    batch_keys = batch.select(*names).distinct()
-    if batch_keys.count() <= broadcast_rows:
-        batch_keys = F.broadcast(batch_keys)
-    holding_older = target.select(*dict.fromkeys([*names, partition])).join(batch_keys, names, "left_semi")
+    batch_keys = batch.select(*[F.col(k).alias(f"_key_{k}") for k in names]).distinct()
+    holding_older = target.select(*dict.fromkeys([*names, partition])).join(
+        broadcast_within(batch_keys, broadcast_rows), null_safe_match(names), "left_semi"
+    )
     touched = {
         row[0] for row in batch.select(partition).union(holding_older.select(partition)).distinct().collect()
     }
@@ -136,21 +150,38 @@ def replace_partitions(
     overwrite_partitions(spark, table, merged, partition, touched)
 
 
+def _finish_swap(spark: SparkSession, table: str) -> None:
+    """Give a rebuilt table its name; also after a run that was lost between dropping and renaming."""
+    rebuilt = f"{table}{REBUILT}"
+    if spark.catalog.tableExists(rebuilt) and not spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {rebuilt} RENAME TO {table}")
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+        spark.catalog.refreshTable(table)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def overwrite_partitions(
     spark: SparkSession, table: str, df: DataFrame, partition: str, touched: set
 ) -> None:
     """Replace the named partitions of a table by the given rows, which may come from them."""
     target = spark.table(table)
     staging = shared_folder(spark, "partitions")
-    df.select(*target.columns).hint("rebalance", partition).write.parquet(staging)
-    staged = spark.read.schema(target.schema).parquet(staging)
-    left = {row[0] for row in staged.select(partition).distinct().collect()}
-    with _dynamic_overwrite(spark):
-        staged.write.insertInto(table, overwrite=True)
-    for value in touched - left:
-        spec = f"{partition} = {'NULL' if value is None else repr(str(value))}"
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
-    spark.catalog.refreshTable(table)
+    try:
+        df.select(*target.columns).hint("rebalance", partition).write.parquet(staging)
+        staged = spark.read.schema(target.schema).parquet(staging)
+        left = {row[0] for row in staged.select(partition).distinct().collect()}
+        with _dynamic_overwrite(spark):
+            staged.write.insertInto(table, overwrite=True)
+        for value in touched - left:
+            spec = f"{partition} = {'NULL' if value is None else repr(str(value))}"
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+        spark.catalog.refreshTable(table)
+    finally:
+        remove_folder(spark, staging)
 
 
 def in_partitions(partition: str, values: set) -> Column:

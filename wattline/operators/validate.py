@@ -101,7 +101,7 @@ def judged_rows(flagged: DataFrame, rules: RuleSet, processed_at: datetime) -> D
 def view_of_clean(judged: DataFrame, rules: RuleSet) -> DataFrame:
     return (
         judged.filter(F.col("verdict") == CLEAN)
-        .drop("verdict", *rules.clean_drops)
+        .drop("verdict", *rules.clean_drops, *POSITION)
         .withColumnRenamed("processed_at_utc", "silver_processed_at_utc")
     )
 
@@ -109,7 +109,7 @@ def view_of_clean(judged: DataFrame, rules: RuleSet) -> DataFrame:
 def view_of_quarantined(judged: DataFrame) -> DataFrame:
     return (
         judged.filter(F.col("verdict") == QUARANTINED)
-        .drop("verdict")
+        .drop("verdict", *POSITION)
         .withColumnRenamed("processed_at_utc", "quarantined_at_utc")
     )
 

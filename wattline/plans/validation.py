@@ -9,9 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.operators.audit import VALIDATION_AUDIT, VALIDATION_AUDIT_COLUMNS, audited
-from wattline.operators.incremental import high_watermark
 from wattline.operators.rules import REFERENCE, RuleSet
-from wattline.operators.sinks import in_partitions, overwrite_partitions, publish, save_table, widen
+from wattline.operators.sinks import (
+    create_table,
+    in_partitions,
+    overwrite_partitions,
+    publish,
+    save_table,
+    widen,
+)
 from wattline.operators.skew import lookup_join
 from wattline.operators.validate import (
     CLEAN,
@@ -26,8 +32,9 @@ from wattline.operators.validate import (
     view_of_quarantined,
 )
 from wattline.plans.build import Build
-from wattline.sources.tables import POSITION, read_table, with_position
+from wattline.sources.tables import POSITION, read_table, rows_frame, with_position
 
+JUDGED_FILES = "file_path string, run_id string"
 COUNTERS = ("bronze_records", "clean_records", "quarantined_records", "duplicate_records")
 
 
@@ -78,7 +85,10 @@ def validate_new_rows(
     again only where its verdict can differ: when a new row has its key, or when it was
     ahead of the clock. Rows are kept by day, and only days with such rows are rewritten.
     The outcome is that of judging the whole landing table, but for the processing times.
-    Every load must carry a time of its own.
+
+    New are the rows of landed files that no finished run has judged, whatever time their load
+    carries: loads may share a time or come late. A file is recorded after its rows are
+    saved; rows of a run that was lost on the way are judged again and replaced.
     """
     if rules.of_kind(REFERENCE) or not rules.day:
         raise ValueError(f"{rules.source} cannot be judged load by load")
@@ -86,20 +96,26 @@ def validate_new_rows(
     with _recorded(spark, rules, landing, schema, audit_schema, run) as record:
         raw = read_table(spark, record["source_table"])
         record["bronze_records"] = raw.count()
-        positioned = with_position(raw)
+        log = f"{table}_files"
+        create_table(spark, log, JUDGED_FILES)
+        landed = raw.select(F.col("_metadata.file_path").alias("file_path")).distinct()
+        paths = [r[0] for r in landed.join(spark.table(log), "file_path", "left_anti").collect()]
+        positioned = with_position(raw.filter(F.col("_metadata.file_path").isin(paths)))
         if spark.catalog.tableExists(table):
-            _judge_growth(spark, rules, table, positioned, run)
+            _judge_growth(spark, rules, table, positioned, paths, run)
         else:
             flagged = flag_rows(standardise(positioned, rules), rules, run.as_of)
             first = _all_verdicts(flagged, rules, run)
             save_table(first.hint("rebalance", rules.day), table, "errorifexists", [rules.day])
+        if paths:
+            rows_frame(spark, [(path, run.run_id) for path in paths], JUDGED_FILES).write.insertInto(log)
         record.update(_show_outcome(spark, rules, schema, table))
     return record
 
 
 def _all_verdicts(flagged: DataFrame, rules: RuleSet, run: Build) -> DataFrame:
     """Judged rows, also those without a verdict: they may get one later."""
-    return flagged.drop(*POSITION).withColumns(
+    return flagged.withColumns(
         {
             "verdict": verdict(rules.flags, rules.null_verdict),
             "processed_at_utc": F.lit(run.as_of).cast("timestamp"),
@@ -108,13 +124,16 @@ def _all_verdicts(flagged: DataFrame, rules: RuleSet, run: Build) -> DataFrame:
 
 
 def _judge_growth(
-    spark: SparkSession, rules: RuleSet, table: str, positioned: DataFrame, run: Build
+    spark: SparkSession, rules: RuleSet, table: str, positioned: DataFrame, paths: list[str], run: Build
 ) -> None:
-    day = rules.day
-    since = high_watermark(spark.table(table), rules.newest_by)
-    fresh = standardise(positioned.filter(F.col(rules.newest_by) > F.lit(since)), rules)
-    widen(spark, table, fresh.drop(*POSITION).schema)
-    known = spark.table(table)
+    """``positioned`` are the rows of the files ``paths``, of which a lost run may have left some in the table."""
+    day, file = rules.day, POSITION[0]
+    fresh = standardise(positioned, rules)
+    widen(spark, table, fresh.schema)
+    hashes = rows_frame(spark, [(path,) for path in paths], "path string")
+    left = [r[0] for r in hashes.select(F.xxhash64("path")).collect()]
+    saved = spark.table(table)
+    known, lost = saved.filter(~F.col(file).isin(left)), saved.filter(F.col(file).isin(left))
 
     renewed = fresh.select(rules.key).filter(F.col(rules.key).isNotNull()).distinct()
     marked = lookup_join(known, renewed.withColumn("_renewed", F.lit(True)), rules.key)
@@ -125,6 +144,7 @@ def _judge_growth(
     touched = {
         row[0]
         for row in fresh.select(day)
+        .union(lost.select(day))
         .union(marked.filter("_renewed or _due").select(day))
         .distinct()
         .collect()
@@ -133,13 +153,8 @@ def _judge_growth(
         return
 
     near = marked.filter(in_partitions(day, touched))
-    # Copies already ranked keep their order among themselves; new ones follow their files.
-    old_order = [F.lit(0).cast("bigint").alias(POSITION[0]), F.col(rules.rank).cast("bigint").alias(POSITION[1])]
-    source_columns = [c for c in fresh.columns if c not in POSITION]
-    copies = near.filter("_renewed").select(*source_columns, *old_order).unionByName(
-        fresh.select(*source_columns, *POSITION)
-    )
-    ranked = flag_copies(copies, rules).drop(*POSITION)
+    copies = near.filter("_renewed").select(*fresh.columns).unionByName(fresh)
+    ranked = flag_copies(copies, rules)
     waiting = near.filter("_due and not _renewed").select(*ranked.columns)
     again = _all_verdicts(flag_values(ranked.unionByName(waiting), rules, run.as_of), rules, run)
     kept = near.filter("not _renewed and not _due").select(*known.columns)

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,11 +54,15 @@ def read_csv(
     return df.withColumn(folder_key, F.nullif(value, F.lit("")))
 
 
-def file_headers(spark: SparkSession, paths: str | Sequence[str], first_column: str) -> DataFrame:
-    """Path and header line of every file.
+class UnrecognisedHeader(ValueError):
+    """A file does not begin with a header that names the declared first column."""
 
-    A header is the line that starts with the declared first column; the lines are searched
-    by the executors, so the driver opens no file.
+
+def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Path and header line of every file that has a line.
+
+    The header is the first line that is not blank, whatever columns it names and in
+    whatever order. The lines are searched by the executors, so the driver opens no file.
     """
     try:
         lines = spark.read.text(paths if isinstance(paths, str) else list(paths))
@@ -67,14 +70,40 @@ def file_headers(spark: SparkSession, paths: str | Sequence[str], first_column:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise NoFilesFound(f"no file matches {paths}") from error
         raise
-    first = F.trim(F.regexp_replace(F.split_part("value", F.lit(","), F.lit(1)), '^\ufeff|"', ""))
-    return (
-        lines.filter(F.col("value").contains(first_column) & (first == first_column))
-        .select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("header"))
-        .dropDuplicates(["file_path"])
+    beginnings = lines.select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+        "value",
+    ).filter((F.col("block") == 0) & (F.trim("value") != ""))
+    return beginnings.groupBy("file_path").agg(F.min_by("value", "line").alias("header"))
+
+
+def _known_headers(spark: SparkSession, paths: str | Sequence[str], first_column: str) -> DataFrame:
+    """Path, header line and recognised or not, for every file that is not empty.
+
+    A file of no bytes has no rows; listings leave it out, so it is not recorded as loaded either."""
+    headers = file_headers(spark, paths)
+    names = F.transform(F.split("header", ","), lambda name: F.trim(F.regexp_replace(name, '^\ufeff|"', "")))
+    listed = list_files(spark, paths).select(_plain(F.col("file_path")).alias("plain"), "file_path")
+    read = headers.select(_unescaped("file_path").alias("plain"), "header", names.alias("names"))
+    return listed.join(read, "plain", "left").select(
+        "file_path",
+        "header",
+        F.coalesce("names", F.array().cast("array<string>")).alias("names"),
+        F.coalesce(F.array_contains("names", first_column), F.lit(False)).alias("recognised"),
     )
 
 
+def _unescaped(path: str) -> Column:
+    """The path of a scanned row as listings show it: scans escape it."""
+    return _plain(F.url_decode(F.regexp_replace(path, r"\+", "%2B")))
+
+
+def _plain(path: Column) -> Column:
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
 def header_columns(header: str) -> list[str]:
     return [name.strip() for name in next(csv.reader([header.lstrip("\ufeff")]))]
 
@@ -85,28 +114,26 @@ def read_drifting_csv(
     first_column: str,
     multiline: bool = False,
     folder_key: str | None = None,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """All-text scan of files whose columns changed over time, matched by name.
 
-    Files are grouped by header and read once per header, so the plan grows with the number
-    of schema versions, not of files. The driver holds file paths, as it does for any scan.
+    Every file is read by its own header; one whose header does not name ``first_column``, in
+    any place, stops the read, so no file is left out in silence. Files are grouped by header and
+    read once per header: the plan grows with the number of schema versions, not of files.
+    The driver holds file paths, as it does for any scan.
     """
-    headers = file_headers(spark, paths, first_column)
-    versions = (
-        headers.groupBy("header")
-        .agg(F.sort_array(F.collect_list("file_path")).alias("paths"))
-        .select("header", "paths", F.col("paths")[0].alias("oldest"))
-        .orderBy("oldest")
-        .collect()
-    )
-    if not versions:
-        raise NoFilesFound(f"no file with a {first_column} header matches {paths}")
+    headers = _known_headers(spark, paths, first_column)
+    unknown = headers.filter("not recognised").select("file_path").orderBy("file_path").limit(10).collect()
+    if unknown:
+        raise UnrecognisedHeader(f"no {first_column} header in {[row.file_path for row in unknown]}")
     by_columns: dict[tuple[str, ...], list[str]] = {}
-    for version in versions:
-        columns = tuple(header_columns(version.header))
-        by_columns.setdefault(columns, []).extend(unquote(p) for p in version.paths)
+    for row in headers.select("file_path", "header").orderBy("file_path").toLocalIterator():
+        by_columns.setdefault(tuple(header_columns(row.header)), []).append(row.file_path)
+    if not by_columns:
+        raise NoFilesFound(f"no file matches {paths}")
     scans = [
-        read_csv(spark, files, columns, multiline, folder_key=folder_key)
+        read_csv(spark, files, columns, multiline, corrupt_column, folder_key)
         for columns, files in by_columns.items()
     ]
     return union_by_name(scans)
@@ -141,10 +168,10 @@ def read_daily_files(
     return spark.createDataFrame([], text_schema(columns))
 
 
-def list_files(spark: SparkSession, paths: str) -> DataFrame:
+def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Path, size and time of the matching files. Their content is not read."""
     try:
-        files = spark.read.format("binaryFile").load(paths)
+        files = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise NoFilesFound(f"no file matches {paths}") from error
@@ -155,11 +182,13 @@ def list_files(spark: SparkSession, paths: str) -> DataFrame:
 def file_manifest(
     spark: SparkSession, paths: str, source: str, first_column: str, drift_columns: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per file: its rows, its columns and whether it has the later columns."""
-    headers = file_headers(spark, paths, first_column)
-    names = F.transform(F.split("header", ","), lambda name: F.trim(F.regexp_replace(name, '^\ufeff|"', "")))
+    """One row per file: its rows, its columns, whether it has the later columns and a header that is known."""
+    headers = _known_headers(spark, paths, first_column)
+    names = F.col("names")
     described = headers.select(
         "file_path",
+        _plain(F.col("file_path")).alias("plain"),
+        "recognised",
         F.size(names).alias("column_count"),
         F.array_join(names, "|").alias("columns"),
         (F.lit(bool(drift_columns)) & F.arrays_overlap(names, F.lit(list(drift_columns) or [""]))).alias(
@@ -170,12 +199,12 @@ def file_manifest(
         spark.read.option("header", True)
         .schema(text_schema([first_column]))
         .csv(paths)
-        .select(F.col("_metadata.file_path").alias("file_path"))
-        .groupBy("file_path")
+        .select(_unescaped("_metadata.file_path").alias("plain"))
+        .groupBy("plain")
         .agg(F.count(F.lit(1)).alias("record_count"))
     )
     return (
-        described.join(rows, "file_path", "left")
+        described.join(rows, "plain", "left")
         .select(
             F.lit(source).alias("source_name"),
             F.element_at(F.split("file_path", "/"), -1).alias("file_name"),
@@ -185,6 +214,7 @@ def file_manifest(
             "column_count",
             "columns",
             "schema_drift_applied",
+            "recognised",
         )
     )
 

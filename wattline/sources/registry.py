@@ -31,10 +31,17 @@ class Source:
     def path(self, base: str) -> str:
         return f"{base.rstrip('/')}/{self.name}/{self.pattern}"
 
-    def read(self, spark: SparkSession, paths: str | list[str]) -> DataFrame:
-        """Text rows of the source; only a drifting source pays for the look at headers."""
-        if self.drifting:
-            return read_drifting_csv(spark, paths, self.first_column, self.multiline, self.folder_key)
+    def read(self, spark: SparkSession, paths: str | list[str], corrupt_column: str | None = None) -> DataFrame:
+        """Text rows of the source, with the text of malformed lines in ``corrupt_column`` if it is given.
+
+        A source that grows file by file is read by each file's own header, since a new file may
+        name its columns in another order; a full load pays for the look at headers only
+        where malformed lines are asked for.
+        """
+        if self.load_type == "incremental" or corrupt_column:
+            return read_drifting_csv(
+                spark, paths, self.first_column, self.multiline, self.folder_key, corrupt_column
+            )
         return read_csv(spark, paths, multiline=self.multiline, folder_key=self.folder_key)
 
 

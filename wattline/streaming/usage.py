@@ -15,10 +15,11 @@ LATEST_ARRIVAL = "120 hours"
 def stream_meter_days(readings: DataFrame, delay: str = LATEST_ARRIVAL) -> DataFrame:
     """Sums per day, region, meter and customer, emitted once a day can no longer change.
 
-    State is held per reading id and per meter-day and is dropped behind the watermark. It
+    A reading without an id is a row of its own. State is held per reading id and per meter-day and is dropped behind the watermark. It
     is spread by id and by meter, so a busy region is not one state row.
     """
-    once = readings.withWatermark("reading_timestamp", delay).dropDuplicatesWithinWatermark(["reading_id"])
+    named = readings.withColumn("_once", F.coalesce("reading_id", F.uuid()))
+    once = named.withWatermark("reading_timestamp", delay).dropDuplicatesWithinWatermark(["_once"])
     days = once.groupBy(F.window("reading_timestamp", "1 day"), "region", "meter_id", "customer_id").agg(
         F.count(F.lit(1)).alias("readings"),
         F.count("consumption_kwh").alias("kwh_count"),
