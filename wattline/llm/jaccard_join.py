@@ -80,24 +80,24 @@ def _judged(docs: DataFrame, size: int, similarity: int, common: Broadcast, shar
         def row(doc_id: int | None, digest: bytes, text: bytes, group_size: int) -> Iterator[tuple]:
             tokens = shingles.of(text)
             first = _ordered(tokens, common.value, similarity)
-            alive = first[passes(shared.value, first)] if len(first) else first
-            n = len(tokens)
+            places = np.flatnonzero(passes(shared.value, first))
+            alive, n = first[places], len(tokens)
             if not len(alive):
-                yield doc_id, digest, group_size, n, 0, 0, None, None, None
+                yield doc_id, digest, group_size, n, 0, 0, None, None, None, None
                 return
             bits = np.zeros(BITS, np.uint8)
             bits[tokens % np.uint64(BITS)] = 1
             excess = n - int(bits.sum())
             yield (
                 doc_id, digest, group_size, n, n - len(first), excess, text, alive.view(np.int64).tolist(),
-                np.packbits(bits).tobytes(),
+                places.tolist(), np.packbits(bits).tobytes(),
             )
 
         return row
 
     schema = (
         "doc_id long, digest binary, group_size long, n long, rest long, excess long, "
-        "text binary, tokens array<long>, bits binary"
+        "text binary, tokens array<long>, places array<int>, bits binary"
     )
     return map_rows(docs.select("doc_id", "digest", "text", "group_size"), schema, each)
 
@@ -167,17 +167,21 @@ def _tree_nodes(nodes: DataFrame) -> DataFrame:
 def _traversed(nodes: DataFrame, blocks: DataFrame, similarity: int) -> DataFrame:
     """Pairs of documents of different classes that the dual traversal cannot rule out."""
     where = nodes.select("row", "node", "root")
-    placed = blocks.select("token", "row").join(where, "row").select("token", "node", "root").distinct()
+    placed = blocks.select("token", "row", "n", "place").join(where, "row").groupBy("token", "node", "root").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("place")).alias("after")
+    )
     placed = staged(placed, "join-placed")
+    # Sizes and places are those of the documents of the node that have the token.
     mixed_tokens = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
     placed = staged(placed.join(mixed_tokens.select("token"), "token"), "join-mixed")
     tree = staged(_tree_nodes(nodes.join(placed.select("node").distinct(), "node", "left_semi")), "join-tree")
-    sizes = tree.select("node", "least", "most")
-    sized = staged(placed.join(sizes, "node"), "join-sized")
-    left, right = (sized.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "least", "most"))) for s in "ab")
+    columns = ("node", "root", "least", "most", "after")
+    left, right = (placed.select("token", *(F.col(c).alias(f"{c}_{s}") for c in columns)) for s in "ab")
     pairs = left.join(right, "token").where("root_a < root_b").where(
         f"most_a * 100 >= least_b * {similarity} and most_b * 100 >= least_a * {similarity}"
     )
+    # The first token that two documents share leaves enough tokens after it in both.
+    pairs = pairs.where(f"least(after_a, after_b) >= {needed('least_a', 'least_b', similarity)}")
     pairs = staged(pairs.select("node_a", "node_b").distinct(), "join-node-pairs")
     docs = "transform(docs, d -> d.{0})"
     columns = [F.expr(docs.format(c)).alias(c) for c in ("row", "n", "excess", "bits")]
@@ -245,7 +249,8 @@ def similar_groups(
 
     linked = judged.where("tokens is not null")
     centrality = (F.size("tokens") / (F.col("n") - F.col("rest"))).alias("central")
-    blocks = staged(linked.select("row", centrality, F.explode("tokens").alias("token")), "join-blocks")
+    tokens = F.explode(F.arrays_zip(F.col("tokens").alias("token"), F.col("places").alias("place"))).alias("at")
+    blocks = staged(linked.select("row", "n", centrality, tokens).select("row", "n", "central", "at.*"), "join-blocks")
     links = staged(_roots(linked, blocks, shingle, similarity), "join-links")
     classes = components(links).toDF("row", "root")
     pairs = staged(_traversed(_nodes(linked, classes), blocks, similarity), "join-candidates")

@@ -15,8 +15,8 @@ from wattline.llm.common import map_tables
 STRETCH = 1 << 17
 #: Odd bases of polynomial hashes modulo 2**64.
 BASE, SECOND_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
-#: Bits of a bitmap, 16 MB whatever the size of the input; three are set for each key.
-FILTER_BITS = 27
+#: Bits of a bitmap, 16 MB whatever the size of the input, and how many are set for each key.
+FILTER_BITS, PROBES = 27, 3
 #: Tokens that a task gathers before it counts them.
 GATHERED = 1 << 22
 
@@ -106,19 +106,19 @@ def _keys(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(48) << np.uint64(32)) | (tokens & np.uint64(0xFFFFFFFF))
 
 
-def _places(keys: np.ndarray) -> Iterator[np.ndarray]:
-    mask = np.uint64((1 << FILTER_BITS) - 1)
-    spread = mixed(keys + np.uint64(1))
-    yield spread & mask
-    yield (spread >> np.uint64(FILTER_BITS)) & mask
-    yield mixed(spread) & mask
+def _place(keys: np.ndarray, probe: int) -> np.ndarray:
+    return mixed(keys + np.uint64(probe + 1)) & np.uint64((1 << FILTER_BITS) - 1)
 
 
 def passes(bits: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """Which tokens the bitmap may hold; never false for one that it does."""
-    alive = np.ones(len(tokens), bool)
-    for place in _places(_keys(tokens)):
-        alive &= (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+    keys, at = _keys(tokens), np.arange(len(tokens))
+    for probe in range(PROBES):
+        place = _place(keys, probe)
+        hit = (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+        keys, at = keys[hit], at[hit]
+    alive = np.zeros(len(tokens), bool)
+    alive[at] = True
     return alive
 
 
@@ -183,7 +183,7 @@ def repeated(docs: DataFrame, tokens_of: Callable[[], Callable[..., np.ndarray]]
             keys = low[first][np.add.reduceat(many, first) >= least].astype(np.uint64)
             if len(keys):
                 keys |= np.uint64(open_bucket << 32)
-                yield {"place": np.concatenate(list(_places(keys))).astype(np.int64)}
+                yield {"place": np.concatenate([_place(keys, probe) for probe in range(PROBES)]).astype(np.int64)}
 
         def row(bucket: int, keys: bytes, counts: bytes) -> Iterator[dict]:
             nonlocal open_bucket
