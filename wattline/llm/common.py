@@ -43,7 +43,7 @@ def staged(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     A lost executor costs a new read of these files, not a new run of what made them.
     """
     path = shared_folder(df.sparkSession, purpose)
-    df.write.options(**options).parquet(path)
+    df.write.options(**{"compression": "zstd", **options}).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -100,7 +100,7 @@ def tokenised(df: DataFrame, id_column: str = "doc_id", text_column: str = "text
         return row
 
     rows = map_rows(texts(df, id_column, text_column), "part int, start long, doc_id long, n long, ids binary", each)
-    return staged(rows, "tokens", compression="zstd")
+    return staged(rows, "tokens")
 
 
 def placed(tokens: DataFrame) -> DataFrame:

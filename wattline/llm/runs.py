@@ -15,8 +15,8 @@ from wattline.llm.common import map_tables
 STRETCH = 1 << 17
 #: Odd bases of polynomial hashes modulo 2**64.
 BASE, SECOND_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
-#: Bits of a bitmap, 16 MB whatever the size of the input, and how many are set for each key.
-FILTER_BITS, PROBES = 27, 3
+#: Bits of a bitmap, 8 MB whatever the size of the input, and how many are set for each key.
+FILTER_BITS, PROBES = 26, 3
 #: Tokens that a task gathers before it counts them.
 GATHERED = 1 << 22
 
@@ -129,7 +129,7 @@ def repeated(docs: DataFrame, tokens_of: Callable[[], Callable[..., np.ndarray]]
     gathered, so a very common token is one number there; keys travel as packed arrays by
     bucket, and a bucket is counted at a time. 48 bits may take two tokens for one: such a token
     passes in error, which costs work later but changes no result. The driver gets at most
-    4096 parts of 4 KB.
+    2048 parts of 4 KB.
     """
 
     def gather():

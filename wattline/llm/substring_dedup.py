@@ -71,12 +71,17 @@ class Levels:
         return mixed(runs[begin] + forward.astype(np.uint64))
 
 
+def _distinct(chosen: np.ndarray) -> np.ndarray:
+    """Places in ascending order, each once."""
+    return chosen[np.flatnonzero(np.diff(chosen, prepend=-1))]
+
+
 def _short_runs(length: int):
     levels = Levels(length)
 
     def tokens(text: bytes, weight: int) -> np.ndarray:
         runs, chosen = levels.anchors(levels.words(text))
-        return np.repeat(runs[np.unique(chosen)], weight)
+        return np.repeat(runs[_distinct(chosen)], weight)
 
     return tokens
 
@@ -127,19 +132,20 @@ def _windows(docs: DataFrame, length: int, short: Broadcast, double: Broadcast)
 
 
 def _candidates(docs: DataFrame, length: int, short: Broadcast) -> DataFrame:
-    """Per document the number of words and, if no short run repeats, the final hash; else the text."""
+    """Per document the number of words and the hash of all of them, and the text if a short run repeats."""
 
     def each():
         levels = Levels(length)
 
         def row(doc_id: int | None, text: bytes, weight: int) -> Iterator[tuple]:
             words = text.split()
+            whole = hashlib.sha256(b" ".join(words)).hexdigest()
             if len(words) >= length:
                 runs, chosen = levels.anchors(levels.words(text))
-                if passes(short.value, runs[np.unique(chosen)]).any():
-                    yield doc_id, len(words), None, text, weight
+                if weight > 1 or passes(short.value, runs[_distinct(chosen)]).any():
+                    yield doc_id, len(words), whole, text, weight
                     return
-            yield doc_id, len(words), hashlib.sha256(b" ".join(words)).hexdigest(), None, weight
+            yield doc_id, len(words), whole, None, weight
 
         return row
 
@@ -175,29 +181,31 @@ def repeated_words(
     judged = staged(_candidates(docs, length, short).withColumn("row", F.monotonically_increasing_id()), "runs-texts")
     candidates = judged.where("text is not null")
     double = repeated(candidates.select("text", "weight"), lambda: _double_runs(length, short), 2)
-    windows = _windows(candidates, length, short, double)
-    counts = windows.groupBy("run", "more").agg(F.sum("n").alias("n"))
+    counts = _windows(candidates, length, short, double).groupBy("run", "more").agg(F.sum("n").alias("n"))
     full = staged(counts.where("n > 1").select("run", "more"), "runs-full")
-    places = windows.select("run", "more", "row", "at").join(full, ["run", "more"], "left_semi")
-    places = staged(places.groupBy("row").agg(F.collect_list("at").alias("at")), "runs-places")
-    found = candidates.join(places, "row", "left").select("doc_id", "text", "weight", "at")
+    single = candidates.where("weight = 1")
+    windows = _windows(single, length, short, double).select("run", "more", "row", "at")
+    places = windows.join(full, ["run", "more"], "left_semi").groupBy("row").agg(F.collect_list("at").alias("at"))
+    places = staged(places, "runs-places")
 
     schema = "doc_id long, n_words long, n_removed long, removed array<int>, kept string, kept_sha256 string"
-    cut = map_rows(found, schema, lambda: _cut(length))
-    copies = map_rows(compared.where("not kept").select("doc_id", "text"), schema, lambda: _copy(length))
-    whole = judged.where("text is null").select(
+    cut = map_rows(single.join(places, "row").select("doc_id", "text", "at"), schema, lambda: _cut(length))
+    copies = candidates.where("weight > 1").select("doc_id", "text").unionAll(
+        compared.where("not kept").select("doc_id", "text")
+    )
+    whole = judged.where("text is null").drop("text").unionAll(
+        single.drop("text").join(places.select("row"), "row", "left_anti").select(*judged.drop("text").columns)
+    )
+    whole = whole.select(
         "doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.array().cast("array<int>").alias("removed"),
         F.lit(None).cast("string").alias("kept"), "kept_sha256",
     )
-    return whole.unionAll(cut).unionAll(copies)
+    return whole.unionAll(cut).unionAll(map_rows(copies, schema, lambda: _copy(length)))
 
 
 def _cut(length: int):
-    def row(doc_id: int | None, text: bytes, weight: int, at: list[int] | None) -> Iterator[tuple]:
-        words = text.split()
-        if weight > 1 and len(words) >= length:
-            at = range(len(words) - length + 1)
-        yield _result(doc_id, words, at or (), length)
+    def row(doc_id: int | None, text: bytes, at: list[int]) -> Iterator[tuple]:
+        yield _result(doc_id, text.split(), at, length)
 
     return row
 
