@@ -1187,11 +1187,11 @@ _DRIFT_DAY = date(2024, 1, 16)
 EVENT_FILES = Source("events", "*/reading_date=*/*.csv", INCREMENTAL, "event_id", drifting=True)
 
 
-def daily_files(spark: SparkSession, sf: str) -> str:
+def daily_files(spark: SparkSession, sf: str, reordered: bool = False) -> str:
     """The events as daily CSV files; two columns appear in the middle from a later day on.
 
     The files are derived by Spark from the events and written below a new shared folder,
-    which is returned.
+    which is returned. ``reordered`` turns the columns of the later files around.
     """
     base = shared_folder(spark, "daily-files")
     folder = f"{base}/{EVENT_FILES.name}"
@@ -1206,7 +1206,9 @@ def daily_files(spark: SparkSession, sf: str) -> str:
     named = source_metadata(events, "reading_date", "meter_readings", "meters", AS_OF)
     early = named.filter(F.col("reading_date") < F.lit(_DRIFT_DAY)).drop(*DRIFT_COLUMNS)
     write_daily_csv(early, f"{folder}/early", "reading_date")
-    write_daily_csv(named.filter(F.col("reading_date") >= F.lit(_DRIFT_DAY)), f"{folder}/late", "reading_date")
+    late = named.filter(F.col("reading_date") >= F.lit(_DRIFT_DAY))
+    late = late.select(*reversed(late.columns)) if reordered else late
+    write_daily_csv(late, f"{folder}/late", "reading_date")
     return base
 
 
@@ -1236,6 +1238,40 @@ def drift_union(spark, sf):
     )
 
 
+@register("drift_reordered", ORACLE["drift_union"])
+def drift_reordered(spark, sf):
+    """The same rows from files of which some name their columns in another order."""
+    rows = EVENT_FILES.read(spark, EVENT_FILES.path(daily_files(spark, sf, reordered=True)))
+    return rows.select(
+        "event_id",
+        "user_id",
+        "event_type",
+        "firmware_version",
+        "signal_strength_dbm",
+        "source_file_name",
+        "reading_date",
+    )
+
+
+@register(
+    "corrupt_lines",
+    """select cast(event_id as varchar) as event_id, case when event_id % 10 <> 0 then event_type end as event_type,
+      case when event_id % 10 = 0 then cast(event_id as varchar) || ',' || user_id end as corrupt from events""",
+)
+def corrupt_lines(spark, sf):
+    """Every tenth line lacks a field; the reader keeps its text."""
+    folder = f"{shared_folder(spark, 'ragged-files')}/events"
+    number, user = F.col("event_id").cast("string"), F.col("user_id").cast("string")
+    line = F.when(F.col("event_id") % 10 == 0, F.concat_ws(",", number, user)).otherwise(
+        F.concat_ws(",", number, user, "event_type")
+    )
+    lines = roles.load(spark, sf, "events").select(line.alias("event_id,user_id,event_type"))
+    lines.write.option("header", True).option("sep", "\t").csv(f"{folder}/day=1")
+    source = Source("events", "day=*/*.csv", INCREMENTAL, "event_id")
+    rows = source.read(spark, source.path(folder.rsplit("/", 1)[0]), corrupt_column="corrupt")
+    return rows.select("event_id", "event_type", "corrupt")
+
+
 @register(
     "file_manifest",
     """select 'meter_readings' as source_name, cast(day as varchar) as event_date,
@@ -1260,9 +1296,13 @@ def manifest(spark, sf):
 
 @register(
     "schema_drift_profile",
-    """select * from (values ('event_type', true), ('firmware_version', true), ('signal_strength_dbm', true),
-      ('meter_reading_quality_code', false)) v(column_name, is_present)
-    where (select count(*) from events) > 0""",
+    """with days as (
+      select count(*) > 0 as any_day, count(*) filter (where cast(ts as date) >= date '2024-01-16') > 0 as late_day
+      from events)
+    select 'event_type' as column_name, any_day as is_present from days
+    union all select 'firmware_version', late_day from days
+    union all select 'signal_strength_dbm', late_day from days
+    union all select 'meter_reading_quality_code', false from days""",
 )
 def schema_drift(spark, sf):
     rows = EVENT_FILES.read(spark, EVENT_FILES.path(daily_files(spark, sf)))
