@@ -2,12 +2,13 @@
 
 A document is the set of its word shingles. Two sets that are similar enough share one of their first
 tokens in any order of all tokens; here rare tokens come first. Documents that share such a
-token with a central one and are similar to it become provisional classes: these are the roots of the
-trees. A class is divided into nodes of bounded size by document size; a node holds the bitmaps of its
-documents OR-combined, its range of sizes, and its documents. The dual traversal takes pairs of
-nodes of different classes that share a first token, drops pairs whose sizes or largest possible overlap are
-too far apart, does the same with the documents of the rest, and compares what is left
-exactly. Links inside a class change no class, so they are not listed.
+token with a central one and are similar to it become provisional classes. Every document goes to the central one
+with which it shares most, the root of its tree; a tree is divided into nodes of bounded size by
+class and document size. A node holds the bitmaps of its documents OR-combined, its range of
+sizes, and its documents. The dual traversal takes pairs of nodes that share a first token and are not of one
+class, drops pairs whose sizes or largest possible overlap are too far apart, does the same with
+the documents of the rest, and compares what is left exactly. Links inside a class change no
+class, so they are not listed.
 """
 
 from __future__ import annotations
@@ -130,66 +131,82 @@ def _verified(pairs: DataFrame, judged: DataFrame, size: int, similarity: int) -
     return map_rows(joined, "a long, b long", each)
 
 
-def _roots(judged: DataFrame, blocks: DataFrame, size: int, similarity: int) -> DataFrame:
-    """Links of documents to central ones that share a first token with them.
+def _central(blocks: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of a document and a central one of its first tokens (maybe itself), with how many tokens they met at.
 
-    The central document of a token is the one with the largest share of shared tokens. A pair
-    is compared only if the first tokens it shares and all others could add up to enough.
+    The central document of a token is the one with the largest share of shared tokens.
     """
     central = F.max(F.struct(F.col("central"), -F.col("row"))).alias("best")
     leaders = staged(blocks.groupBy("token").agg(central).select("token", (-F.col("best.col2")).alias("b")), "join-central")
-    met = blocks.select(F.col("row").alias("a"), "token").join(leaders, "token").where("a != b")
-    shared = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+    met = blocks.select(F.col("row").alias("a"), "token").join(leaders, "token")
+    return staged(met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")), "join-met")
+
+
+def _roots(judged: DataFrame, met: DataFrame, size: int, similarity: int) -> DataFrame:
+    """Links of documents to central ones. Pairs that met at few tokens are left to the traversal."""
     sizes = judged.select("row", "n", "rest")
-    pairs = shared.join(sizes.toDF("a", "n_a", "rest_a"), "a").join(sizes.toDF("b", "n_b", "rest_b"), "b")
+    pairs = met.where("a != b").join(sizes.toDF("a", "n_a", "rest_a"), "a").join(sizes.toDF("b", "n_b", "rest_b"), "b")
     pairs = pairs.where(f"shared + greatest(rest_a, rest_b) >= {needed('n_a', 'n_b', similarity)}")
     pairs = pairs.where(f"least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {similarity}")
     return _verified(staged(pairs.select("a", "b"), "join-pairs"), judged, size, similarity)
 
 
-def _nodes(judged: DataFrame, classes: DataFrame) -> DataFrame:
-    """Documents with class and node; a node has about ``NODE`` documents of one class and similar size."""
+def _nodes(judged: DataFrame, met: DataFrame, classes: DataFrame) -> DataFrame:
+    """Documents with class and node.
+
+    A document goes to the central one with which it shares most first tokens; a node has about
+    ``NODE`` documents of one home and of similar size, either all of the home's class or all of others.
+    """
+    home = met.groupBy("a").agg(F.max(F.struct("shared", -F.col("b"))).alias("best"))
+    home = home.select(F.col("a").alias("row"), (-F.col("best.col2")).alias("home"))
+    home = staged(home.join(classes, "row", "left").withColumn("root", F.coalesce("root", "row")), "join-homes")
+    home = home.join(classes.toDF("home", "home_root"), "home", "left")
+    home = home.withColumn("core", F.col("root") == F.coalesce("home_root", "home")).drop("home_root")
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3))).cast("long")
-    docs = judged.select("row", "n", "excess", "bits").join(classes, "row", "left")
-    docs = docs.withColumn("root", F.coalesce("root", "row")).withColumn("band", band)
-    counts = staged(docs.groupBy("root", "band").agg(F.count(F.lit(1)).alias("members")), "join-bands")
-    docs = docs.join(counts, ["root", "band"])
+    docs = judged.select("row", "n", "excess", "bits", band.alias("band")).join(home, "row")
+    docs = staged(docs, "join-homed")
+    counts = docs.groupBy("home", "core", "band").agg(F.count(F.lit(1)).alias("members"))
+    docs = docs.join(staged(counts, "join-bands"), ["home", "core", "band"])
     part = F.pmod(F.xxhash64("row"), F.ceil(F.col("members") / NODE))
-    return staged(docs.withColumn("node", F.xxhash64("root", "band", part)).drop("band", "members"), "join-nodes")
+    docs = docs.withColumn("node", F.xxhash64("home", "core", "band", part))
+    return staged(docs.select("row", "n", "excess", "bits", "root", "node"), "join-nodes")
 
 
 def _tree_nodes(nodes: DataFrame) -> DataFrame:
-    """Per node the range of sizes and its documents with their bitmaps, at most a few times ``NODE``."""
-    docs = F.collect_list(F.struct("row", "n", "excess", "bits")).alias("docs")
-    return nodes.groupBy("node").agg(F.min("n").alias("least"), F.max("n").alias("most"), docs)
+    """The documents of every node with their bitmaps, at most a few times ``NODE``."""
+    docs = F.collect_list(F.struct("row", "root", "n", "excess", "bits")).alias("docs")
+    return nodes.groupBy("node").agg(docs)
 
 
 def _traversed(nodes: DataFrame, blocks: DataFrame, similarity: int) -> DataFrame:
     """Pairs of documents of different classes that the dual traversal cannot rule out."""
     where = nodes.select("row", "node", "root")
-    placed = blocks.select("token", "row", "n", "place").join(where, "row").groupBy("token", "node", "root").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("place")).alias("after")
+    # Sizes, classes and places are those of the documents of the node that have the token.
+    placed = blocks.select("token", "row", "n", "place").join(where, "row").groupBy("token", "node").agg(
+        F.min("root").alias("low"),
+        F.max("root").alias("high"),
+        F.min("n").alias("least"),
+        F.max("n").alias("most"),
+        F.max(F.col("n") - F.col("place")).alias("after"),
     )
     placed = staged(placed, "join-placed")
-    # Sizes and places are those of the documents of the node that have the token.
-    mixed_tokens = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
-    placed = staged(placed.join(mixed_tokens.select("token"), "token"), "join-mixed")
+    several = placed.groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low != high")
+    placed = staged(placed.join(several.select("token"), "token"), "join-mixed")
     tree = staged(_tree_nodes(nodes.join(placed.select("node").distinct(), "node", "left_semi")), "join-tree")
-    columns = ("node", "root", "least", "most", "after")
+    columns = ("node", "low", "high", "least", "most", "after")
     left, right = (placed.select("token", *(F.col(c).alias(f"{c}_{s}") for c in columns)) for s in "ab")
-    pairs = left.join(right, "token").where("root_a < root_b").where(
-        f"most_a * 100 >= least_b * {similarity} and most_b * 100 >= least_a * {similarity}"
-    )
     # The first token that two documents share leaves enough tokens after it in both.
-    pairs = pairs.where(f"least(after_a, after_b) >= {needed('least_a', 'least_b', similarity)}")
+    pairs = left.join(right, "token").where(
+        f"node_a <= node_b and least(low_a, low_b) != greatest(high_a, high_b) "
+        f"and most_a * 100 >= least_b * {similarity} and most_b * 100 >= least_a * {similarity} "
+        f"and least(after_a, after_b) >= {needed('least_a', 'least_b', similarity)}"
+    )
     pairs = staged(pairs.select("node_a", "node_b").distinct(), "join-node-pairs")
-    docs = "transform(docs, d -> d.{0})"
-    columns = [F.expr(docs.format(c)).alias(c) for c in ("row", "n", "excess", "bits")]
-    flat = tree.select("node", *columns)
-    names = ["row", "n", "excess", "bits"]
+    names = ["row", "root", "n", "excess", "bits"]
+    flat = tree.select("node", *[F.expr(f"transform(docs, d -> d.{c})").alias(c) for c in names])
     pairs = pairs.join(flat.toDF("node_a", *(f"{c}_a" for c in names)), "node_a")
     pairs = pairs.join(flat.toDF("node_b", *(f"{c}_b" for c in names)), "node_b")
-    columns = [f"{c}_{s}" for s in "ab" for c in names]
+    columns = ["node_a", "node_b", *(f"{c}_{s}" for s in "ab" for c in names)]
     return map_tables(pairs.select(columns), "a long, b long", lambda: _compare_nodes(similarity))
 
 
@@ -200,8 +217,9 @@ def _compare_nodes(similarity: int):
         """The largest possible overlap: bits in common, and tokens of one set on the same bit."""
         return ones[x & y].sum(axis=-1) + np.minimum(excess_x, excess_y)
 
-    def row(row_a, n_a, excess_a, bits_a, row_b, n_b, excess_b, bits_b) -> Iterator[dict]:
-        n_a, n_b, excess_a, excess_b, row_a, row_b = (np.array(v, np.int64) for v in (n_a, n_b, excess_a, excess_b, row_a, row_b))
+    def row(node_a, node_b, row_a, root_a, n_a, excess_a, bits_a, row_b, root_b, n_b, excess_b, bits_b) -> Iterator[dict]:
+        row_a, root_a, n_a, excess_a = (np.array(v, np.int64) for v in (row_a, root_a, n_a, excess_a))
+        row_b, root_b, n_b, excess_b = (np.array(v, np.int64) for v in (row_b, root_b, n_b, excess_b))
         x, y = (np.frombuffer(b"".join(bits), np.uint8).reshape(len(bits), -1) for bits in (bits_a, bits_b))
         whole_x, whole_y = np.bitwise_or.reduce(x), np.bitwise_or.reduce(y)
         least = -(-similarity * (n_a.min() + n_b.min()) // (100 + similarity))
@@ -209,11 +227,14 @@ def _compare_nodes(similarity: int):
             return
         needed_a = -(-similarity * (n_a + n_b.min()) // (100 + similarity))
         for i in np.flatnonzero(most(x, whole_y, excess_a, excess_b.max()) >= needed_a).tolist():
-            overlap = most(x[i], y, excess_a[i], excess_b)
-            fits = overlap >= -(-similarity * (n_a[i] + n_b) // (100 + similarity))
-            fits &= np.minimum(n_a[i], n_b) * 100 >= np.maximum(n_a[i], n_b) * similarity
-            if fits.any():
-                yield {"a": np.full(int(fits.sum()), row_a[i]), "b": row_b[fits]}
+            fits = (root_b != root_a[i]) & (np.minimum(n_a[i], n_b) * 100 >= np.maximum(n_a[i], n_b) * similarity)
+            if node_a == node_b:
+                fits &= row_b > row_a[i]
+            at = np.flatnonzero(fits)
+            overlap = most(x[i], y[at], excess_a[i], excess_b[at])
+            at = at[overlap >= -(-similarity * (n_a[i] + n_b[at]) // (100 + similarity))]
+            if len(at):
+                yield {"a": np.full(len(at), row_a[i]), "b": row_b[at]}
 
     return row
 
@@ -251,9 +272,10 @@ def similar_groups(
     centrality = (F.size("tokens") / (F.col("n") - F.col("rest"))).alias("central")
     tokens = F.explode(F.arrays_zip(F.col("tokens").alias("token"), F.col("places").alias("place"))).alias("at")
     blocks = staged(linked.select("row", "n", centrality, tokens).select("row", "n", "central", "at.*"), "join-blocks")
-    links = staged(_roots(linked, blocks, shingle, similarity), "join-links")
+    met = _central(blocks)
+    links = staged(_roots(linked, met, shingle, similarity), "join-links")
     classes = components(links).toDF("row", "root")
-    pairs = staged(_traversed(_nodes(linked, classes), blocks, similarity), "join-candidates")
+    pairs = staged(_traversed(_nodes(linked, met, classes), blocks, similarity), "join-candidates")
     across = _verified(pairs, linked, shingle, similarity)
     classes = components(links.unionAll(across)).toDF("row", "root")
     return _labelled(judged, classes, compared)
