@@ -126,7 +126,7 @@ def test_near_copies_with_small_nodes_and_crowded_bitmaps(documents, monkeypatch
     monkeypatch.setattr(jaccard_join, "COMMON", common)
     monkeypatch.setattr(jaccard_join, "NODE", node)
     monkeypatch.setattr(jaccard_join, "BITS", bits)
-    monkeypatch.setattr(jaccard_join, "_roots", lambda judged, *_: judged.select(F.col("row").alias("a"), F.col("row").alias("b")).limit(0))
+    monkeypatch.setattr(jaccard_join, "_roots", lambda judged, met, *_: judged.select(F.col("row").alias("a"), F.col("row").alias("b")).limit(0))
     found = similar_groups(documents)
     assert collected(found, "doc_id", "n_shingles", "component_id") == groups_by_hand(pairs(documents), 5, 75)
 
