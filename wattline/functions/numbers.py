@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EXACT_TYPE = "decimal(28,6)"
+EXACT_TYPE = "decimal(24,6)"
 
 
 def _col(value: str | Column) -> Column:
