@@ -247,6 +247,26 @@ def test_benchmark_passages(spark, documents, empty):
     assert contaminated(documents, benchmark.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("clean", [20, 1200])
+def test_paraphrases_are_found_however_many_passages_there_are(spark, clean):
+    rng = random.Random(21)
+    items = [(i, " ".join(f"q{rng.randrange(300)}" for _ in range(40))) for i in range(30)]
+    rows = []
+    for number, text in items:
+        words = text.split()
+        changed = len(words) * (25 + number % 6) // 100
+        for n in range(changed):
+            words[n * len(words) // changed] = f"z{rng.randrange(10**6)}"
+        rows.append((number, " ".join(words)))
+    rng = random.Random(22)
+    common = (" ".join(f"q{rng.randrange(300)}" if rng.random() < 0.6 else f"x{rng.randrange(10**6)}" for _ in range(250)) for _ in range(clean))
+    rows += [(1000 + i, text) for i, text in enumerate(common)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert len({r.doc_id for r in found if r.doc_id == r.item_id}) >= 28
+    assert not [r for r in found if r.doc_id >= 1000]
+
+
 def test_long_benchmarks_go_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "ITEMS", 3)
     items = [(i, " ".join(f"b{i}x{j}" for j in range(25))) for i in range(8)]

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import pairwise, repeat
 
 import numpy as np
 from pyspark import Broadcast
@@ -53,57 +53,91 @@ class Index:
         words = words_of(text)
         return np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int32, len(words))
 
+    def directions(self, ids: np.ndarray) -> np.ndarray:
+        """What each word adds to the vector of its passage; nothing if the benchmark does not have it."""
+        found = self.space.take(self.columns[ids], axis=0)
+        found *= np.where(ids > 0, self.weights[ids] * self.signs[ids], 0.0).astype(np.float32)[:, None]
+        return found
+
     def latent(self, rows: np.ndarray) -> np.ndarray:
         """Unit vectors of passages, given as rows of word numbers padded with 0."""
-        weighted = (self.weights * self.signs)[rows].astype(np.float32)
-        weighted[rows == 0] = 0
         vectors = np.zeros((len(rows), self.space.shape[1]), np.float32)
         for i in range(rows.shape[1]):
-            vectors += weighted[:, i, None] * self.space[self.columns[rows[:, i]]]
-        norms = np.sqrt((vectors**2).sum(1, keepdims=True))
-        return vectors / np.maximum(norms, 1e-9)
+            vectors += self.directions(rows[:, i])
+        return unit(vectors)
 
-    def near(self, ids: np.ndarray) -> set[tuple[int, int]]:
-        """Candidates: an item and where in the text it would begin."""
+    def near(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Candidates in ascending order: items and where in the text they would begin. Every passage is compared."""
         starts = passage_starts(len(ids), STEP)
-        if not len(starts):
-            return set()
-        # The cosine cannot be larger than the share of the passage's weight on benchmark words.
-        square = self.weights[ids].astype(np.float64) ** 2
-        total = np.concatenate([[0.0], np.cumsum(square)])
-        known = np.concatenate([[0.0], np.cumsum(np.where(ids > 0, square, 0.0))])
-        ends = np.minimum(starts + PASSAGE, len(ids))
-        mass, share = total[ends] - total[starts], known[ends] - known[starts]
-        starts = starts[(share > 0) & (share >= CLOSE**2 * mass)]
-        found: set[tuple[int, int]] = set()
+        keys = [np.empty(0, np.int64)]
+        # Beginnings may lie before the text; a key is the item's number times the span, plus the shifted beginning.
+        shift = int(self.query_offset.max(initial=0))
+        span = len(ids) + shift + 1
         for begin in range(0, len(starts), 512):
             part = starts[begin : begin + 512]
-            cosines = self.latent(_rows(ids, part)) @ self.queries.T
-            for passage, query in np.argwhere(cosines >= CLOSE).tolist():
-                found.add((int(self.query_item[query]), int(part[passage]) - int(self.query_offset[query])))
-        return found
+            cosines = unit(self._passages(ids, part)) @ self.queries.T
+            passage, query = np.divmod(np.flatnonzero(cosines >= CLOSE), max(1, len(self.queries)))
+            keys.append(self.query_item[query] * span + part[passage] - self.query_offset[query] + shift)
+        items, begins = np.divmod(np.unique(np.concatenate(keys)), span)
+        return items, begins - shift
+
+    def _passages(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Vectors of passages in a row, put together from runs of ``STEP`` words; only the last may lie off the grid."""
+        aligned = starts[starts % STEP == 0]
+        vectors = np.zeros((len(starts), self.space.shape[1]), np.float32)
+        if len(aligned):
+            words = ids[aligned[0] : aligned[-1] + PASSAGE]
+            padded = np.zeros(STEP * (len(aligned) - 1) + PASSAGE, ids.dtype)
+            padded[: len(words)] = words
+            runs = self.directions(padded).reshape(-1, STEP, vectors.shape[1]).sum(axis=1)
+            for i in range(PASSAGE // STEP):
+                vectors[: len(aligned)] += runs[i : i + len(aligned)]
+        if len(aligned) < len(starts):
+            vectors[-1] = self.directions(ids[starts[-1] : starts[-1] + PASSAGE]).sum(axis=0)
+        return vectors
 
     def matches(self, text: bytes) -> list[tuple[int, float, float, int, int]]:
         """Item, share covered, share of its end covered, and the begin and end word searched, best place of each item."""
         ids = self.ids(text)
         best: dict[int, tuple] = {}
-        checked: set[tuple[int, int]] = set()
-        for item, begin in sorted(self.near(ids)):
+        items, begins = self.near(ids)
+        if not len(items):
+            return []
+        lengths = np.fromiter((len(self.items[i]) for i in items.tolist()), np.int64, len(items))
+        slacks = np.maximum(4, lengths // 4)
+        lows, highs = np.maximum(0, begins - 2 * slacks), np.minimum(len(ids), begins + lengths + 2 * slacks)
+        # No common subsequence is longer than the number of words in reach that the item has at all.
+        least, flags, held = min(COPY, PARAPHRASE) * lengths, np.zeros(len(self.weights), bool), np.zeros(len(ids) + 1, np.int64)
+        firsts = np.flatnonzero(np.diff(items, prepend=-1))
+        for first, last in pairwise([*firsts.tolist(), len(items)]):
+            item = int(items[first])
             wanted = self.items[item]
-            slack = max(4, len(wanted) // 4)
-            if (item, begin // slack) in checked:
+            flags[wanted] = True
+            np.cumsum(flags[ids], out=held[1:])
+            flags[wanted] = False
+            enough = first + np.flatnonzero(held[highs[first:last]] - held[lows[first:last]] >= least[first:last])
+            if not len(enough):
                 continue
-            checked.add((item, begin // slack))
-            low, high = max(0, begin - 2 * slack), min(len(ids), begin + len(wanted) + 2 * slack)
-            region = ids[low:high].tolist()
-            covered = common_length(wanted.tolist(), region) / len(wanted)
-            answer = wanted[-max(3, len(wanted) // 4) :].tolist()
-            ended = common_length(answer, region) / len(answer)
-            if covered >= COPY or covered >= PARAPHRASE and ended >= ANSWER:
-                best[item] = max(best.get(item, (0.0,)), (covered, ended, low, high))
+            wanted, slack, checked = wanted.tolist(), int(slacks[first]), set()
+            answer = wanted[-max(3, len(wanted) // 4) :]
+            for begin, low, high in zip(begins[enough].tolist(), lows[enough].tolist(), highs[enough].tolist(), strict=True):
+                if begin // slack in checked:
+                    continue
+                checked.add(begin // slack)
+                region = ids[low:high].tolist()
+                covered = common_length(wanted, region) / len(wanted)
+                if covered < min(COPY, PARAPHRASE):
+                    continue
+                ended = common_length(answer, region) / len(answer)
+                if covered >= COPY or covered >= PARAPHRASE and ended >= ANSWER:
+                    best[item] = max(best.get(item, (0.0,)), (covered, ended, low, high))
         return [(item, *found) for item, found in sorted(best.items())]
 
 
+def unit(vectors: np.ndarray) -> np.ndarray:
+    return vectors / np.maximum(np.sqrt((vectors**2).sum(1, keepdims=True)), 1e-9)
+
+
 def passage_starts(words: int, step: int) -> np.ndarray:
     """Begins of passages; the last one reaches the end of the text."""
     if not words:
@@ -246,7 +280,7 @@ def build(docs: DataFrame, items: list[tuple[int | None, bytes]], id_column: str
     known = spark.sparkContext.broadcast(vocabulary)
     counts, passages = _terms(known, plain)
     weights = np.log((1 + passages) / (1 + counts)) + 1e-3
-    weights[0] = np.log1p(passages) + 1e-3  # a word that the benchmark does not have counts as a rare one
+    weights[0] = 0.0  # a word that the benchmark does not have takes no part in the comparison
     values = weights * signs
     test = np.linalg.qr(rng.normal(size=(WIDTH, RANK + EXTRA)))[0]
     model = spark.sparkContext.broadcast((vocabulary, columns, values))
@@ -255,7 +289,7 @@ def build(docs: DataFrame, items: list[tuple[int | None, bytes]], id_column: str
     index = Index(
         [number for number, _ in split],
         [np.array([vocabulary[w] for w in words], np.int64) for _, words in split],
-        vocabulary, columns, signs, weights, space, np.zeros((0, RANK)), np.zeros(0, int), np.zeros(0, int),
+        vocabulary, columns, signs, weights, space, np.zeros((0, RANK), np.float32), np.zeros(0, int), np.zeros(0, int),
     )
     windows = [_item_rows(ids) for ids in index.items]
     if windows:
