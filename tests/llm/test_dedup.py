@@ -120,6 +120,12 @@ def test_near_copies(documents, size, similarity):
     assert collected(found, "doc_id", "n_shingles", "component_id") == groups_by_hand(pairs(documents), size, similarity)
 
 
+def test_a_text_of_one_shingle_meets_longer_ones(spark):
+    rows = [(1, "a a a a a"), (2, "a a a a a a a a"), (3, "spam " * 100), (4, "Spam " * 5), (5, "a a a a"), (6, "a b c d e"), (7, "a b c d e f")]
+    found = similar_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert collected(found, "doc_id", "n_shingles", "component_id") == groups_by_hand(rows, 5, 75)
+
+
 @pytest.mark.parametrize(("common", "node", "bits"), [(2, 2, 64), (1000, 3, 1024)])
 def test_near_copies_with_small_nodes_and_crowded_bitmaps(documents, monkeypatch, common, node, bits):
     """The same classes when most links must come out of the dual traversal."""

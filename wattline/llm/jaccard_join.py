@@ -47,7 +47,7 @@ class Shingles:
 
     def of(self, text: bytes) -> np.ndarray:
         words = self.hashes.of(text)
-        if len(words) > self.size:
+        if len(words) >= self.size:
             return np.unique(rolling(words, self.size))
         if not len(words):
             return words
