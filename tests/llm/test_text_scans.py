@@ -187,6 +187,23 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+LONG = "A long sentence, with commas, and some more of it, stands here. Another one follows it, as they do."
+
+
+@pytest.mark.parametrize(
+    ("body", "text"),
+    [
+        (f"<article><p>{LONG}</p></article><article><p>Second, {LONG}</p></article>", f"{LONG}\nSecond, {LONG}"),
+        (f'<div class="wrap"><article><p>{LONG}</p></article><div class="x"><b>Tags</b></div><article><h2>Two</h2><p>{LONG}</p></article></div>', f"{LONG}\nTwo\n{LONG}"),
+        (f'<div class="x"><i>Now</i></div><article><h1>One</h1><div class="lead"><p>{LONG}</p></div><ul><li>point</li></ul></article>', f"One\n{LONG}\npoint"),
+        (f'<article><a href="/a">Short teaser</a></article><div class="long"><p>{LONG}</p><p>{LONG}</p></div>', f"{LONG}\n{LONG}"),
+        (f'<div class="a"><p>{LONG}</p></div><div class="b"><i>Now</i></div><div class="a"><p>Also, {LONG}</p></div>', f"{LONG}\nAlso, {LONG}"),
+    ],
+)
+def test_ratios_choose_the_containers_with_and_without_articles(body, text):
+    assert main_text(PAGE % body) == text
+
+
 def test_pages_with_nulls_and_repeats(spark):
     rows = [(1, "u", "<article>a b</article>", "x"), (1, "u", "<article>a b</article>", "x"), (None, None, None, None), (2, "v", "", "y")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

@@ -2,8 +2,9 @@
 
 Text nodes are grouped by their path of tags from the root. For every path the length of its text and
 its punctuation are added up and set against its number of nodes and links; the ratios are
-smoothed over the path's ancestors, fused, and compared with a threshold. The container that
-holds most of the chosen text is the content; all its blocks are kept, but for boilerplate inside.
+smoothed over the path's ancestors, fused, and compared with a threshold; an article or main element
+raises the ratio of its paths and the weight of its text. The sibling containers that hold most of the chosen text
+are the content; all their blocks are kept, but for boilerplate inside.
 """
 
 from __future__ import annotations
@@ -49,6 +50,8 @@ CONTENT_NAMES = re.compile(r"(?:^|[\s_-])(?:article|content|entry|post|story|mai
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BLOCKS_CLOSE_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 CONTAINERS = frozenset("body article main section div td blockquote center header".split())
+#: Elements that speak for content, and how much more their paths and text count.
+NAMED, NAMED_FACTOR = frozenset(("article", "main")), 2.0
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？]")
 
 
@@ -177,14 +180,18 @@ def path_ratios(blocks: list[Block]) -> dict[str, float]:
     length: dict[str, float] = {}
     signs: dict[str, float] = {}
     nodes: dict[str, set[int]] = {}
+    named: set[str] = set()
     for block in blocks:
         if block.node.boilerplate or not (text := block.text):
             continue
         path = block.node.path
         length[path] = length.get(path, 0.0) + max(0, len(text) - 2 * block.linked)
         signs[path] = signs.get(path, 0.0) + len(PUNCTUATION.findall(text))
+        if path not in nodes and NAMED.intersection(part.split(".", 1)[0] for part in path.split("/")):
+            named.add(path)
         nodes.setdefault(path, set()).add(block.node.number)
     raw = {p: (math.log1p(length[p]) * (1 + length[p] / len(nodes[p]) / 80)) * (1 + math.log1p(signs[p])) for p in length}
+    raw = {p: v * NAMED_FACTOR if p in named else v for p, v in raw.items()}
     smoothed = {}
     for path, value in raw.items():
         parent = path.rsplit("/", 1)[0]
@@ -194,7 +201,7 @@ def path_ratios(blocks: list[Block]) -> dict[str, float]:
 
 
 def main_text(page: str) -> str:
-    """The blocks of the content container joined by line ends; empty if there is none."""
+    """The blocks of the content containers joined by line ends; empty if there are none."""
     blocks = blocks_of(page)
     ratios = path_ratios(blocks)
     if not ratios:
@@ -203,46 +210,25 @@ def main_text(page: str) -> str:
     mean = sum(values) / len(values)
     spread = math.sqrt(sum((v - mean) ** 2 for v in values) / len(values))
     threshold = min(max(values), mean + 0.25 * spread)
+    # Containers are weighed together with their siblings: by the number of the container around them.
     weight: dict[int, float] = {}
-    holders: dict[int, Node] = {}
+    members: dict[int, set[int]] = {}
     for block in blocks:
         if block.node.boilerplate or ratios.get(block.node.path, -1.0) < threshold or not (text := block.text):
             continue
         node, share = block.node.container, 1.0
-        while node is not None and node.tag not in ("", "html", "body"):
-            weight[node.number] = weight.get(node.number, 0.0) + share * len(text)
-            holders[node.number] = node
-            node, share = node.parent.container, share * 0.9
-    named = _named_container(blocks)
-    if named:
-        inside = named
-    elif weight:
-        inside = {max(weight, key=lambda n: (weight[n], n))}
-    else:
-        inside = set()
+        while node is not None:
+            around = node.parent.container if node.parent else None
+            group = around.number if around else -1
+            factor = NAMED_FACTOR if node.tag in NAMED else 1.0
+            weight[group] = weight.get(group, 0.0) + share * factor * len(text)
+            members.setdefault(group, set()).add(node.number)
+            node, share = around, share * 0.9
+    inside = members[max(weight, key=lambda n: (weight[n], n))] if weight else set()
     kept = [b for b in blocks if not b.node.boilerplate and (not inside or _within(b.node, inside))]
     return "\n".join(text for b in kept if (text := b.text))
 
 
-def _named_container(blocks: list[Block]) -> set[int]:
-    """The outermost article or main elements that hold text, or nothing."""
-    lengths: dict[str, dict[int, int]] = {"article": {}, "main": {}}
-    for block in blocks:
-        if block.node.boilerplate:
-            continue
-        node, outer = block.node, {}
-        while node is not None:
-            if node.tag in lengths:
-                outer[node.tag] = node.number
-            node = node.parent
-        for tag, number in outer.items():
-            lengths[tag][number] = lengths[tag].get(number, 0) + len(block.text)
-    for tag in ("article", "main"):
-        if found := {n: size for n, size in lengths[tag].items() if size}:
-            return {max(found, key=lambda n: (found[n], -n))}
-    return set()
-
-
 def _within(node: Node | None, numbers: set[int]) -> bool:
     while node is not None:
         if node.number in numbers:
