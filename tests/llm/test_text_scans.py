@@ -98,6 +98,17 @@ def test_hidden_words_are_restored(spark, toxic_model):
     assert {r.text.split()[3] for r in restored.collect()} == {"idiot", "stupid"}
 
 
+LESS_PLAIN = ["idio7", "idio+", "id107", "id10+", "idi07", "iidiot", "idiiot", "sstupid", "stuupid", "moorron", "m0r0n", "s   t   u   p   i   d", "í d i o t", "(idio7)", "iidiot!"]
+
+
+def test_look_alikes_at_ends_doubled_letters_and_wide_gaps(toxic_model):
+    score = toxic_model.scorer()
+    missed = [word for word in LESS_PLAIN if score(f"the and attion {word} ernd thing".encode()) < 0.5]
+    assert not missed
+    for plain in GOOD + ["inng!", "hand3", "there++", "thee", "onsh 10 that"]:
+        assert score(f"the {plain} ernd".encode()) < 0.5
+
+
 def test_held_out_toxicity_and_clean_texts(spark, toxic_model):
     docs, labels = labelled(spark)
     held = toxicity.scored(docs, toxic_model).join(labels, "doc_id").where(~toxicity.not_held_out()).collect()

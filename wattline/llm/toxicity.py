@@ -40,12 +40,19 @@ LOOKALIKE_COST, MASK_COST, DROP_COST, REPEAT_COST, DOUBLE_COST, KEEP_COST = 1.0,
 
 _LEET = np.zeros(256, bool)
 _LEET[[ord(c) for c in LOOKALIKE]] = True
-_GAP = np.zeros(256, bool)
-_GAP[[ord(c) for c in SEPARATORS]] = True
 _SPLIT = np.zeros(256, bool)
 _SPLIT[[ord(c) for c in ".-_*"]] = True
-#: Four or more single characters with one or two separators between them.
-SPACED = re.compile(rb"(?<![a-z0-9\x80-\xff])(?:[a-z0-9@$!|+][ .\-_*]{1,2}){3,}[a-z0-9@$!|+](?![a-z0-9\x80-\xff])")
+#: Four or more single characters, accented ones too, with separators between them.
+SPACED = re.compile(
+    rb"(?<![a-z0-9\x80-\xff])(?:(?:[a-z0-9@$!|+#]|[\xc3-\xcf][\x80-\xbf])[ .\-_*]+){3,}(?:[a-z0-9@$!|+#]|[\xc3-\xcf][\x80-\xbf])(?![a-z0-9\x80-\xff])"
+)
+#: What else a hidden word may have: a look-alike beside a letter or another look-alike, or a doubled letter.
+BESIDE = re.compile(r"[^\W\d_][0-9@$!|+*#]|[0-9@$!|+*#]{2}|[0-9@$!|+*#][^\W\d_]|([^\W\d_])\1")
+LETTER = re.compile(r"[^\W\d_]")
+#: Letters that one sign may stand for are one letter here, and separators are none.
+ALIKE = {ord(sign): {"1": "i", "|": "i", "6": "g", "8": "g"}.get(sign, letters) for sign, letters in LOOKALIKE.items() if sign != "*"}
+ALIKE |= {ord("l"): "i", ord("b"): "g"} | {ord(c): "" for c in " .-_"}
+DOUBLED = re.compile(r"(.)\1+", re.S)
 INVISIBLE = re.compile(rb"\xe2\x80[\x8b-\x8f]|\xe2\x81\xa0|\xef\xbb\xbf|\xc2\xad")
 
 
@@ -107,10 +114,6 @@ def suspicious(text: bytes) -> list[tuple[int, int]]:
     hits = _LEET[b[:-1]] & letter[1:]
     hits[1:] |= (b[:-2] == b[1:-1]) & (b[1:-1] == b[2:]) & letter[2:]
     hits[1:] |= letter[:-2] & _SPLIT[b[1:-1]] & letter[2:]
-    single = letter | _LEET[b]
-    gap = _GAP[b]
-    spaced = (gap[:-3] & single[1:-2] & gap[2:-1] & single[3:]).any()
-    spaced = spaced or (gap[:-5] & single[1:-4] & gap[2:-3] & gap[3:-2] & single[4:-1] & gap[5:]).any()
     found: list[tuple[int, int]] = []
     for at in np.flatnonzero(hits).tolist():
         if found and at < found[-1][1]:
@@ -118,19 +121,27 @@ def suspicious(text: bytes) -> list[tuple[int, int]]:
         begin = max(text.rfind(b" ", 0, at), text.rfind(b"\n", 0, at)) + 1
         ends = [e for e in (text.find(b" ", at), text.find(b"\n", at)) if e >= 0]
         found.append((begin, min(ends, default=len(text))))
-    if spaced:
-        runs = [m.span() for m in SPACED.finditer(text)]
+    runs = [m.span() for m in SPACED.finditer(text)]
+    if runs:
         found = runs + [(a, e) for a, e in found if not any(a < y and x < e for x, y in runs)]
         found.sort()
     return found
 
 
+def rough(text: str) -> str:
+    """A form that a text shares with all its readings, if no character of the reading is a space."""
+    if not text.isascii():
+        text = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+    return DOUBLED.sub(r"\1", text.translate(ALIKE))
+
+
 @dataclass
 class Decoder:
     """Viterbi decoding of one stretch; the state is the last two characters of the reading."""
 
     costs: list
     known: dict[str, str] = field(default_factory=dict)
+    rough: frozenset[str] = frozenset()
 
     def readings(self, text: str, i: int) -> list[tuple[str, float]]:
         """What the character at ``i`` may stand for; an empty reading drops it."""
@@ -183,6 +194,30 @@ class Decoder:
         return b"".join([*parts, text[done:]]) if parts else text
 
 
+    def possible(self, text: str) -> bool:
+        """Whether some reading may begin with a feature of the lexicon; signs without any letter are no word."""
+        if not LETTER.search(text):
+            return False
+        fixed, star, _ = text.partition("*")
+        form = rough(fixed)
+        if any(form[:n] in self.rough for n in range(1, len(form) + 1)):
+            return True
+        return bool(star) and any((len(f) <= len(text) or not text.isascii()) and f.startswith(form) for f in self.rough)
+
+    def further(self, token: bytes) -> list[bytes]:
+        """Readings of a token that is not suspicious by itself; of use only where the lexicon knows them.
+
+        The likeliest one of the token, without punctuation around it, and without exclamation marks at its end.
+        """
+        text = token.decode("utf-8", "replace")
+        if len(text) > 64 or not BESIDE.search(text) or not LETTER.search(text):
+            return []
+        if not any(self.possible(text[i:]) for i in range(len(text)) if not i or not text[i - 1].isalpha()):
+            return []
+        core = text.strip("\"'(),.:;?")
+        return [r.encode() for r in dict.fromkeys((self.decode(core), self.decode(text), self.decode(core.rstrip("!"))))]
+
+
 #: Beginnings of words that are features beside the words themselves.
 BEGINNINGS = (4, 5, 6)
 #: The bound of the training sample, in labelled numbers.
@@ -215,22 +250,30 @@ class Model:
     rest: float
 
     def scorer(self):
-        decoder, lexicon = Decoder(self.costs.tolist()), self.lexicon
+        lexicon = self.lexicon
+        decoder = Decoder(self.costs.tolist(), rough=frozenset(rough(f.decode("utf-8", "replace")) for f in lexicon))
+
+        def value(word: bytes) -> float:
+            return max((lexicon.get(f, 0.0) for f in features(word)), default=0.0)
 
         class Known(dict):
-            def __missing__(self, word: bytes) -> float:
+            """The toxic words of a token, as it stands or else as it may have been meant."""
+
+            def __missing__(self, token: bytes) -> tuple:
                 if len(self) >= REMEMBERED:
                     self.clear()
-                value = self[word] = max((lexicon.get(f, 0.0) for f in features(word)), default=0.0)
-                return value
+                found = [(w, p) for w in words_of(token) if (p := value(w))]
+                for reading in [] if found else decoder.further(token):
+                    found += [(w, p) for w in words_of(reading) if (p := value(w))]
+                self[token] = tuple(found)
+                return self[token]
 
         known = Known()
 
         def score(text: bytes) -> float:
             clean = 1.0 - self.rest
-            for p in map(known.__getitem__, set(words_of(decoder.restore(text)))):
-                if p:
-                    clean *= 1.0 - p
+            for _, p in {pair for token in set(decoder.restore(text).split()) for pair in known[token]}:
+                clean *= 1.0 - p
             return 1.0 - clean
 
         return score
