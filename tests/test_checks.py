@@ -1,7 +1,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from comparing import rows
 
 from wattline.operators import checks
 

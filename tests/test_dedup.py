@@ -2,7 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from comparing import rows
 
 from wattline.operators.dedup import flag_duplicates, latest_rows
 from wattline.operators.skew import hot_keys

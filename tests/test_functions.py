@@ -2,7 +2,7 @@ import hashlib
 from datetime import date, datetime
 
 import pytest
-from conftest import rows
+from comparing import rows
 from pyspark.sql import functions as F
 
 from wattline.functions import (

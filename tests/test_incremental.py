@@ -1,7 +1,7 @@
 from datetime import date, datetime
 
 import pytest
-from conftest import rows
+from comparing import rows
 
 from wattline.operators.incremental import high_watermark, newer_rows, require_unique, sync_columns, upsert
 

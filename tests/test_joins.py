@@ -2,7 +2,7 @@ import random
 import re
 
 import pytest
-from conftest import rows
+from comparing import rows
 
 from wattline.operators.skew import flag_unknown_keys, lookup_join
 

@@ -1,7 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from comparing import rows
 from raw_area import DRIFTED, drifted, reading, write_daily, write_raw_area
 
 from wattline.operators import checks

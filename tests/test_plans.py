@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import rows
+from comparing import rows
 from pyspark.sql import functions as F
 
 from wattline.plans import dimensions, marts

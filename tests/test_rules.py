@@ -3,7 +3,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from comparing import rows
 
 from wattline.operators.rules import NULL_DROPS
 from wattline.operators.rulesets import RULE_SETS

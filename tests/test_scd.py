@@ -1,6 +1,6 @@
 from datetime import datetime
 
-from conftest import rows
+from comparing import rows
 
 from wattline.operators.scd import History, apply_snapshot, versioned_dimension
 

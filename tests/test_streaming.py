@@ -1,6 +1,6 @@
 from datetime import datetime, timedelta
 
-from conftest import rows
+from comparing import rows
 from raw_area import DRIFTED, drifted, reading, write_daily, write_raw_area
 
 from wattline.plans.build import Build

@@ -4,7 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from comparing import rows
 
 from wattline.operators.audit import create_audit_tables
 from wattline.operators.rulesets import BILLING, READINGS
