@@ -35,7 +35,7 @@ def test_queries_return_every_row(spark, name):
 
 
 def test_registered_names():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 

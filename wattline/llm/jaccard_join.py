@@ -278,10 +278,10 @@ def similar_groups(
     pairs = staged(_traversed(_nodes(linked, met, classes), blocks, similarity), "join-candidates")
     across = _verified(pairs, linked, shingle, similarity)
     classes = components(links.unionAll(across)).toDF("row", "root")
-    return _labelled(judged, classes, compared)
+    return labelled(judged, classes, compared)
 
 
-def _labelled(judged: DataFrame, classes: DataFrame, compared: DataFrame) -> DataFrame:
+def labelled(judged: DataFrame, classes: DataFrame, compared: DataFrame) -> DataFrame:
     members = judged.select("row", "doc_id", "n", "digest", "group_size").join(classes, "row", "left")
     members = staged(members.withColumn("root", F.coalesce("root", "row")), "join-members")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")

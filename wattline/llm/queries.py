@@ -18,6 +18,7 @@ from wattline.llm.license_scan import scan
 from wattline.llm.packing import pack
 from wattline.llm.sharding import shards
 from wattline.llm.substring_dedup import repeated_words
+from wattline.llm.tensor_minhash import near_groups
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +80,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_html_text": op10_html_text,
+    "op12_minhash": op12_minhash,
 }
 
 ORACLE = {
