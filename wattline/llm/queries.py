@@ -17,8 +17,10 @@ from wattline.llm.labelled import remainder
 from wattline.llm.license_scan import scan
 from wattline.llm.packing import pack
 from wattline.llm.sharding import shards
+from wattline.llm.spelling import spelling_groups
 from wattline.llm.substring_dedup import repeated_words
 from wattline.llm.tensor_minhash import near_groups
+from wattline.llm.whitening import whitened
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,10 +82,18 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(table(spark, sf_dir, "documents"))
+
+
 def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
@@ -95,7 +105,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_html_text": op10_html_text,
+    "op11_spelling": op11_spelling,
     "op12_minhash": op12_minhash,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE = {
