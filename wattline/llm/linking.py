@@ -21,7 +21,7 @@ from wattline.llm.components import components
 
 #: Most rows of a part, and about how many elements their sets hold together.
 PART_ROWS, PART_ELEMENTS = 256, 1_500_000
-#: How often large homes are dealt anew before the rest meets pair by pair.
+#: How often large homes are dealt anew, while that finds links, before the rest meets pair by pair.
 DEALS = 3
 
 
@@ -69,13 +69,14 @@ def linked_classes(sets: DataFrame, keys: DataFrame, compare: Callable[[], Calla
         if mixed.isEmpty():
             break
         links.append(_inside(sets, _parts(sets, mixed.select("row", "home"), deal), classes, compare))
+        if links[-1].isEmpty():
+            break
+        classes = _classes(links)
+    mixed, old = staged(_several(mixed, classes), "linking-several"), mixed
+    discard(old)
+    if not mixed.isEmpty():
+        links.append(_inside(sets, _pairs_of_parts(sets, mixed), classes, compare))
         classes = _classes(links)
-    else:
-        mixed, old = staged(_several(mixed, classes), "linking-several"), mixed
-        discard(old)
-        if not mixed.isEmpty():
-            links.append(_inside(sets, _pairs_of_parts(sets, mixed), classes, compare))
-            classes = _classes(links)
     discard(leaders, mixed)
     return classes
 
