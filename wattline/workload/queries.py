@@ -53,7 +53,7 @@ from wattline.session import prepare, shared_folder
 from wattline.sources.csv import file_manifest, list_files, union_by_name, unseen_files
 from wattline.sources.registry import Source
 from wattline.streaming.ingest import ingest_new_files, read_ingested
-from wattline.streaming.usage import run_usage_stream, streamed_daily_usage
+from wattline.streaming.usage import rows_behind, run_usage_stream, streamed_daily_usage
 from wattline.workload import oracle, roles
 from wattline.workload.oracle import AS_OF as NOW
 from wattline.workload.oracle import half_up, key, sql
@@ -1451,21 +1451,8 @@ def stream_file_ingest(spark, sf):
     )
 
 
-@register(
-    "stream_daily_usage",
-    sql(
-        f"""select u.* from ({oracle.DAILY_USAGE.replace(' where consumption_kwh between 0 and 100', '')}) u
-        where cast(u.reading_date as timestamp) + interval 1 day
-          <= (select max(ts) from events) - interval 120 hour""",
-        "readings",
-    ),
-)
-def stream_daily_usage(spark, sf):
-    """Usage of all days that are final: those behind the watermark when the stream has read all."""
-    folder = shared_folder(spark, "usage-stream")
-    schema = roles.load(spark, sf, "events").schema
-    events = spark.readStream.schema(schema).parquet(f"{sf}/events*.parquet")
-    readings = roles.with_region(spark, sf, events, "user_id").select(
+def usage_readings(spark, sf, events):
+    return roles.with_region(spark, sf, events, "user_id").select(
         F.concat(F.lit("R"), F.col("event_id").cast("string")).alias("reading_id"),
         F.concat(F.lit("M"), F.col("user_id").cast("string")).alias("meter_id"),
         F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("customer_id"),
@@ -1475,5 +1462,42 @@ def stream_daily_usage(spark, sf):
         "region",
         (F.col("event_id") % 100 == 0).alias("is_late_arriving"),
     )
-    run_usage_stream(readings, f"{folder}/out", f"{folder}/checkpoint")
+
+
+@register("stream_daily_usage", sql(oracle.DAILY_USAGE.replace(" where consumption_kwh between 0 and 100", ""), "readings"))
+def stream_daily_usage(spark, sf):
+    """Usage of every day, the open ones included, after the stream has read all."""
+    folder = shared_folder(spark, "usage-stream")
+    schema = roles.load(spark, sf, "events").schema
+    events = spark.readStream.schema(schema).parquet(f"{sf}/events*.parquet")
+    run_usage_stream(usage_readings(spark, sf, events), f"{folder}/out", f"{folder}/checkpoint")
     return streamed_daily_usage(spark, f"{folder}/out")
+
+
+@register(
+    "stream_rows_behind",
+    """with landed as (select *, event_id % 3 as landing from events),
+    marks as (select 1 as landing, max(ts) - interval 120 hour as mark from landed where landing = 0
+      union all select 2, max(ts) - interval 120 hour from landed where landing <= 1)
+    select cast(l.ts as date) as reading_date,
+      count_if(m.mark is null or l.ts >= m.mark) as accepted, count_if(l.ts < m.mark) as behind
+    from landed l left join marks m on l.landing = m.landing group by cast(l.ts as date)""",
+)
+def stream_rows_behind(spark, sf):
+    """Readings that arrive in three portions with every sixth row sent twice: what each day accepted, and what came too late for it."""
+    folder = shared_folder(spark, "usage-stream")
+    readings = usage_readings(spark, sf, roles.load(spark, sf, "events"))
+    number = F.substring("reading_id", 2, 20).cast("long")
+    tables = [f"{folder}/{part}" for part in ("in", "out", "checkpoint")]
+    for landing in range(3):
+        again = readings.where((number % 6 == 0) & (number % 3 == landing))
+        readings.where(number % 3 == landing).unionByName(again).write.mode("append").parquet(tables[0])
+        stream = spark.readStream.schema(readings.schema).parquet(tables[0])
+        run_usage_stream(stream, *tables[1:])
+    accepted = streamed_daily_usage(spark, tables[1]).groupBy("reading_date").agg(F.sum("reading_count").alias("accepted"))
+    behind = rows_behind(spark, tables[1], readings.schema)
+    late = behind.dropDuplicates(["reading_id"]).groupBy(F.col("reading_timestamp").cast("date").alias("reading_date"))
+    zero = F.lit(0).cast("long")
+    return accepted.join(late.agg(F.count(F.lit(1)).alias("behind")), "reading_date", "full").select(
+        "reading_date", F.coalesce("accepted", zero).alias("accepted"), F.coalesce("behind", zero).alias("behind")
+    )
