@@ -90,28 +90,28 @@ def _sketched(docs: DataFrame, shingle: int, lanes: int) -> DataFrame:
 def _repeated(keys: DataFrame) -> DataFrame:
     """The rows of ``keys`` whose ``key`` another row has as well. Counts are combined before the shuffle."""
     several = keys.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("key")
-    return keys.join(staged(several, "tensor-several"), "key")
+    return keys.join(several, "key")
 
 
 def _tables(halves: DataFrame) -> DataFrame:
-    """``key, row`` for every pair of half keys of a row, one of each collection."""
-    alive = halves.groupBy("row").agg(
+    """``key, row, n`` for every pair of half keys of a row, one of each collection."""
+    alive = halves.groupBy("row", "n").agg(
         F.collect_list(F.when(F.col("first"), F.col("key"))).alias("x"), F.collect_list(F.when(~F.col("first"), F.col("key"))).alias("y")
     )
-    pairs = alive.where("size(x) > 0 and size(y) > 0").select("row", F.explode("x").alias("x"), "y")
-    return pairs.select("row", "x", F.explode("y").alias("y")).select(F.xxhash64("x", "y").alias("key"), "row")
+    pairs = alive.where("size(x) > 0 and size(y) > 0").select("row", "n", F.explode("x").alias("x"), "y")
+    return pairs.select("row", "n", "x", F.explode("y").alias("y")).select(F.xxhash64("x", "y").alias("key"), "row", "n")
 
 
 def _halves(sketches: DataFrame, halves: int, width: int) -> DataFrame:
     def each():
-        def row(number: int, lanes: bytes) -> Iterator[dict]:
+        def row(number: int, n: int, lanes: bytes) -> Iterator[dict]:
             keys = half_keys(np.frombuffer(lanes, "<u4"), width)
             first = np.arange(len(keys)) < halves
-            yield {"key": keys.view(np.int64), "first": first, "row": np.full(len(keys), number)}
+            yield {"key": keys.view(np.int64), "first": first, "row": np.full(len(keys), number), "n": np.full(len(keys), n)}
 
         return row
 
-    return map_tables(sketches.where("lanes is not null").select("row", "lanes"), "key long, first boolean, row long", each)
+    return map_tables(sketches.where("lanes is not null").select("row", "n", "lanes"), "key long, first boolean, row long, n long", each)
 
 
 def _comparison(shingle: int, similarity: int, lanes: int):
@@ -184,4 +184,4 @@ def near_groups(
     candidates = keys.select("row").distinct()
     sets = staged(sketches.select("row", "n", "lanes", "text").join(candidates, "row", "left_semi"), "tensor-sets")
     classes = linked_classes(sets, keys, _comparison(shingle, similarity, lanes))
-    return labelled(sketches, classes.toDF("row", "root"), compared)
+    return labelled(sketches, classes, compared)

@@ -14,11 +14,12 @@ from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import discard, map_rows, map_tables, shipped, staged
+from wattline.llm.common import discard, map_rows, shipped, staged
 
 SCALE, SHIFT = 1024, 100_000
 COMPONENTS = 8
@@ -195,54 +196,47 @@ def scaled(vectors: np.ndarray) -> np.ndarray:
     return np.clip(np.floor(vectors * SCALE), -limit, limit).astype(np.int64) + SHIFT
 
 
-def _usable(df: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    vector = F.col(vector_column)
-    bad = F.exists(vector, lambda c: c.isNull() | F.isnan(c.cast("double")) | (F.abs(c.cast("double")) == float("inf")))
-    rows = df.where(vector.isNotNull() & (F.size(vector) > 0) & ~F.coalesce(bad, F.lit(True)))
-    return rows.select(F.col(id_column).cast("long").alias("vec_id"), vector.cast("array<double>").alias("vector"))
+def _vectors(df: DataFrame, id_column: str, vector_column: str) -> DataFrame:
+    return df.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).cast("array<double>").alias("vector"))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], dimension: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """Numbers and scaled vectors of the fit list, some megabytes at a time."""
-    step = max(1, BLOCK // (8 * dimension))
+def _blocks(batches: Iterator[pa.RecordBatch], dimension: int | None) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Numbers and scaled vectors of the fit list, some megabytes at a time; without a dimension, of each length by itself."""
     for batch in batches:
-        for start in range(0, batch.num_rows, step):
-            part = batch.slice(start, step)
-            flat = part.column("vector").flatten().to_numpy(zero_copy_only=False)
-            yield part.column("vec_id"), scaled(flat.reshape(-1, dimension))
+        lists = batch.column("vector")
+        lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        for length in [dimension] if dimension else np.unique(lengths[lengths > 0]).tolist():
+            at = np.flatnonzero(lengths == length)
+            # 1024 entries of 52 bits add up within 64.
+            step = max(1, min(1024, BLOCK // (8 * length)))
+            for start in range(0, len(at), step):
+                chosen = pa.array(at[start : start + step])
+                # A null entry reads as NaN.
+                flat = lists.take(chosen).flatten().to_numpy(zero_copy_only=False).reshape(-1, length)
+                finite = np.isfinite(flat).all(axis=1)
+                if finite.any():
+                    yield batch.column("vec_id").take(chosen).filter(pa.array(finite)), scaled(flat[finite])
 
 
 def _sums(rows: DataFrame) -> dict[int, tuple[int, list[int]]]:
     """By dimension: number of rows and the exact sum of each entry. The driver gets one row per dimension and place."""
+    shipped(rows.sparkSession)
 
-    def each():
-        held: dict[int, list] = {}
-
-        def row(vector: list[float]) -> Iterator[dict]:
-            x = scaled(np.array(vector, np.float64))
-            state = held.setdefault(len(x), [0, np.zeros(len(x), np.int64)])
-            state[0] += 1
-            state[1] += x
-            if state[0] % 512 == 0:
-                yield from finish(len(x))
-
-        def finish(*only: int) -> Iterator[dict]:
-            for length in only or list(held):
-                n, sums = held.pop(length)
-                places = np.arange(length, dtype=np.int32)
-                yield {"length": np.full(length, length, np.int32), "place": places, "n": np.full(length, n), "total": sums}
-
-        row.finish = finish
-        return row
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, x in _blocks(batches, None):
+            length = x.shape[1]
+            columns = [np.full(length, length), np.arange(length), np.full(length, len(x)), x.sum(axis=0)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["length", "place", "n", "total"])
 
-    parts = map_tables(rows.select("vector"), "length int, place int, n long, total long", each)
+    parts = rows.mapInArrow(each, "length long, place long, n long, total long")
     totals = parts.groupBy("length", "place").agg(F.sum("n").alias("n"), F.sum(F.col("total").cast("decimal(38,0)")).alias("total"))
+    totals = staged(totals, "whitening-sums")
     found: dict[int, tuple[int, list[int]]] = {}
     most = totals.where("place = 0").agg(F.max(F.struct("n", "length")).alias("most")).first().most
-    if most is None:
-        return found
-    for length, n, total in totals.where(F.col("length") == most.length).orderBy("place").select("length", "n", "total").collect():
-        found.setdefault(length, (n, []))[1].append(int(Decimal(total)))
+    if most is not None:
+        for length, n, total in totals.where(F.col("length") == most.length).orderBy("place").select("length", "n", "total").collect():
+            found.setdefault(length, (n, []))[1].append(int(Decimal(total)))
+    discard(totals)
     return found
 
 
@@ -349,13 +343,12 @@ def whitened(
     """
     spark = df.sparkSession
     schema = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
-    rows = _usable(df, id_column, vector_column)
+    rows = _vectors(df, id_column, vector_column)
     sums = _sums(rows)
     if not sums:
         return spark.createDataFrame([], schema)
     [(dimension, (n, totals))] = sums.items()
     centre = Centre(n, totals)
-    rows = rows.where(F.size("vector") == dimension)
     r = _triangle(rows, centre, dimension)
     trace = float((r**2).sum())
     if trace <= (NOISE * max(map(abs, totals)) / n) ** 2:
