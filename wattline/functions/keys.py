@@ -21,11 +21,15 @@ def surrogate_key(*parts: str | Column) -> Column:
     return F.sha2(F.concat_ws(KEY_SEPARATOR, *texts), 256)
 
 
+# The columns that a build stamps on its rows.
+LOAD_AUDIT = ("dbt_loaded_at", "dbt_invocation_id")
+
+
 def load_audit_columns(df: DataFrame, loaded_at: datetime, invocation_id: str) -> DataFrame:
     """Stamp rows with the time and id of the build; both are given, so reruns agree."""
     return df.withColumns(
         {
-            "dbt_loaded_at": F.lit(loaded_at).cast("timestamp"),
-            "dbt_invocation_id": F.lit(invocation_id),
+            LOAD_AUDIT[0]: F.lit(loaded_at).cast("timestamp"),
+            LOAD_AUDIT[1]: F.lit(invocation_id),
         }
     )

@@ -101,8 +101,8 @@ def replace_partitions(
     keys: str | Sequence[str],
     partition: str,
     broadcast_rows: int = BROADCAST_ROWS,
-) -> None:
-    """Upsert into a partitioned table, rewriting only partitions the batch touches.
+) -> set:
+    """Upsert into a partitioned table, rewriting only partitions the batch touches; returns those partitions.
 
     The batch is evaluated once, into a folder of its own that goes away afterwards. Touched are the partitions of the batch and those that hold an older row of one of its
     keys. Their names are read to the driver: one value per day, never per row. The new
@@ -118,36 +118,37 @@ def replace_partitions(
     folder = shared_folder(spark, "batch")
     try:
         batch.write.parquet(folder)
-        _replace(spark, table, spark.read.schema(batch.schema).parquet(folder), names, partition, broadcast_rows)
+        return _replace(spark, table, spark.read.schema(batch.schema).parquet(folder), names, partition, broadcast_rows)
     finally:
         remove_folder(spark, folder)
 
 
 def _replace(
     spark: SparkSession, table: str, batch: DataFrame, names: list[str], partition: str, broadcast_rows: int
-) -> None:
+) -> set:
     require_unique(batch, names)
     _finish_swap(spark, table)
     if not spark.catalog.tableExists(table):
         save_table(batch.hint("rebalance", partition), table, "errorifexists", [partition])
-        return
+        return {row[0] for row in batch.select(partition).distinct().collect()}
+    batch_keys = batch.select(*[F.col(k).alias(f"_key_{k}") for k in names]).distinct()
+    holding_older = spark.table(table).select(*dict.fromkeys([*names, partition])).join(
+        broadcast_within(batch_keys, broadcast_rows), null_safe_match(names), "left_semi"
+    )
+    touched = {
+        row[0] for row in batch.select(partition).union(holding_older.select(partition)).distinct().collect()
+    }
     if set(spark.table(table).columns) - set(batch.columns):
         rebuilt = upsert(spark.table(table), batch, names, broadcast_rows)
         save_table(rebuilt.hint("rebalance", partition), f"{table}{REBUILT}", "overwrite", [partition])
         spark.sql(f"DROP TABLE {table}")
         _finish_swap(spark, table)
-        return
+        return touched
     widen(spark, table, batch.schema)
     target = spark.table(table)
-    batch_keys = batch.select(*[F.col(k).alias(f"_key_{k}") for k in names]).distinct()
-    holding_older = target.select(*dict.fromkeys([*names, partition])).join(
-        broadcast_within(batch_keys, broadcast_rows), null_safe_match(names), "left_semi"
-    )
-    touched = {
-        row[0] for row in batch.select(partition).union(holding_older.select(partition)).distinct().collect()
-    }
     merged = upsert(target.filter(in_partitions(partition, touched)), _aligned(batch, target), names, broadcast_rows)
     overwrite_partitions(spark, table, merged, partition, touched)
+    return touched
 
 
 def _finish_swap(spark: SparkSession, table: str) -> None:
@@ -176,9 +177,9 @@ def overwrite_partitions(
         left = {row[0] for row in staged.select(partition).distinct().collect()}
         with _dynamic_overwrite(spark):
             staged.write.insertInto(table, overwrite=True)
-        for value in touched - left:
-            spec = f"{partition} = {'NULL' if value is None else repr(str(value))}"
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+        gone = [f"PARTITION ({partition} = {'NULL' if v is None else repr(str(v))})" for v in touched - left]
+        if gone:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(gone)}")
         spark.catalog.refreshTable(table)
     finally:
         remove_folder(spark, staging)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from wattline.operators.checks import check_report, freshness, require_passed
 from wattline.operators.incremental import newer_rows
 from wattline.operators.scd import HIDDEN_COLUMNS, HISTORIES, apply_snapshot, versioned_dimension
-from wattline.operators.sinks import publish, replace_partitions
-from wattline.plans import dimensions, facts, marts
+from wattline.operators.sinks import in_partitions, publish
+from wattline.plans import dimensions, facts, growth, marts
 from wattline.plans.build import Build
 from wattline.plans.model_checks import HISTORY_CHECKS, MODEL_CHECKS, STAGING_CHECKS
 from wattline.plans.staging import STAGING, stage
@@ -71,54 +70,42 @@ class Gold:
             self.publish(f"dim_{subject}_scd", self.run.stamp(shown))
 
     def build_facts(self) -> None:
-        regions, dates = self.table("dim_regions"), self.table("dim_date")
-        meters, customers, tariffs = (self.table(f"dim_{n}") for n in ("meters", "customers", "tariffs"))
-        self.upsert_fact(
-            "fact_meter_readings",
-            "stg_meter_readings",
-            "meter_reading_sk",
-            "reading_date",
-            lambda rows: facts.fact_meter_readings(rows, meters, regions, dates, self.run),
+        dims = {f"dim_{n}": self.table(f"dim_{n}") for n in ("regions", "date", "meters", "customers", "tariffs")}
+        place = dims["dim_regions"], dims["dim_date"], self.run
+        meters, owners = (dims["dim_meters"],), (dims["dim_customers"], dims["dim_tariffs"])
+        shapes = (
+            (growth.READINGS, "stg_meter_readings", lambda rows: facts.fact_meter_readings(rows, *meters, *place)),
+            (growth.BILLING, "stg_billing_events", lambda rows: facts.fact_billing_events(rows, *owners, *place)),
+            (growth.OUTAGES, "stg_outage_events", lambda rows: facts.fact_outage_events(rows, *place)),
         )
-        self.upsert_fact(
-            "fact_billing_events",
-            "stg_billing_events",
-            "billing_event_sk",
-            "billing_date",
-            lambda rows: facts.fact_billing_events(rows, customers, tariffs, regions, dates, self.run),
-        )
-        self.upsert_fact(
-            "fact_outage_events",
-            "stg_outage_events",
-            "outage_sk",
-            "outage_date",
-            lambda rows: facts.fact_outage_events(rows, regions, dates, self.run),
-        )
-        weather = facts.fact_weather_daily(self.staged("stg_weather"), regions, dates, self.run)
-        self.publish("fact_weather_daily", weather)
-
-    def upsert_fact(
-        self,
-        name: str,
-        staged: str,
-        key: str | Sequence[str],
-        partition: str,
-        shape: Callable[[DataFrame], DataFrame],
-    ) -> None:
+        for fact, staged, shape in shapes:
+            fresh = newer_rows(self.staged(staged), self._saved(fact.name), "silver_processed_at_utc")
+            growth.grow_fact(self.spark, self.schema, fact, fresh, shape, dims, self.run)
+        self._build_weather(*place)
+
+    def _saved(self, name: str) -> DataFrame | None:
         table = f"{self.schema}.{name}"
-        target = self.spark.table(table) if self.spark.catalog.tableExists(table) else None
-        rows = newer_rows(self.staged(staged), target, "silver_processed_at_utc")
-        replace_partitions(self.spark, table, shape(rows), key, partition)
+        return self.spark.table(table) if self.spark.catalog.tableExists(table) else None
+
+    def _build_weather(self, regions: DataFrame, dates: DataFrame, run: Build) -> None:
+        staged = self.staged("stg_weather")
+        fresh = newer_rows(staged, self._saved("fact_weather_daily"), "silver_processed_at_utc")
+        days = {row[0] for row in fresh.select("weather_date").distinct().collect()}
+        growth.log_changes(self.spark, self.schema, "fact_weather_daily", days, run)
+        self.publish("fact_weather_daily", facts.fact_weather_daily(staged, regions, dates, run))
 
     def build_marts(self, lookback_days: int = 0) -> None:
-        readings, billing = self.table("fact_meter_readings"), self.table("fact_billing_events")
-        daily = f"{self.schema}.mart_daily_energy_summary"
-        target = self.spark.table(daily) if self.spark.catalog.tableExists(daily) else None
-        recent = newer_rows(readings, target, "reading_date", lookback_days)
-        summary = marts.daily_energy_summary(recent, self.table("fact_weather_daily"), billing)
-        replace_partitions(
-            self.spark, daily, self.run.stamp(summary), ["reading_date", "region"], "reading_date"
+        """The daily report for the days that changed (and the last ``lookback_days``), the customers' report whole."""
+        report, sources = "mart_daily_energy_summary", (growth.READINGS.name, growth.BILLING.name, "fact_weather_daily")
+        readings, billing, weather = (self.table(name) for name in sources)
+        days, runs = growth.days_to_build(self.spark, self.schema, report, sources)
+        if lookback_days:
+            recent = newer_rows(readings, self._saved(report), "reading_date", lookback_days)
+            days |= {row[0] for row in recent.select("reading_date").distinct().collect()}
+        summary = marts.daily_energy_summary(
+            *(t.filter(in_partitions(day, days)) for t, day in ((readings, "reading_date"), (weather, "weather_date"), (billing, "billing_date")))
         )
+        growth.rebuild_days(self.spark, self.schema, report, "reading_date", days, runs, self.run.stamp(summary))
         customers = marts.customer_energy_summary(self.table("dim_customers"), readings, billing)
         self.publish("mart_customer_energy_summary", self.run.stamp(customers))
 

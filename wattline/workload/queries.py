@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.functions import (
+    LOAD_AUDIT,
     cast_columns,
     degree_days,
     ensure_columns,
@@ -25,9 +28,11 @@ from wattline.operators.sinks import (
     FULL,
     INCREMENTAL,
     create_schemas,
+    in_partitions,
     land_table,
     publish,
     replace_partitions,
+    save_table,
     source_metadata,
     write_daily_csv,
 )
@@ -44,7 +49,8 @@ from wattline.operators.validate import (
     standardise,
     verdict,
 )
-from wattline.plans import dimensions, facts, marts
+from wattline.plans import dimensions, facts, growth, marts
+from wattline.plans.build import Build
 from wattline.plans.billing import billable, billing_charges
 from wattline.plans.landing import lineage_columns
 from wattline.plans.staging import stage
@@ -1501,3 +1507,82 @@ def stream_rows_behind(spark, sf):
     return accepted.join(late.agg(F.count(F.lit(1)).alias("behind")), "reading_date", "full").select(
         "reading_date", F.coalesce("accepted", zero).alias("accepted"), F.coalesce("behind", zero).alias("behind")
     )
+
+
+_UNSTAMPED = "select * exclude (dbt_loaded_at, dbt_invocation_id) from ({}) f"
+
+
+def _portion(column: str, n: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(n))
+
+
+def _unstamped(df: DataFrame) -> DataFrame:
+    return df.drop(*LOAD_AUDIT)
+
+
+@register("fact_late_dimension", _UNSTAMPED.format(ORACLE["fact_readings"]))
+def fact_late_dimension(spark, sf):
+    """Readings land in two runs. In the first, meters, their owners and the second half of the calendar are incomplete."""
+    schema = scratch_schema(spark)
+    regions, dates = region_and_date(spark, sf)
+    readings = staged_role(spark, sf, "readings")
+    half = _portion("reading_id", 2)
+    owners, tariffs = dim_customers(spark, sf), dim_tariffs(spark, sf)
+    meters = staged_role(spark, sf, "meters")
+    runs = (
+        (readings.filter(half == 0), meters.filter(_portion("meter_id", 5) != 0), owners.filter(_portion("customer_id", 3) != 0), 0),
+        (readings.filter(half == 1), meters, owners, 1),
+    )
+    for fresh, known, customers, whole in runs:
+        days = dates.filter(F.lit(whole == 1) | (_portion("date_sk", 2) == 0))
+        run = Build(f"run-{whole}", AS_OF, "test")
+        dims = {"dim_meters": dimensions.dim_meters(known, customers, tariffs, run), "dim_regions": regions, "dim_date": days}
+        shape = partial(facts.fact_meter_readings, meters=dims["dim_meters"], regions=regions, dates=days, run=run)
+        growth.grow_fact(spark, schema, growth.READINGS, fresh, shape, dims, run)
+    return _unstamped(spark.table(f"{schema}.{growth.READINGS.name}"))
+
+
+@register("fact_billing_late_dimension", _UNSTAMPED.format(ORACLE["fact_billing"]))
+def fact_billing_late_dimension(spark, sf):
+    """Bills land in two runs; customers, tariffs and regions come complete with the second only."""
+    schema = scratch_schema(spark)
+    regions, dates = region_and_date(spark, sf)
+    bills, customers, tariffs = staged_role(spark, sf, "billing"), dim_customers(spark, sf), dim_tariffs(spark, sf)
+    half = _portion("billing_event_id", 2)
+    # Bills spread thinly over years are kept by month.
+    by_month = replace(growth.BILLING, day="billing_month")
+    month = F.trunc("billing_date", "month").alias("billing_month")
+    runs = (
+        (bills.filter(half == 0), customers.filter(_portion("customer_id", 2) == 0), tariffs.limit(0), regions.filter("region < 'B'")),
+        (bills.filter(half == 1), customers, tariffs, regions),
+    )
+    for number, (fresh, owners, rates, places) in enumerate(runs):
+        run = Build(f"run-{number}", AS_OF, "test")
+        dims = {"dim_customers": owners, "dim_tariffs": rates, "dim_regions": places, "dim_date": dates}
+        keyed = partial(facts.fact_billing_events, customers=owners, tariffs=rates, regions=places, dates=dates, run=run)
+        growth.grow_fact(spark, schema, by_month, fresh, lambda rows, keyed=keyed: keyed(rows).select("*", month), dims, run)
+    return _unstamped(spark.table(f"{schema}.{growth.BILLING.name}")).drop("billing_month")
+
+
+@register("daily_mart_incremental", ORACLE["daily_energy_summary"])
+def daily_mart_incremental(spark, sf):
+    """The daily report over three runs: most readings, late readings of all days, then the bills. Only changed days are rebuilt."""
+    schema, report = scratch_schema(spark), "mart_daily_energy_summary"
+    readings = billable(roles.readings(spark, sf))
+    bills, weather = roles.billing(spark, sf), roles.weather(spark, sf)
+    late = _portion("reading_id", 7) == 0
+    save_table(bills.limit(0), f"{schema}.bills")
+    for number, rows in enumerate((readings.filter(~late), readings.filter(late), None)):
+        run = Build(f"run-{number}", AS_OF, "test")
+        if rows is None:
+            save_table(bills, f"{schema}.bills")
+            billed_days = {row[0] for row in bills.select("billing_date").distinct().collect()}
+            growth.log_changes(spark, schema, "bills", billed_days, run)
+        else:
+            changed = replace_partitions(spark, f"{schema}.usage", rows, "reading_id", "reading_date")
+            growth.log_changes(spark, schema, "usage", changed, run)
+        days, runs = growth.days_to_build(spark, schema, report, ("usage", "bills"))
+        usage = spark.table(f"{schema}.usage").filter(in_partitions("reading_date", days))
+        billed = spark.table(f"{schema}.bills").filter(in_partitions("billing_date", days))
+        growth.rebuild_days(spark, schema, report, "reading_date", days, runs, marts.daily_energy_summary(usage, weather, billed))
+    return spark.table(f"{schema}.{report}")
