@@ -7,8 +7,9 @@ import pytest
 from comparing import rows
 
 from wattline.operators.audit import create_audit_tables
-from wattline.operators.rulesets import BILLING, READINGS
-from wattline.operators.sinks import create_schemas, land_table
+from wattline.operators.rulesets import BILLING, CUSTOMERS, READINGS
+from wattline.operators.sinks import create_schemas, land_table, publish
+from wattline.plans import validation
 from wattline.plans.build import Build
 from wattline.plans.validation import validate_new_rows, validate_source
 
@@ -100,9 +101,71 @@ def test_untouched_rows_keep_their_processing_time(spark):
     assert rows(spark.table(f"{schema}.meter_readings_clean"), "reading_id", "silver_processed_at_utc") == times
 
 
-def test_sources_with_references_are_refused(spark):
+def test_sources_without_a_day_are_refused(spark):
     with pytest.raises(ValueError, match="load by load"):
-        validate_new_rows(spark, BILLING, "times", "times", "times", build(0))
+        validate_new_rows(spark, CUSTOMERS, "times", "times", "times", build(0))
+
+
+BILL_COLUMNS = (
+    "billing_event_id string, customer_id string, tariff_id string, billing_date string, total_consumption_kwh string, "
+    "total_amount string, payment_status string, payment_method string, _ingested_at_utc timestamp"
+)
+
+
+def bills(draw, number):
+    return [
+        (
+            draw.choice([None, *[f"B{i}" for i in range(60)]]),
+            draw.choice(["C1", "C2", "C3", "C4", None]),
+            draw.choice(["T1", "T2", ""]),
+            draw.choice([f"2026-01-{draw.randrange(1, 6):02d}"] * 9 + [None]),
+            "1",
+            draw.choice(["5", "-5"]),
+            "Paid",
+            "Card",
+            T0 + timedelta(days=number),
+        )
+        for _ in range(40)
+    ]
+
+
+def test_growth_equals_a_full_run_when_references_change(spark, tmp_path):
+    draw, whole, grown = random.Random(3), "whole_bills", "grown_bills"
+    create_schemas(spark, whole, grown)
+    known = ({"C1", "C2"}, {"C1", "C3", "C4"}, {"C1", "C2", "C3"}, {"C1", "C2", "C3"})
+    columns = ("billing_event_id", "customer_id", "billing_date", "total_amount", "_ingested_at_utc", "quarantine_reason")
+    for schema in (whole, grown):
+        create_audit_tables(spark, schema)
+        publish(spark.createDataFrame([("T1",)], "tariff_id string"), f"{schema}.tariffs_clean", "t")
+    for number, customers in enumerate(known):
+        frame = spark.createDataFrame([(c,) for c in [*customers, None]], "customer_id string")
+        new = spark.createDataFrame(bills(draw, number), BILL_COLUMNS).coalesce(1)
+        new = new.selectExpr("*", *[f"cast(null as string) as {c}" for c in BILLING.casts if c not in new.columns]).cache()
+        for schema in (whole, grown):
+            publish(frame, f"{schema}.customers_clean", f"r{number}")
+            if number < 3:
+                land_table(new, f"{schema}.billing_events_raw", "incremental")
+        full = validate_source(spark, BILLING, whole, whole, whole, build(number))
+        step = validate_new_rows(spark, BILLING, grown, grown, grown, build(number))
+        counted = ("bronze_records", "clean_records", "quarantined_records")
+        assert [step[c] for c in counted] == [full[c] for c in counted]
+        for part in ("clean", "quarantine"):
+            names = [c for c in columns if c in spark.table(f"{whole}.billing_events_{part}").columns]
+            assert rows(spark.table(f"{grown}.billing_events_{part}"), *names) == rows(spark.table(f"{whole}.billing_events_{part}"), *names)
+    # Nothing changed before the last run: no verdict is younger than the run before.
+    times = spark.table(f"{grown}.billing_events_verdicts").select("processed_at_utc").distinct()
+    assert build(3).as_of not in {r[0] for r in times.collect()}
+
+
+def test_many_new_files_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(validation, "LISTED_FILES", 0)
+    schema = "many_files"
+    create_schemas(spark, schema)
+    create_audit_tables(spark, schema)
+    for number in range(2):
+        new = spark.createDataFrame(load(random.Random(number), number, 20), COLUMNS).repartition(3)
+        land_table(new, f"{schema}.meter_readings_raw", "incremental")
+        assert validate_new_rows(spark, READINGS, schema, schema, schema, build(number))["bronze_records"] == 20 * (number + 1)
 
 
 @pytest.mark.parametrize("times", [(0, 0, 0), (2, 0, 1)])

@@ -128,9 +128,25 @@ def _reduced_words(vocabulary: DataFrame, symbols: int) -> DataFrame:
     def each():
         reduced = Reduced(symbols)
 
+        waiting: dict[int, list[tuple[str, int]]] = {}
+        held = 0
+
+        def finish() -> Iterator[dict]:
+            nonlocal held
+            held = 0
+            for same in waiting.values():
+                words = [word for word, _ in same]
+                yield {"key": reduced.keys(reduced.of(words)).view(np.int64), "word": words, "n": [n for _, n in same]}
+            waiting.clear()
+
         def row(word: str, n: int) -> Iterator[dict]:
-            yield {"key": reduced.keys(reduced.of([word])).view(np.int64), "word": [word], "n": [n]}
+            nonlocal held
+            waiting.setdefault(len(word), []).append((word, n))
+            held += len(word)
+            if held >= TOGETHER * 8:
+                yield from finish()
 
+        row.finish = finish
         return row
 
     return map_tables(vocabulary.select("word", "n"), "key long, word string, n long", each)

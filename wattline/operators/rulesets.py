@@ -272,6 +272,7 @@ BILLING = RuleSet(
         ),
         duplicate("billing_event_id"),
     ),
+    day="billing_date",
 )
 
 RULE_SETS = {r.source: r for r in (CUSTOMERS, TARIFFS, METERS, READINGS, WEATHER, OUTAGES, BILLING)}

@@ -34,12 +34,23 @@ def flag_rows(
 ) -> DataFrame:
     """One boolean column per rule and the joined messages of those that are true."""
     flagged = flag_copies(df, rules, position, hot_rows)
+    return flag_values(flag_references(flagged, rules, references, broadcast_rows, hot_rows), rules, as_of)
+
+
+def flag_references(
+    df: DataFrame,
+    rules: RuleSet,
+    references: Mapping[str, DataFrame] | None,
+    broadcast_rows: int = BROADCAST_ROWS,
+    hot_rows: int = HOT_GROUP_ROWS,
+) -> DataFrame:
+    """Flag keys that the tables they refer to do not have."""
     for rule in rules.of_kind(REFERENCE):
         reference = (references or {}).get(rule.reference)
         if reference is None:
             raise ValueError(f"rules of {rules.source} need the reference table {rule.reference}")
-        flagged = flag_unknown_keys(flagged, reference, rule.column, rule.flag, broadcast_rows, hot_rows)
-    return flag_values(flagged, rules, as_of)
+        df = flag_unknown_keys(df, reference, rule.column, rule.flag, broadcast_rows, hot_rows)
+    return df
 
 
 def flag_copies(

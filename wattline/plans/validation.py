@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.operators.audit import VALIDATION_AUDIT, VALIDATION_AUDIT_COLUMNS, audited
-from wattline.operators.rules import REFERENCE, RuleSet
+from wattline.operators.rules import REFERENCE, Rule, RuleSet
 from wattline.operators.sinks import (
     create_table,
     in_partitions,
@@ -23,6 +23,7 @@ from wattline.operators.validate import (
     CLEAN,
     QUARANTINED,
     flag_copies,
+    flag_references,
     flag_rows,
     flag_values,
     judged_rows,
@@ -32,9 +33,12 @@ from wattline.operators.validate import (
     view_of_quarantined,
 )
 from wattline.plans.build import Build
-from wattline.sources.tables import POSITION, read_table, rows_frame, with_position
+from wattline.session import shared_folder
+from wattline.sources.tables import POSITION, read_table, with_position
 
 JUDGED_FILES = "file_path string, run_id string"
+#: Up to so many new files are named in the plan of a run.
+LISTED_FILES = 10_000
 COUNTERS = ("bronze_records", "clean_records", "quarantined_records", "duplicate_records")
 
 
@@ -81,38 +85,75 @@ def validate_new_rows(
 ) -> dict:
     """Judge the rows that were loaded since the last run; earlier verdicts stay.
 
-    For sources that grow by loads and refer to no other table. An earlier row is judged
-    again only where its verdict can differ: when a new row has its key, or when it was
-    ahead of the clock. Rows are kept by day, and only days with such rows are rewritten.
-    The outcome is that of judging the whole landing table, but for the processing times.
+    An earlier row is judged again only where its verdict can differ: when a new row has its key, when it was
+    ahead of the clock, or when a key it refers to has come into a reference table or left it since. Rows are kept by
+    day, and only days with such rows are rewritten. The outcome is that of judging the whole landing table, but for the processing times.
 
     New are the rows of landed files that no finished run has judged, whatever time their load
-    carries: loads may share a time or come late. A file is recorded after its rows are
-    saved; rows of a run that was lost on the way are judged again and replaced.
+    carries: loads may share a time or come late. Files and reference keys are recorded after the rows are
+    saved; what a lost run left behind is judged again and replaced.
     """
-    if rules.of_kind(REFERENCE) or not rules.day:
+    if not rules.day:
         raise ValueError(f"{rules.source} cannot be judged load by load")
     table = f"{schema}.{rules.source}_verdicts"
     with _recorded(spark, rules, landing, schema, audit_schema, run) as record:
         raw = read_table(spark, record["source_table"])
-        record["bronze_records"] = raw.count()
         log = f"{table}_files"
         create_table(spark, log, JUDGED_FILES)
-        landed = raw.select(F.col("_metadata.file_path").alias("file_path")).distinct()
-        paths = [r[0] for r in landed.join(spark.table(log), "file_path", "left_anti").collect()]
-        positioned = with_position(raw.filter(F.col("_metadata.file_path").isin(paths)))
+        references = {r.reference: read_table(spark, f"{schema}.{r.reference}") for r in rules.of_kind(REFERENCE)}
+        fresh_files = _written(raw.select(F.col("_metadata.file_path").alias("file_path")).distinct().join(
+            spark.table(log), "file_path", "left_anti"
+        ), "new-files")
+        positioned = _rows_of_files(raw, fresh_files)
         if spark.catalog.tableExists(table):
-            _judge_growth(spark, rules, table, positioned, paths, run)
+            _judge_growth(spark, rules, table, positioned, fresh_files, references, run)
         else:
-            flagged = flag_rows(standardise(positioned, rules), rules, run.as_of)
+            flagged = flag_rows(standardise(positioned, rules), rules, run.as_of, references)
             first = _all_verdicts(flagged, rules, run)
             save_table(first.hint("rebalance", rules.day), table, "errorifexists", [rules.day])
-        if paths:
-            rows_frame(spark, [(path, run.run_id) for path in paths], JUDGED_FILES).write.insertInto(log)
+        fresh_files.select("file_path", F.lit(run.run_id).alias("run_id")).write.insertInto(log)
+        for rule in rules.of_kind(REFERENCE):
+            publish(_reference_keys(references, rule), _key_table(table, rule), run.run_id)
         record.update(_show_outcome(spark, rules, schema, table))
+        record["bronze_records"] = spark.table(table).count()
     return record
 
 
+def _written(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written to the shared folder: later steps agree on them."""
+    folder = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def _rows_of_files(raw: DataFrame, files: DataFrame) -> DataFrame:
+    """The rows of some files. Up to ``LISTED_FILES`` names go into the plan, so other files are not opened; more are joined."""
+    names = [row.file_path for row in files.limit(LISTED_FILES + 1).collect()]
+    if len(names) <= LISTED_FILES:
+        return with_position(raw.filter(F.col("_metadata.file_path").isin(names)))
+    wanted = files.select(F.xxhash64("file_path").alias(POSITION[0])).distinct()
+    return with_position(raw).join(wanted, POSITION[0], "left_semi")
+
+
+def _reference_keys(references: Mapping[str, DataFrame], rule: Rule) -> DataFrame:
+    return references[rule.reference].select(rule.column).where(F.col(rule.column).isNotNull()).distinct()
+
+
+def _key_table(table: str, rule: Rule) -> str:
+    return f"{table}_{rule.column}_known"
+
+
+def _changed_keys(spark: SparkSession, table: str, rule: Rule, references: Mapping[str, DataFrame]) -> DataFrame:
+    """The keys that came into a reference table or left it since the last finished run."""
+    now = _reference_keys(references, rule)
+    name = _key_table(table, rule)
+    if not spark.catalog.tableExists(name):
+        return now
+    before = spark.table(name)
+    came, left = now.join(before, rule.column, "left_anti"), before.join(now, rule.column, "left_anti")
+    return _written(came.unionByName(left), "changed-keys")
+
+
 def _all_verdicts(flagged: DataFrame, rules: RuleSet, run: Build) -> DataFrame:
     """Judged rows, also those without a verdict: they may get one later."""
     return flagged.withColumns(
@@ -124,22 +165,31 @@ def _all_verdicts(flagged: DataFrame, rules: RuleSet, run: Build) -> DataFrame:
 
 
 def _judge_growth(
-    spark: SparkSession, rules: RuleSet, table: str, positioned: DataFrame, paths: list[str], run: Build
+    spark: SparkSession,
+    rules: RuleSet,
+    table: str,
+    positioned: DataFrame,
+    fresh_files: DataFrame,
+    references: Mapping[str, DataFrame],
+    run: Build,
 ) -> None:
-    """``positioned`` are the rows of the files ``paths``, of which a lost run may have left some in the table."""
+    """``positioned`` are the rows of ``fresh_files``, of which a lost run may have left some in the table."""
     day, file = rules.day, POSITION[0]
     fresh = standardise(positioned, rules)
     widen(spark, table, fresh.schema)
-    hashes = rows_frame(spark, [(path,) for path in paths], "path string")
-    left = [r[0] for r in hashes.select(F.xxhash64("path")).collect()]
     saved = spark.table(table)
-    known, lost = saved.filter(~F.col(file).isin(left)), saved.filter(F.col(file).isin(left))
+    again = fresh_files.select(F.xxhash64("file_path").alias(file)).distinct()
+    known, lost = saved.join(again, file, "left_anti"), saved.join(again, file, "left_semi")
 
     renewed = fresh.select(rules.key).filter(F.col(rules.key).isNotNull()).distinct()
     marked = lookup_join(known, renewed.withColumn("_renewed", F.lit(True)), rules.key)
     due = F.lit(False)
     for flag in rules.clock_flags:
         due = due | F.coalesce(F.col(flag), F.lit(False))
+    for rule in rules.of_kind(REFERENCE):
+        moved = _changed_keys(spark, table, rule, references).withColumn(f"_{rule.column}_moved", F.lit(True))
+        marked = lookup_join(marked, moved, rule.column)
+        due = due | F.col(f"_{rule.column}_moved").isNotNull()
     marked = marked.withColumns({"_renewed": F.col("_renewed").isNotNull(), "_due": due})
     touched = {
         row[0]
@@ -156,9 +206,10 @@ def _judge_growth(
     copies = near.filter("_renewed").select(*fresh.columns).unionByName(fresh)
     ranked = flag_copies(copies, rules)
     waiting = near.filter("_due and not _renewed").select(*ranked.columns)
-    again = _all_verdicts(flag_values(ranked.unionByName(waiting), rules, run.as_of), rules, run)
-    kept = near.filter("not _renewed and not _due").select(*known.columns)
-    overwrite_partitions(spark, table, kept.unionByName(again.select(*known.columns)), day, touched)
+    judged = flag_references(ranked.unionByName(waiting), rules, references)
+    again = _all_verdicts(flag_values(judged, rules, run.as_of), rules, run)
+    kept = near.filter("not _renewed and not _due").select(*saved.columns)
+    overwrite_partitions(spark, table, kept.unionByName(again.select(*saved.columns)), day, touched)
 
 
 def _show_outcome(spark: SparkSession, rules: RuleSet, schema: str, judged_table: str) -> dict:

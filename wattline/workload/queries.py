@@ -54,7 +54,7 @@ from wattline.plans.build import Build
 from wattline.plans.billing import billable, billing_charges
 from wattline.plans.landing import lineage_columns
 from wattline.plans.staging import stage
-from wattline.plans.validation import validate_source
+from wattline.plans.validation import validate_new_rows, validate_source
 from wattline.session import prepare, shared_folder
 from wattline.sources.csv import file_manifest, list_files, union_by_name, unseen_files
 from wattline.sources.registry import Source
@@ -1509,13 +1509,46 @@ def stream_rows_behind(spark, sf):
     )
 
 
-_UNSTAMPED = "select * exclude (dbt_loaded_at, dbt_invocation_id) from ({}) f"
-
 
 def _portion(column: str, n: int) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(n))
 
 
+@register(
+    "growth_equals_full",
+    sql(f"select row_number, billing_event_id, {oracle.reason('billing')} as quarantine_reason, {oracle.faulty('billing', True)} as quarantined from judged_billing", "judged_billing"),
+)
+def growth_equals_full(spark, sf):
+    """Bills judged in three loads while customers and tariffs come and go: the verdicts are those of one full run at the end."""
+    schema = scratch_schema(spark)
+    create_audit_tables(spark, schema)
+    # Bills spread thinly over years are kept by month.
+    rules = replace(rulesets.BILLING, day="billing_month", casts={**rulesets.BILLING.casts, "billing_month": "date"})
+    bills = roles.raw_billing(spark, sf).withColumn("billing_month", F.concat(F.substring("billing_date", 1, 7), F.lit("-01")))
+    bills = bills.withColumn("row_number", F.col("row_number").cast("string"))
+    customers = roles.customers(spark, sf).select("customer_id")
+    tariffs = roles.tariffs(spark, sf).select("tariff_id")
+    gone = customers.select(F.concat(F.lit("X"), F.expr("cast(monotonically_increasing_id() * 13 as string)")).alias("customer_id"))
+    loads = (
+        (customers.filter(_portion("customer_id", 3) != 0), tariffs.limit(0)),
+        (customers.filter(_portion("customer_id", 3) != 1).unionByName(gone), tariffs),
+        (customers, tariffs),
+    )
+    for number, (owners, rates) in enumerate(loads):
+        run = Build(f"run-{number}", AS_OF, "test")
+        publish(owners, f"{schema}.customers_clean", run.run_id)
+        publish(rates, f"{schema}.tariffs_clean", run.run_id)
+        land_table(bills.filter(_portion("row_number", 3) == number), f"{schema}.billing_events_raw", INCREMENTAL)
+        validate_new_rows(spark, rules, schema, schema, schema, run)
+    judged = spark.table(f"{schema}.billing_events_verdicts")
+    return judged.select(
+        F.col("row_number").cast("long"), "billing_event_id", "quarantine_reason", (F.col("verdict") == "quarantine").alias("quarantined")
+    )
+
+
+_UNSTAMPED = "select * exclude (dbt_loaded_at, dbt_invocation_id) from ({}) f"
+
+
 def _unstamped(df: DataFrame) -> DataFrame:
     return df.drop(*LOAD_AUDIT)
 
