@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from wattline.llm import jaccard_join
 from wattline.llm.components import components
 from wattline.llm.exact_dedup import exact_groups, without_copies
-from wattline.llm.jaccard_join import similar_groups, without_similar
+from wattline.llm.jaccard_join import SignatureTree, similar_groups, without_similar
 from wattline.llm.substring_dedup import repeated_words
 
 
@@ -137,6 +139,46 @@ def test_near_copies_with_small_nodes_and_crowded_bitmaps(documents, monkeypatch
     assert collected(found, "doc_id", "n_shingles", "component_id") == groups_by_hand(pairs(documents), 5, 75)
 
 
+def test_candidates_grow_with_a_group_not_with_its_pairs(spark, monkeypatch):
+    """One-word edits of a text of 40 words: most copies are similar to few others and to no central one."""
+    counted, real = [], jaccard_join._verified
+    monkeypatch.setattr(jaccard_join, "_verified", lambda pairs, *rest: counted.append(pairs.count()) or real(pairs, *rest))
+    totals = []
+    for copies in (150, 300):
+        counted.clear()
+        rng = random.Random(4)
+        rows = []
+        for i in range(copies):
+            words = [f"b{j}" for j in range(40)]
+            words[rng.randrange(40)] = f"y{i}"
+            rows.append((i, " ".join(words)))
+        found = similar_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert collected(found, "doc_id", "n_shingles", "component_id") == groups_by_hand(rows, 5, 75)
+        totals.append(sum(counted))
+    assert totals[1] <= 2.2 * totals[0] + 20
+
+
+def test_a_signature_tree_loses_no_similar_pair():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 400, rng.integers(1, 40))) for _ in range(300)]
+    sets += [np.unique(np.append(s[: rng.integers(1, len(s) + 1)], rng.integers(0, 400, 2))) for s in sets[:200]]
+    sets.sort(key=len)
+    bits = np.zeros((len(sets), 128), np.uint8)
+    for row, s in zip(bits, sets, strict=True):
+        row[s % 128] = 1
+    sizes = np.array([len(s) for s in sets])
+    excess = sizes - bits.sum(axis=1)
+    packed = np.packbits(bits, axis=1).view(np.uint64)
+    roots = np.arange(len(sets)) // 3
+    found = list(SignatureTree(roots, sizes, excess, packed, 60).pairs())
+    assert len(found) == len(set(found)) < len(sets) ** 2 / 20
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(np.intersect1d(a, sets[j]))
+            if roots[i] != roots[j] and 100 * both >= 60 * (len(a) + len(sets[j]) - both):
+                assert (j, i) in found or (i, j) in found
+
+
 def test_one_row_of_each_component_stays(documents, empty):
     kept = without_similar(documents)
     assert kept.columns == documents.columns

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from wattline.llm.common import map_rows, map_tables, staged
 from wattline.llm.components import components
+from wattline.llm.linking import Classes, Links
 from wattline.llm.exact_dedup import SLOTS, split_copies
 from wattline.llm.runs import WordHashes, mixed, passes, repeated, rolling
 
@@ -33,6 +34,11 @@ COMMON = 64
 #: Bits of a document's bitmap, and documents of a node.
 BITS, NODE = 8192, 256
 
+#: Homes of at least so many documents are settled before nodes are paired.
+LARGE_HOME = 32
+#: Children of an inner node of the tree over a part, and pairs of nodes compared at once.
+CHILDREN, AT_ONCE = 8, 4096
+
 #: A list of dropped rows up to this long is broadcast (16 bytes each), a longer one is joined by a shuffle.
 BROADCAST_ROWS = 2_000_000
 
@@ -151,14 +157,117 @@ def _roots(judged: DataFrame, met: DataFrame, size: int, similarity: int) -> Dat
     return _verified(staged(pairs.select("a", "b"), "join-pairs"), judged, size, similarity)
 
 
+class SignatureTree:
+    """Documents by size, nodes over them and nodes over nodes: OR-combined bitmaps, ranges of sizes and of classes.
+
+    ``levels[0]`` holds the documents, the last one few nodes. Pairs descend level by level; a pair of nodes goes
+    no further if all of it is of one class, or if sizes or the largest possible overlap rule out every pair below it.
+    """
+
+    def __init__(self, roots: np.ndarray, sizes: np.ndarray, excess: np.ndarray, bits: np.ndarray, similarity: int) -> None:
+        self.similarity = similarity
+        self.levels = [(roots, roots, sizes, sizes, excess, bits)]
+        while len(self.levels[-1][0]) > CHILDREN:
+            low, high, least, most, spare, word = self.levels[-1]
+            at = np.arange(0, len(low), CHILDREN)
+            reduced = [np.minimum.reduceat(low, at), np.maximum.reduceat(high, at), np.minimum.reduceat(least, at)]
+            reduced += [np.maximum.reduceat(most, at), np.maximum.reduceat(spare, at), np.bitwise_or.reduceat(word, at, axis=0)]
+            self.levels.append(tuple(reduced))
+
+    def _possible(self, level: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        low, high, least, most, spare, word = self.levels[level]
+        fits = (np.minimum(low[a], low[b]) != np.maximum(high[a], high[b])) & (
+            most[a] * 100 >= least[b] * self.similarity
+        ) & (most[b] * 100 >= least[a] * self.similarity)
+        a, b = a[fits], b[fits]
+        needed = -(-self.similarity * (least[a] + least[b]) // (100 + self.similarity))
+        kept = np.zeros(len(a), bool)
+        for i in range(0, len(a), AT_ONCE):
+            x, y = a[i : i + AT_ONCE], b[i : i + AT_ONCE]
+            shared = np.bitwise_count(word[x] & word[y]).sum(axis=1, dtype=np.int64)
+            kept[i : i + AT_ONCE] = shared + np.minimum(spare[x], spare[y]) >= needed[i : i + AT_ONCE]
+        return np.stack([a[kept], b[kept]])
+
+    def pairs(self) -> Iterator[tuple[int, int]]:
+        """Pairs of documents of different classes that the bounds cannot rule out, a bounded number at a time."""
+        top = len(self.levels) - 1
+        n = len(self.levels[top][0])
+        waiting = [(top, np.stack(np.triu_indices(n)))]
+        while waiting:
+            level, pairs = waiting.pop()
+            if pairs.shape[1] > AT_ONCE:
+                waiting += [(level, pairs[:, i : i + AT_ONCE]) for i in range(0, pairs.shape[1], AT_ONCE)]
+                continue
+            found = self._possible(level, *pairs)
+            if level == 0:
+                yield from zip(*found.tolist(), strict=True)
+                continue
+            below = len(self.levels[level - 1][0])
+            child = np.arange(CHILDREN)
+            a = (found[0][:, None, None] * CHILDREN + child[:, None]) + 0 * child
+            b = (found[1][:, None, None] * CHILDREN + child) + 0 * child[:, None]
+            a, b = a.ravel(), b.ravel()
+            inside = (a < below) & (b < below) & ((a < b) | ((a == b) & (level > 1)))
+            waiting.append((level - 1, np.stack([a[inside], b[inside]])))
+
+
+def _tree_links(size: int, similarity: int):
+    """Compare the members ``(root, row, n, excess, bits, text)`` of a part over a signature tree, exactly in the end."""
+
+    def each():
+        shingles = Shingles(size)
+
+        def links(members: list[tuple]) -> Iterator[tuple[int, int]]:
+            members = sorted(members, key=lambda m: (m[2], m[0]))
+            roots, sizes, excess = (np.array([m[i] for m in members], np.int64) for i in (0, 2, 3))
+            bits = np.frombuffer(b"".join(m[4] for m in members), np.uint64).reshape(len(members), -1)
+            sets: dict[int, np.ndarray] = {}
+            classes = Classes()
+            for i, j in SignatureTree(roots, sizes, excess, bits, similarity).pairs():
+                a, b = classes.of(members[i][0]), classes.of(members[j][0])
+                if a == b:
+                    continue
+                x, y = (sets[k] if k in sets else sets.setdefault(k, shingles.of(members[k][5])) for k in (i, j))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * both >= similarity * (len(x) + len(y) - both):
+                    classes.join(a, b)
+                    yield members[i][1], members[j][1]
+
+        return links
+
+    return each
+
+
+def _settled(linked: DataFrame, met: DataFrame, links: DataFrame, classes: DataFrame, size: int, similarity: int) -> tuple[DataFrame, DataFrame]:
+    """Links and classes after the members of large homes are compared with each other, in parts over signature trees.
+
+    Copies whose central document is not similar to them are connected here, by links that each join two classes; the
+    traversal then finds their nodes to be of one class.
+    """
+    homes = _homes(met)
+    large = homes.groupBy("home").agg(F.count(F.lit(1)).alias("many")).where(f"many >= {LARGE_HOME}").select("home")
+    rows = homes.join(large, "home").join(linked.select("row", "n"), "row").join(classes, "row", "left")
+    rows = staged(rows.select("row", "home", "n", F.coalesce("root", "row").alias("root")), "join-large-homes")
+    if rows.isEmpty():
+        return links, classes
+    sets = linked.select("row", "n", "excess", "bits", "text")
+    found = Links(sets, _tree_links(size, similarity), links, classes)
+    found.settle(rows, exhaustive=False)
+    return found.links, found.classes
+
+
+def _homes(met: DataFrame) -> DataFrame:
+    home = met.groupBy("a").agg(F.max(F.struct("shared", -F.col("b"))).alias("best"))
+    return home.select(F.col("a").alias("row"), (-F.col("best.col2")).alias("home"))
+
+
 def _nodes(judged: DataFrame, met: DataFrame, classes: DataFrame) -> DataFrame:
     """Documents with class and node.
 
     A document goes to the central one with which it shares most first tokens; a node has about
     ``NODE`` documents of one home and of similar size, either all of the home's class or all of others.
     """
-    home = met.groupBy("a").agg(F.max(F.struct("shared", -F.col("b"))).alias("best"))
-    home = home.select(F.col("a").alias("row"), (-F.col("best.col2")).alias("home"))
+    home = _homes(met)
     home = staged(home.join(classes, "row", "left").withColumn("root", F.coalesce("root", "row")), "join-homes")
     home = home.join(classes.toDF("home", "home_root"), "home", "left")
     home = home.withColumn("core", F.col("root") == F.coalesce("home_root", "home")).drop("home_root")
@@ -275,6 +384,7 @@ def similar_groups(
     met = _central(blocks)
     links = staged(_roots(linked, met, shingle, similarity), "join-links")
     classes = components(links).toDF("row", "root")
+    links, classes = _settled(linked, met, links, classes, shingle, similarity)
     pairs = staged(_traversed(_nodes(linked, met, classes), blocks, similarity), "join-candidates")
     across = _verified(pairs, linked, shingle, similarity)
     classes = components(links.unionAll(across)).toDF("row", "root")

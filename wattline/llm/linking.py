@@ -58,7 +58,7 @@ def linked_classes(sets: DataFrame, keys: DataFrame, compare: Callable[[], Calla
     met = keys.join(leaders.select("key", "home"), "key").groupBy("row", "home").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n"))
     best = F.max(F.struct("shared", -F.col("home"), "n")).alias("best")
     main = met.groupBy("row").agg(best).select("row", (-F.col("best.col2")).alias("home"), F.col("best.n").alias("n"), F.col("row").alias("root"))
-    found = _Links(sets, compare)
+    found = Links(sets, compare)
     rest = found.settle(staged(main, "linking-main"), exhaustive=False)
     discard(rest)
     rooted = staged(_rooted(keys, found.classes), "linking-rooted")
@@ -69,13 +69,13 @@ def linked_classes(sets: DataFrame, keys: DataFrame, compare: Callable[[], Calla
     return found.classes
 
 
-class _Links:
+class Links:
     """The links found so far and the classes that they make."""
 
-    def __init__(self, sets: DataFrame, compare: Callable) -> None:
-        self.sets, self.compare = sets, compare
-        self.links: DataFrame | None = None
-        self.classes: DataFrame | None = None
+    def __init__(
+        self, sets: DataFrame, compare: Callable, links: DataFrame | None = None, classes: DataFrame | None = None
+    ) -> None:
+        self.sets, self.compare, self.links, self.classes = sets, compare, links, classes
 
     def add(self, parts: DataFrame) -> bool:
         """Compare all parts; false if that found no link."""
