@@ -36,6 +36,11 @@ def test_awkward_texts_give_the_ids_of_the_text(text):
     assert fast(text) == plain(text)
 
 
+@pytest.mark.parametrize("text", [" " * 10**6, "\n" * 10**6, "a" + " \t" * 10**5 + "b c", "x" * 300_000])
+def test_very_long_stretches_give_the_ids_of_the_text(text):
+    assert fast(text) == plain(text)
+
+
 @pytest.mark.parametrize("length", [16, 1024])
 def test_pieces_and_sequences_hold_every_id_once(documents, length):
     pieces = pack(documents, length=length)

@@ -10,6 +10,8 @@ from boundary records.
 from __future__ import annotations
 
 import base64
+import sys
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -29,22 +31,29 @@ END = 0
 VOCABULARY = "byte_bpe_50k"
 #: Longer runs without a space are not remembered.
 LONGEST_WORD = 40
-#: A text with white space next to white space is not split at its single spaces.
-DOUBLE_SPACE = regex.compile(r"\s\s")
+#: The fast encoder ends a task on longer runs of white space.
+LONG_WHITE = regex.compile(r"\s{50000}")
+
+
+class Inseparable(Exception):
+    """White space next to a space: the text cannot be read word by word."""
 
 
 class Pieces(dict):
     """The ids of a word with the space before it, as 16-bit numbers; remembers a bounded number of words.
 
     The vocabulary's pattern starts a new piece at every single space, so the ids of a text are
-    those of its words in order.
+    those of its words in order. What is remembered has been found to be a word, so texts are not searched for
+    double spaces.
     """
 
     def __init__(self, encode) -> None:
         self.encode = encode
 
     def __missing__(self, word: str) -> bytes:
-        value = np.array(self.encode(word), "<u2").tobytes()
+        if word[-1:].isspace() or word[1:2].isspace() or not word:
+            raise Inseparable
+        value = packed(self.encode(word))
         if len(word) <= LONGEST_WORD:
             if len(self) >= REMEMBERED:
                 self.clear()
@@ -52,11 +61,19 @@ class Pieces(dict):
         return value
 
 
+def packed(ids: list[int]) -> bytes:
+    """Little-endian 16-bit numbers."""
+    numbers = array("H", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
+
+
 class Encoder:
     """Token ids of whole texts, as the JSON vocabulary gives them without added special tokens.
 
-    The rank file holds the same vocabulary and is faster. Texts that spell a special token out go
-    through the JSON vocabulary itself.
+    The rank file holds the same vocabulary and is faster. Texts that spell a special token out and texts with very long
+    runs of white space go through the JSON vocabulary itself.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -72,11 +89,15 @@ class Encoder:
     def ids(self, text: str) -> bytes:
         """The ids as little-endian 16-bit numbers."""
         if any(token in text for token in self.special):
-            return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
-        if DOUBLE_SPACE.search(text) or not text.strip(" ") or text[0] == " " or text[-1] == " ":
-            return np.array(self.encode(text), "<u2").tobytes()
+            return self._full(text)
         first, *rest = text.split(" ")
-        return self.pieces[first] + b"".join(map(self.pieces.__getitem__, [" " + word for word in rest]))
+        try:
+            return self.pieces[first] + b"".join(map(self.pieces.__getitem__, [" " + word for word in rest]))
+        except Inseparable:
+            return self._full(text) if LONG_WHITE.search(text) else packed(self.encode(text))
+
+    def _full(self, text: str) -> bytes:
+        return packed(self.full.encode(text, add_special_tokens=False).ids)
 
 
 @cache
