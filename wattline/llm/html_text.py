@@ -2,7 +2,7 @@
 
 Text nodes are grouped by their path of tags from the root. For every path the length of its text and
 its punctuation are added up and set against its number of nodes and links; the ratios are
-smoothed over the path's ancestors, fused, and compared with a threshold; an article or main element
+smoothed over the path's siblings, fused, and compared with a threshold; an article or main element
 raises the ratio of its paths and the weight of its text. The sibling containers that hold most of the chosen text
 are the content; all their blocks are kept, but for boilerplate inside.
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -35,8 +36,9 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr img".split()
 )
-#: Elements that are never main text, and the parts of class, id and role names that say so.
-BOILERPLATE = frozenset("nav footer aside form button select option menu dialog head script style title template noscript textarea iframe svg object".split())
+#: Elements that are never main text; others that are not, and parts of class, id and role names that say so, unless they hold the article.
+BOILERPLATE = frozenset("nav footer aside button select option menu dialog head script style title template noscript textarea iframe svg object".split())
+SOFT_BOILERPLATE = frozenset(("form",))
 NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|sponsor(?:ed)?|promo|banner|nav|navbar|navigation|menu|breadcrumbs?|"
     r"header|masthead|footer|sidebar|aside|widget|related|share|social|cookies?|consent|notice|popup|modal|subscribe|"
@@ -55,15 +57,34 @@ NAMED, NAMED_FACTOR = frozenset(("article", "main")), 2.0
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？]")
 
 
-@dataclass
+@dataclass(eq=False)
 class Node:
+    """An element. ``path`` numbers its tag path; ``soft`` marks one that only its name or kind speaks against."""
+
     tag: str
-    path: str
+    path: int
     parent: Node | None
     number: int
     boilerplate: bool
     link: bool
+    soft: bool = False
     container: Node | None = None
+    length: int = 0
+
+
+class Paths:
+    """Tag paths as numbers, so that a deep page does not spell each of them out; ``named`` are those below an article or main."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[tuple[int, str], int] = {}
+        self.parents, self.named = [-1], [False]
+
+    def below(self, parent: int, label: str, tag: str) -> int:
+        found = self.numbers.setdefault((parent, label), len(self.parents))
+        if found == len(self.parents):
+            self.parents.append(parent)
+            self.named.append(self.named[parent] or tag in NAMED)
+        return found
 
 
 @dataclass
@@ -90,21 +111,44 @@ def _attributes(rest: str) -> tuple[str, bool]:
     return " ".join(names), hidden
 
 
-def _is_boilerplate(tag: str, names: str, inside: bool) -> bool:
-    if tag in BOILERPLATE:
+def _is_soft(tag: str, names: str) -> bool:
+    if tag in SOFT_BOILERPLATE:
         return True
     if tag == "header":
-        return not inside
+        return False
     return bool(names and NAMES.search(names) and tag not in ("html", "body", "article", "main") and not CONTENT_NAMES.search(names))
 
 
-def blocks_of(page: str) -> list[Block]:
-    """All blocks in page order, each with the element that holds it."""
-    root = Node("", "", None, 0, False, False)
+def _last(stack: list[Node], wanted: frozenset[str] | set[str], through: frozenset[str] | None, stop: frozenset[str]) -> int | None:
+    """The highest place in the stack of a wanted tag, if only tags of ``through`` (and none of ``stop``) lie above it."""
+    for index in range(len(stack) - 1, 0, -1):
+        tag = stack[index].tag
+        if tag in wanted:
+            return index
+        if tag in stop or (through is not None and tag not in through):
+            return None
+    return None
+
+
+#: Elements that end the search for an open element of the same group.
+GROUPS = frozenset("ul ol dl table select".split())
+
+
+def blocks_of(page: str) -> tuple[list[Block], list[Node], Paths]:
+    """All blocks in page order, each with the element that holds it; all elements, parents first; their paths."""
+    paths = Paths()
+    root = Node("", 0, None, 0, False, False)
     root.container = root
-    stack, count, blocks = [root], 0, []
+    stack, nodes, blocks = [root], [root], []
+    opened: Counter[str] = Counter()
     block: Block | None = None
     at, end, token = 0, len(page), TOKEN.match
+
+    def cut(index: int) -> None:
+        for node in stack[index:]:
+            opened[node.tag] -= 1
+        del stack[index:]
+
     while at < end:
         begin = at
         at = page.find("<", begin)
@@ -135,34 +179,33 @@ def blocks_of(page: str) -> list[Block]:
         if tag not in INLINE:
             block = None
         if match["close"]:
-            if any(node.tag == tag for node in stack[1:]):
-                while stack[-1].tag != tag:
-                    stack.pop()
-                stack.pop()
+            if opened[tag]:
+                index = len(stack) - 1
+                while stack[index].tag != tag:
+                    index -= 1
+                cut(index)
             continue
         if tag in VOID:
             continue
-        if tag in BLOCKS_CLOSE_P and any(n.tag == "p" for n in stack):
-            index = max(i for i, n in enumerate(stack) if n.tag == "p")
-            if all(n.tag in INLINE or n.tag == "p" for n in stack[index:]):
-                del stack[index:]
-        elif tag in CLOSES and any(n.tag in CLOSES[tag] for n in stack):
-            index = max(i for i, n in enumerate(stack) if n.tag in CLOSES[tag])
-            if not any(n.tag in ("ul", "ol", "dl", "table", "select") for n in stack[index:]):
-                del stack[index:]
+        if tag in BLOCKS_CLOSE_P:
+            if opened["p"] and (index := _last(stack, {"p"}, INLINE, frozenset())) is not None:
+                cut(index)
+        elif tag in CLOSES and any(opened[t] for t in CLOSES[tag]) and (index := _last(stack, CLOSES[tag], None, GROUPS)) is not None:
+            cut(index)
         parent = stack[-1]
         names, hidden = _attributes(match["rest"])
-        inside = any(n.tag in ("article", "main") for n in stack)
-        count += 1
         first = names.split(" ", 1)[0].lower()
+        outer = tag == "header" and not opened["article"] and not opened["main"]
         node = Node(
             tag,
-            f"{parent.path}/{tag}" + (f".{first}" if first else ""),
+            paths.below(parent.path, f"{tag}.{first}" if first else tag, tag),
             parent,
-            count,
-            parent.boilerplate or hidden or _is_boilerplate(tag, names, inside),
+            len(nodes),
+            parent.boilerplate or hidden or tag in BOILERPLATE or outer,
             parent.link or tag == "a",
+            _is_soft(tag, names),
         )
+        nodes.append(node)
         node.container = node if tag in CONTAINERS else parent.container
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\s*[>/\s]|</{re.escape(tag)}\Z", re.I).search(page, at)
@@ -172,38 +215,65 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if not match["rest"].endswith("/"):
             stack.append(node)
-    return blocks
+            opened[tag] += 1
+    _judge_names(blocks, nodes)
+    return blocks, nodes, paths
+
+
+def _judge_names(blocks: list[Block], nodes: list[Node]) -> None:
+    """Carry out what names speak for: their elements are no main text, unless they hold the principal element.
+
+    That is the article or main element with most text; without any, an element that holds a first heading
+    and half of the text of the page. Names inside the principal element count as ever.
+    """
+    for block in blocks:
+        if not block.node.boilerplate:
+            block.node.length += len(block.text)
+    for node in reversed(nodes[1:]):
+        node.parent.length += node.length
+    articles = [n for n in nodes if n.tag in NAMED and not n.boilerplate]
+    principal = max(articles, key=lambda n: (n.length, -n.number), default=None)
+    holds: set[int] = set()
+    chosen = principal or next((n for n in nodes if n.tag == "h1"), None)
+    above = chosen.parent if chosen else None
+    while above is not None:
+        if principal or 2 * above.length >= nodes[0].length:
+            holds.add(above.number)
+        above = above.parent
+    for node in nodes[1:]:
+        node.boilerplate = node.boilerplate or node.parent.boilerplate or (node.soft and node.number not in holds)
 
 
-def path_ratios(blocks: list[Block]) -> dict[str, float]:
-    """The fused ratio of every path: text length and punctuation per node, less links, smoothed over ancestors."""
-    length: dict[str, float] = {}
-    signs: dict[str, float] = {}
-    nodes: dict[str, set[int]] = {}
-    named: set[str] = set()
+def path_ratios(blocks: list[Block], paths: Paths) -> dict[int, float]:
+    """The fused ratio of every path: text length and punctuation per node, less links, smoothed over siblings."""
+    length: dict[int, float] = {}
+    signs: dict[int, float] = {}
+    nodes: dict[int, set[int]] = {}
     for block in blocks:
         if block.node.boilerplate or not (text := block.text):
             continue
         path = block.node.path
         length[path] = length.get(path, 0.0) + max(0, len(text) - 2 * block.linked)
         signs[path] = signs.get(path, 0.0) + len(PUNCTUATION.findall(text))
-        if path not in nodes and NAMED.intersection(part.split(".", 1)[0] for part in path.split("/")):
-            named.add(path)
         nodes.setdefault(path, set()).add(block.node.number)
     raw = {p: (math.log1p(length[p]) * (1 + length[p] / len(nodes[p]) / 80)) * (1 + math.log1p(signs[p])) for p in length}
-    raw = {p: v * NAMED_FACTOR if p in named else v for p, v in raw.items()}
-    smoothed = {}
+    raw = {p: v * NAMED_FACTOR if paths.named[p] else v for p, v in raw.items()}
+    families: dict[int, list[float]] = {}
     for path, value in raw.items():
-        parent = path.rsplit("/", 1)[0]
-        family = [v for p, v in raw.items() if p.rsplit("/", 1)[0] == parent]
-        smoothed[path] = 0.75 * value + 0.25 * sum(family) / len(family)
-    return smoothed
+        family = families.setdefault(paths.parents[path], [0.0, 0.0])
+        family[0] += value
+        family[1] += 1
+    return {p: 0.75 * v + 0.25 * families[paths.parents[p]][0] / families[paths.parents[p]][1] for p, v in raw.items()}
+
+
+#: Containers further out than this get no weight from a text: their share is below 1e-9.
+FARTHEST = 197
 
 
 def main_text(page: str) -> str:
     """The blocks of the content containers joined by line ends; empty if there are none."""
-    blocks = blocks_of(page)
-    ratios = path_ratios(blocks)
+    blocks, nodes, paths = blocks_of(page)
+    ratios = path_ratios(blocks, paths)
     if not ratios:
         return ""
     values = list(ratios.values())
@@ -217,24 +287,20 @@ def main_text(page: str) -> str:
         if block.node.boilerplate or ratios.get(block.node.path, -1.0) < threshold or not (text := block.text):
             continue
         node, share = block.node.container, 1.0
-        while node is not None:
+        for _ in range(FARTHEST):
+            if node is None:
+                break
             around = node.parent.container if node.parent else None
             group = around.number if around else -1
             factor = NAMED_FACTOR if node.tag in NAMED else 1.0
             weight[group] = weight.get(group, 0.0) + share * factor * len(text)
             members.setdefault(group, set()).add(node.number)
             node, share = around, share * 0.9
-    inside = members[max(weight, key=lambda n: (weight[n], n))] if weight else set()
-    kept = [b for b in blocks if not b.node.boilerplate and (not inside or _within(b.node, inside))]
-    return "\n".join(text for b in kept if (text := b.text))
-
-
-def _within(node: Node | None, numbers: set[int]) -> bool:
-    while node is not None:
-        if node.number in numbers:
-            return True
-        node = node.parent
-    return False
+    inside = members[max(weight, key=lambda n: (weight[n], n))] if weight else {0}
+    kept = [False] * len(nodes)
+    for node in nodes:
+        kept[node.number] = node.number in inside or (node.parent is not None and kept[node.parent.number])
+    return "\n".join(text for b in blocks if not b.node.boilerplate and kept[b.node.number] and (text := b.text))
 
 
 def extract(df: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
