@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -301,3 +302,59 @@ def test_long_benchmarks_go_in_blocks(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"before {t} after") for i, t in items], "doc_id long, text string")
     found = contaminated(docs, spark.createDataFrame(items, "item_id long, text string"))
     assert {(r.doc_id, r.item_id) for r in found.collect()} == {(i, i) for i in range(8)}
+
+
+ARTICLE = "<article><h1>A heading</h1><p>" + "A long paragraph of plain prose, with commas, and a full stop. " * 6 + "</p></article>"
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        'div class="layout has-sidebar"', 'div class="page no-sidebar"', 'div class="with-header"', 'div class="col ad-free"',
+        'section class="legal"', 'form action="/"', 'div class="search"',
+    ],
+)
+def test_a_wrapper_with_a_telling_name_keeps_its_article(wrapper):
+    tag = wrapper.split()[0]
+    page = f"<body><div class='menu'><a href='/'>Home</a> Menu words</div><{wrapper}>{ARTICLE}<div class='comments'>Nice, very nice.</div></{tag}><div class='sidebar'>Other things, here.</div></body>"
+    found = main_text(page)
+    assert found.startswith("A heading\nA long paragraph") and not re.search("Menu|Nice|Other", found)
+
+
+def test_comments_longer_than_the_article_are_left_out():
+    comments = "".join(f"<article class='comment'><p>Comment number {i}, it says a lot, and goes on.</p></article>" for i in range(3))
+    page = f"<body><main>{ARTICLE}</main><section class='comments'>{comments}<p>{'More words, and more. ' * 80}</p></section></body>"
+    assert "Comment" not in main_text(page) and "More" not in main_text(page)
+
+
+def test_a_page_without_an_article_keeps_the_wrapper_of_its_heading():
+    page = f"<body><div class='header'>Top, of the page.</div><div class='ad-free'>{ARTICLE.replace('article', 'div')}</div></body>"
+    assert main_text(page).startswith("A heading\nA long")
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<div>" * 100_000 + "deep text, here." + "</div>" * 100_000, "".join(f"<p class='c{i}'>text, {i}</p>" for i in range(100_000)), "<p><b>" * 50_000 + "x"],
+)
+def test_deep_and_varied_pages_take_time_in_proportion(page):
+    begin = time.process_time()
+    assert main_text(page)
+    assert time.process_time() - begin < 30
+
+
+def plain_model():
+    costs = np.full((28, 28, 28), 3.0)
+    return toxicity.Model(costs, {b"idiot": 0.99}, 0.01)
+
+
+@pytest.mark.parametrize("words", ["idio7", "well,and,then,some,more,of,this,and,that,and,all,the,rest,you,idio7,again", "x1" * 40 + ",idio7"])
+def test_hidden_words_in_long_tokens(words):
+    assert plain_model().scorer()(words.encode()) > 0.9
+
+
+def test_long_tokens_without_hidden_words_stay_clean():
+    score = plain_model().scorer()
+    begin = time.process_time()
+    assert score(b"aGVsbG8xMjM0" * 20_000) < 0.1
+    assert score(b"1" * 200_000 + b"a") < 0.1
+    assert time.process_time() - begin < 60

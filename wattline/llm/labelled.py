@@ -23,12 +23,13 @@ def training_rows(
 
     Only numbers for which ``usable`` (a condition on ``doc_id``) holds. A number with several
     labels takes the largest; missing labels and numbers are left out. The chosen numbers are
-    bounded, so they are broadcast and the texts are not shuffled.
+    bounded, so they are broadcast and only their texts are shuffled. Of several rows with one number the smallest text counts.
     """
     known = labels.select(F.col(id_column).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     known = known.where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & usable)
     chosen = known.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return texts(docs, id_column, text_column).join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
+    found = texts(docs, id_column, text_column).join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id").agg(F.max("label").alias("label"), F.min("text").alias("text"))
 
 
 def rows_where(df: DataFrame, text_column: str, each: Callable[[], Callable[[bytes], bool]]) -> DataFrame:

@@ -53,6 +53,7 @@ LETTER = re.compile(r"[^\W\d_]")
 ALIKE = {ord(sign): {"1": "i", "|": "i", "6": "g", "8": "g"}.get(sign, letters) for sign, letters in LOOKALIKE.items() if sign != "*"}
 ALIKE |= {ord("l"): "i", ord("b"): "g"} | {ord(c): "" for c in " .-_"}
 DOUBLED = re.compile(r"(.)\1+", re.S)
+LONG_REPEAT = re.compile(r"(.)\1{3,}", re.S)
 INVISIBLE = re.compile(rb"\xe2\x80[\x8b-\x8f]|\xe2\x81\xa0|\xef\xbb\xbf|\xc2\xad")
 
 
@@ -100,10 +101,11 @@ def character_model(df: DataFrame, text_column: str = "text") -> np.ndarray:
 
 
 def suspicious(text: bytes) -> list[tuple[int, int]]:
-    """Stretches of lower-cased text that may hide a word, in order and apart from each other.
+    """Stretches of lower-cased text that surely need a reading, in order and apart from each other.
 
     A look-alike before a letter, a letter three times in a row, a separator inside a word, or
-    single characters with separators between them.
+    single characters with separators between them. Tokens with look-alikes in other places or with doubled letters
+    are read by ``Decoder.further``, only where the lexicon knows a reading.
     """
     b = np.frombuffer(text, np.uint8)
     if len(b) < 6:
@@ -207,16 +209,34 @@ class Decoder:
     def further(self, token: bytes) -> list[bytes]:
         """Readings of a token that is not suspicious by itself; of use only where the lexicon knows them.
 
-        The likeliest one of the token, without punctuation around it, and without exclamation marks at its end.
+        The likeliest one of the token, without punctuation around it, and without exclamation marks at its end. A
+        longer token is read part by part.
         """
         text = token.decode("utf-8", "replace")
-        if len(text) > 64 or not BESIDE.search(text) or not LETTER.search(text):
+        if len(text) > UNBROKEN:
+            return list(dict.fromkeys(r for part in APART.split(text) if part for r in self._part(part)))
+        if not BESIDE.search(text) or not LETTER.search(text):
             return []
         if not any(self.possible(text[i:]) for i in range(len(text)) if not i or not text[i - 1].isalpha()):
             return []
         core = text.strip("\"'(),.:;?")
         return [r.encode() for r in dict.fromkeys((self.decode(core), self.decode(text), self.decode(core.rstrip("!"))))]
 
+    def _part(self, text: str) -> list[bytes]:
+        if len(text) <= UNBROKEN:
+            return self.further(text.encode())
+        text = LONG_REPEAT.sub(r"\1\1\1", text)
+        found = []
+        for i in range(len(text)):
+            if (not i or not text[i - 1].isalpha()) and self.possible(window := text[i : i + UNBROKEN]):
+                found.append(self.decode(window).encode())
+        return found
+
+
+#: Tokens up to this length are read whole; longer ones are split at these signs, and what is still longer is read from
+#: every place where a word may begin.
+UNBROKEN = 64
+APART = re.compile(r"[,;:()\[\]{}<>\"/\\?=&]+")
 
 #: Beginnings of words that are features beside the words themselves.
 BEGINNINGS = (4, 5, 6)
@@ -305,7 +325,7 @@ def fit(
 
         return row
 
-    toxic = map_rows(sample.where("label = 1"), "label int, sketch long, found array<binary>", found)
+    toxic = map_rows(sample.where("label > 0"), "label int, sketch long, found array<binary>", found)
     totals = toxic.select("sketch").distinct().count()
     least = max(LEAST, math.ceil(LEAST_SHARE * totals))
     exploded = toxic.select("sketch", F.explode("found").alias("feature")).distinct()
