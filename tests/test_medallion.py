@@ -5,7 +5,7 @@ from comparing import rows
 from raw_area import DRIFTED, drifted, reading, write_daily, write_raw_area
 
 from wattline.operators import checks
-from wattline.operators.audit import audit_of_run
+from wattline.operators.audit import audit_of_run, unfinished_steps
 from wattline.operators.checks import FAIL, ChecksFailed
 from wattline.plans.build import Build
 from wattline.plans.gold import Gold
@@ -155,6 +155,24 @@ def test_second_run_loads_new_files_only_and_keeps_history(spark, built, tmp_pat
     assert rows(judged.filter("source_table = 'b1.meter_readings_raw'"), "bronze_records", "clean_records") == [(11, 6)]
 
 
+def test_a_lost_run_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
+    write_raw_area(tmp_path)
+    layout, run = Layout("b4", "s4", "g4", "a4"), Build("run-1", datetime(2026, 1, 8, 12), "test")
+    with monkeypatch.context() as broken:
+        broken.setattr(Gold, "build_histories", lambda self: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run_all(spark, str(tmp_path), run, layout)
+    assert rows(unfinished_steps(spark.table("a4.run_steps"))) == [("run-1", "histories")]
+    report = run_all(spark, str(tmp_path), run, layout, resume=True)
+    assert [r for r in report.collect() if r.status == FAIL] == []
+    ledger = spark.table("a4.run_steps")
+    assert unfinished_steps(ledger).count() == 0
+    times = {r[0]: r[1] for r in rows(ledger.where("state = 'STARTED'").groupBy("step").count())}
+    assert times.pop("histories") == 2 and set(times.values()) == {1}
+    assert spark.table("a4.bronze_ingestion_audit").count() == 7
+    assert rows(spark.table("g4.fact_meter_readings").groupBy("meter_sk").count()) != []
+
+
 def test_failed_landing_is_recorded_and_raised(spark, tmp_path):
     layout = Layout("b2", "s2", "g2", "a2")
     run = Build("run-x", datetime(2026, 1, 8), "test")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
@@ -67,3 +67,43 @@ def _now() -> datetime:
 
 def audit_of_run(audit: DataFrame, run_id: str) -> DataFrame:
     return audit.filter(F.col("run_id") == run_id).orderBy("started_at_utc")
+
+
+# --- the ledger of a run ---------------------------------------------------------------------
+
+LEDGER = "run_steps"
+LEDGER_COLUMNS = "run_id string, step string, state string, at_utc timestamp"
+STARTED, DONE = "STARTED", "DONE"
+
+
+class RunLedger:
+    """Writes down what a run is about to do and what it has done, so that a lost run can go on.
+
+    With ``resume`` a step that this run has finished is not done again; one that was only started is. Steps must bear being
+    repeated. Without it every step is done and written down anew.
+    """
+
+    def __init__(self, spark: SparkSession, schema: str, run_id: str, resume: bool = False) -> None:
+        self.spark, self.table, self.run_id = spark, f"{schema}.{LEDGER}", run_id
+        create_table(spark, self.table, LEDGER_COLUMNS)
+        finished = spark.table(self.table).where((F.col("run_id") == run_id) & (F.col("state") == DONE))
+        self.finished = {row.step for row in finished.select("step").distinct().collect()} if resume else set()
+
+    def do(self, step: str, job: Callable, *args: object) -> bool:
+        """Run a step unless this run has finished it; true if it ran."""
+        if step in self.finished:
+            return False
+        self._note(step, STARTED)
+        job(*args)
+        self._note(step, DONE)
+        return True
+
+    def _note(self, step: str, state: str) -> None:
+        record = {"run_id": self.run_id, "step": step, "state": state, "at_utc": _now()}
+        append_audit(self.spark, self.table, LEDGER_COLUMNS, record)
+
+
+def unfinished_steps(ledger: DataFrame) -> DataFrame:
+    """``run_id, step`` of what was started and never finished."""
+    ended = F.max((F.col("state") == DONE).cast("int")).alias("done")
+    return ledger.groupBy("run_id", "step").agg(ended).where("done = 0").select("run_id", "step")

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wattline.operators.audit import RunLedger
 from wattline.operators.checks import check_report, freshness, require_passed
 from wattline.operators.incremental import newer_rows
 from wattline.operators.scd import HIDDEN_COLUMNS, HISTORIES, apply_snapshot, versioned_dimension
@@ -135,14 +136,22 @@ def build_gold(
     last: date,
     lookback_days: int = 0,
     stop_on_failure: bool = True,
+    ledger: RunLedger | None = None,
 ) -> DataFrame:
-    """All models in dependency order, then their checks."""
+    """All models in dependency order, then their checks. A ledger keeps steps that this run has finished from being repeated."""
     gold = Gold(spark, silver, schema, run)
     gold.build_staging()
-    gold.build_dimensions(first, last)
-    gold.build_histories()
-    gold.build_facts()
-    gold.build_marts(lookback_days)
+    steps = (
+        ("dimensions", gold.build_dimensions, first, last),
+        ("histories", gold.build_histories),
+        ("facts", gold.build_facts),
+        ("reports", gold.build_marts, lookback_days),
+    )
+    for name, job, *args in steps:
+        if ledger is None:
+            job(*args)
+        else:
+            ledger.do(name, job, *args)
     report = gold.check()
     if stop_on_failure:
         require_passed(report)

@@ -9,6 +9,7 @@ from datetime import date, datetime
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from wattline.functions import (
@@ -21,13 +22,14 @@ from wattline.functions import (
     trim_strings,
 )
 from wattline.operators import checks, incremental, rulesets, scd
-from wattline.operators.audit import VALIDATION_AUDIT, audit_of_run, create_audit_tables
+from wattline.operators.audit import LANDING_AUDIT, VALIDATION_AUDIT, audit_of_run, create_audit_tables
 from wattline.operators.dedup import distinct_rows, flag_duplicates, latest_rows
 from wattline.operators.rules import NULL_DROPS, RuleSet
 from wattline.operators.sinks import (
     FULL,
     INCREMENTAL,
     create_schemas,
+    create_table,
     in_partitions,
     land_table,
     publish,
@@ -52,11 +54,11 @@ from wattline.operators.validate import (
 from wattline.plans import dimensions, facts, growth, marts
 from wattline.plans.build import Build
 from wattline.plans.billing import billable, billing_charges
-from wattline.plans.landing import lineage_columns
+from wattline.plans.landing import FILE_LOG, FILE_LOG_COLUMNS, land_source, lineage_columns
 from wattline.plans.staging import stage
 from wattline.plans.validation import validate_new_rows, validate_source
 from wattline.session import prepare, shared_folder
-from wattline.sources.csv import file_manifest, list_files, union_by_name, unseen_files
+from wattline.sources.csv import NoFilesFound, file_manifest, list_files, read_daily_files, union_by_name, unseen_files
 from wattline.sources.registry import Source
 from wattline.streaming.ingest import ingest_new_files, read_ingested
 from wattline.streaming.usage import rows_behind, run_usage_stream, streamed_daily_usage
@@ -1437,6 +1439,69 @@ def new_files(spark, sf):
     return unseen_files(files, recorded).select(day).distinct()
 
 
+@register(
+    "landing_audit",
+    """select 'run-0' as run_id, 'events' as source_name, 'incremental' as load_type, 'SUCCESS' as status, count(*) as records_loaded from events
+    union all select 'run-1', 'nothing', 'full', 'FAILED', 0
+    union all select 'run-2', 'events', 'incremental', 'SUCCESS', 0
+    union all select 'run-3', 'events', 'incremental', 'SUCCESS', count(*) from events where cast(ts as date) = (select max(cast(ts as date)) from events)""",
+)
+def landing_audit(spark, sf):
+    """Four landing runs: all files, a source without files, nothing new, and a day that is delivered once more."""
+    schema, raw_base = scratch_schema(spark), daily_files(spark, sf)
+    create_audit_tables(spark, schema)
+    create_table(spark, f"{schema}.{FILE_LOG}", FILE_LOG_COLUMNS)
+    missing = Source("nothing", "*.csv", FULL, "event_id")
+    for number, source in enumerate((EVENT_FILES, missing, EVENT_FILES, EVENT_FILES)):
+        if number == 3:
+            events = roles.load(spark, sf, "events")
+            newest = events.agg(F.max(F.col("ts").cast("date"))).first()[0]
+            again = events.where(F.col("ts").cast("date") == F.lit(newest)).select("event_id", F.col("ts").cast("date").alias("reading_date"), "user_id")
+            again = source_metadata(again, "reading_date", "meter_readings", "meters", AS_OF)
+            write_daily_csv(again, f"{raw_base}/{EVENT_FILES.name}/again", "reading_date")
+        try:
+            land_source(spark, source, raw_base, schema, schema, Build(f"run-{number}", AS_OF, "test"))
+        except (NoFilesFound, AnalysisException):
+            if source is not missing:
+                raise
+    return spark.table(f"{schema}.{LANDING_AUDIT}").select("run_id", "source_name", "load_type", "status", "records_loaded")
+
+
+@register(
+    "reingested_rows",
+    sql(
+        """select load, count(*) as row_count, case load when 1 then count(reading_id)
+          else count(reading_id) - count(distinct reading_id) end as duplicates from readings cross join (values (1), (2)) l(load) group by load""",
+        "readings",
+    ),
+)
+def reingested_rows(spark, sf):
+    """Readings that are landed twice: the next judgement keeps the newest copy of each and flags the others."""
+    schema = scratch_schema(spark)
+    create_audit_tables(spark, schema)
+    rows = roles.readings(spark, sf)
+    rows = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns if not c.startswith("_") and c != "silver_processed_at_utc"])
+    for load in (1, 2):
+        stamped = rows.withColumn("_ingested_at_utc", F.lit(f"2026-01-0{load} 00:00:00")).withColumn("load", F.lit(load))
+        land_table(stamped, f"{schema}.meter_readings_raw", INCREMENTAL)
+        validate_new_rows(spark, rulesets.READINGS, schema, schema, schema, Build(f"run-{load}", AS_OF, "test"))
+    judged = spark.table(f"{schema}.meter_readings_verdicts")
+    return judged.groupBy("load").agg(F.count(F.lit(1)).alias("row_count"), F.count_if(rulesets.READINGS.duplicate_flag).alias("duplicates"))
+
+
+@register(
+    "empty_source",
+    """select cast(event_id as varchar) as event_id, cast(user_id as varchar) as user_id, event_type from events
+    where cast(ts as date) < date '2024-01-16'""",
+)
+def empty_source(spark, sf):
+    """The daily files of two deliveries, of which one has none yet."""
+    base = daily_files(spark, sf)
+    columns = ("event_id", "user_id", "event_type")
+    deliveries = [read_daily_files(spark, base, f"{EVENT_FILES.name}/{part}/reading_date=*/*.csv", columns, drifting=True) for part in ("early", "next")]
+    return union_by_name(deliveries).select(*columns)
+
+
 # --- streams -----------------------------------------------------------------------------
 
 
