@@ -1,4 +1,9 @@
-"""From documents to packed sequences: toxicity, exact copies, near copies, benchmark passages, packing."""
+"""From documents to packed sequences: toxicity, exact copies, near copies, benchmark passages, packing.
+
+All stages take null texts as empty and read whole texts, carry other columns along whatever their names, judge rows without a number
+and repeated rows by themselves (where one of several stays, a row with a number goes before one without), and make no rows
+of an empty table.
+"""
 
 from __future__ import annotations
 

@@ -340,6 +340,10 @@ def contaminated(
 
 
 def without_benchmark(df: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows in which no benchmark item is found, with all columns; nothing is shuffled."""
+    """The rows in which no benchmark item is found, with all columns whatever their names; nothing is shuffled.
+
+    Null and empty texts hold no item and stay. Rows without a number and repeated rows are judged by themselves. An empty
+    benchmark keeps every row, an empty table stays empty.
+    """
     blocks = indexes(df, benchmark, id_column=id_column, text_column=text_column)
     return rows_where(df, text_column, lambda: lambda text: not any(block.value.matches(text) for block in blocks))

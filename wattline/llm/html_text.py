@@ -308,7 +308,7 @@ def extract(df: DataFrame, id_column: str = "page_id", url_column: str = "url",
 
     Null and empty pages give an empty text. Broken markup is read as browsers do, roughly; a tag
     or character reference cut off at the end is no reason to stop. Every row is read by itself,
-    so rows without a number and repeated rows stay as they are.
+    so rows without a number and repeated rows stay as they are. Other columns are not looked at; an empty table gives no rows.
     """
 
     def each():

@@ -167,6 +167,7 @@ def scan(
     sorted and joined by commas; ``score``, the share of certainty: 0 without a place, else
     m / (m + 2) for the longest place with m mandatory words. Null and empty texts have no words.
     Every row is judged by itself, so rows without a number and repeated rows stay as they are.
+    Other columns are not looked at; an empty table gives no rows.
     """
 
     def each():

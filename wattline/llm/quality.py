@@ -160,7 +160,8 @@ def fit(
 ) -> Model:
     """Learn from at most ``rows`` labelled documents and ``passages`` of each, encoded on the executors.
 
-    Without labels the model scores 0.5 for all.
+    Without labels, or with an empty table, the model scores 0.5 for all. Rows without a number are not learned from; null texts are
+    empty; of repeated numbers one text is learned from. Other columns are not looked at.
     """
 
     def each():
@@ -183,7 +184,8 @@ def scored(df: DataFrame, model: Model, id_column: str = "doc_id", text_column:
     """``doc_id, score, weights``: 0 to 1, higher means better, and the attention weight of every passage.
 
     Whole texts are read. Null and empty texts have no passage and get the score of an empty bag.
-    Rows without a number and repeated rows are scored by themselves.
+    Rows without a number and repeated rows are scored by themselves. Other columns are not looked at; an empty table gives no
+    rows.
     """
 
     def each():

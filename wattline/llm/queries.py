@@ -110,6 +110,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_whitening": op13_whitening,
 }
 
+
+
+def _linked_sql(size: int, similarity: int, columns: str) -> str:
+    """Components of documents by all pairs that share a shingle; the recursion follows links to the smallest number."""
+    return rf"""
+        with recursive words as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') as w
+            from documents
+        ),
+        sets as (
+            select doc_id, case when len(w) = 0 then [] when len(w) < {size} then [array_to_string(w, ' ')]
+                else list_distinct([array_to_string(w[i : i + {size - 1}], ' ') for i in range(1, len(w) - {size - 2})]) end as s
+            from words
+        ),
+        tokens as (select doc_id, len(s) as n, unnest(s) as token from sets),
+        pairs as (
+            select a.doc_id as a, b.doc_id as b, any_value(a.n) + any_value(b.n) as total, count(*) as shared
+            from tokens a join tokens b on a.token = b.token and a.doc_id < b.doc_id group by a.doc_id, b.doc_id
+        ),
+        links as (select a, b from pairs where 100 * shared >= {similarity} * (total - shared)),
+        edges as (select a, b from links union all select b, a from links),
+        reached(doc_id, other) as (
+            select doc_id, doc_id from documents
+            union
+            select r.doc_id, e.b from reached r join edges e on r.other = e.a
+        )
+        select {columns}
+        from (select doc_id, min(other) as component_id from reached group by doc_id) c join sets using (doc_id)
+    """
+
+
 ORACLE = {
     "op3_exact_dedup": r"""
         with normal as (
@@ -123,4 +155,23 @@ ORACLE = {
                text_sha256
         from normal window same as (partition by text_sha256)
     """,
+    "op8_substring_dedup": r"""
+        with words as (
+            select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+        ),
+        places as (select doc_id, w, unnest(range(1, len(w) - 33)) as i from words),
+        windows as (select doc_id, i, array_to_string(w[i : i + 34], ' ') as run from places),
+        repeated as (select run from windows group by run having count(*) > 1),
+        covered as (
+            select doc_id, list_distinct(flatten(list(range(i, i + 35)))) as c
+            from windows join repeated using (run) group by doc_id
+        ),
+        kept as (
+            select doc_id, w, case when c is null then w else [w[i] for i in range(1, len(w) + 1) if not list_contains(c, i)] end as k
+            from words left join covered using (doc_id)
+        )
+        select doc_id, len(w) as n_words, len(w) - len(k) as n_removed, sha256(array_to_string(k, ' ')) as kept_sha256 from kept
+    """,
+    "op9_jaccard_join": _linked_sql(5, 75, "doc_id, len(s) as n_shingles, component_id"),
+    "op12_minhash": _linked_sql(4, 80, "doc_id, len(s) as n_shingles, component_id, doc_id = component_id as kept"),
 }

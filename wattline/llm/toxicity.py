@@ -311,7 +311,8 @@ def fit(
     """Learn the lexicon from at most ``rows`` labelled rows; the character model is counted over all ``docs``.
 
     Copies must not make a chance word look toxic, so documents with the same sketch count once. Without labels the lexicon is empty and all
-    scores are the same.
+    scores are the same, and so they are for an empty table. Rows without a number are counted by the character model and not
+    learned from; null texts are empty; of repeated numbers one text is learned from. Other columns are not looked at.
     """
     costs = character_model(docs, text_column)
     sample = training_rows(docs, labels, label, usable, rows, id_column, text_column).select("label", "text")
@@ -362,7 +363,8 @@ def scored(df: DataFrame, model: Model, id_column: str = "doc_id", text_column:
     """``doc_id, score`` of every row: 0 to 1, higher means likelier toxic.
 
     Whole texts are read. Null and empty texts have no words and get the rate of texts without a
-    toxic word. Rows without a number and repeated rows are scored by themselves.
+    toxic word. Rows without a number and repeated rows are scored by themselves. Other columns are not looked at; an empty
+    table gives no rows.
     """
 
     def each():
@@ -383,7 +385,11 @@ def restored(df: DataFrame, model: Model, id_column: str = "doc_id", text_column
 
 
 def without_toxic(df: DataFrame, model: Model, text_column: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The rows with a score under ``threshold``, with all columns."""
+    """The rows with a score under ``threshold``, with all columns whatever their names.
+
+    Null and empty texts have no toxic word and stay. Rows without a number and repeated rows are judged by themselves; an empty
+    table stays empty.
+    """
 
     def each():
         score = model.scorer()
