@@ -16,6 +16,7 @@ from wattline.operators.rulesets import (
     WEATHER_CONDITIONS,
 )
 
+# Which columns of which tables are checked, and how.
 STAGING_CHECKS: list[Check] = [
     *key("stg_customers", "customer_sk", "customer_id"),
     *accepted("stg_customers", "account_status", ACCOUNT_STATUSES),

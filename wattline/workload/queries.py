@@ -224,10 +224,13 @@ def billable_readings(spark, sf):
 )
 def readings_sample(spark, sf):
     """Twenty rows to look at, the first by id."""
-    shown = """reading_id meter_id customer_id reading_timestamp reading_date consumption_kwh voltage
-    reading_source meter_status region firmware_version signal_strength_dbm
-    meter_reading_quality_code silver_processed_at_utc"""
-    return roles.readings(spark, sf).select(*shown.split()).orderBy("reading_id").limit(20)
+    # The columns shown.
+    shown = (
+        "reading_id", "meter_id", "customer_id", "reading_timestamp", "reading_date", "consumption_kwh",
+        "voltage", "reading_source", "meter_status", "region", "firmware_version", "signal_strength_dbm",
+        "meter_reading_quality_code", "silver_processed_at_utc",
+    )
+    return roles.readings(spark, sf).select(*shown).orderBy("reading_id").limit(20)
 
 
 # --- columns -----------------------------------------------------------------------------
