@@ -73,7 +73,22 @@ def test_identical_copies_keep_exactly_one(spark, tmp_path):
         assert rows(flagged.groupBy("id", "dup").count()) == [("x", False, 1), ("x", True, 49), ("y", False, 1)]
 
 
-def test_a_hot_group_without_positions_is_numbered_whole(spark):
+@pytest.mark.parametrize("hot_rows", [1_000_000, 9])
+def test_a_hot_group_without_positions_gets_the_ranks_of_one_window(spark, hot_rows):
+    """A third of the rows on one key; times are unique within a key, so the ranks are known."""
+    draw = random.Random(6)
+    data = [("hot" if n % 3 == 0 else draw.choice([None, *[f"k{i}" for i in range(40)]]), T0 + timedelta(minutes=n), n) for n in range(300)]
+    draw.shuffle(data)
+    flagged = flag_duplicates(make(spark, data).repartition(4), "id", "dup", "at", "place", hot_rows=hot_rows)
+    assert flagged.columns == ["id", "at", "n", "place", "dup"]
+    ranks = expected_ranks(data)
+    assert {r.n: r.place for r in flagged.collect() if r.n in ranks} == ranks
+    if hot_rows == 9:
+        # No window holds the hot key whole: what is sorted together is a piece of at most nine rows of one file.
+        assert "_piece" in flagged._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_equal_rows_of_a_hot_group_without_positions_keep_one(spark):
     df = make(spark, [("x", T0, 1)] * 50 + [("y", T0, 1)] * 2)
     plain = flag_duplicates(df, "id", "dup", "at")
     hot = flag_duplicates(df, "id", "dup", "at", hot_rows=10)

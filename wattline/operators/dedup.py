@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.operators.skew import HOT_GROUP_ROWS, all_present, hot_keys
+from wattline.session import shared_folder
 from wattline.sources.tables import POSITION
 
 
@@ -29,26 +30,44 @@ def flag_duplicates(
 
     A key with more than ``hot_rows`` rows is numbered in pieces of bounded length: a piece
     is one time, one file and one run of positions. The number of a row is its number
-    within its piece plus the rows of all earlier pieces. Rows without ``position`` have no place
-    to be cut at; their keys are numbered whole, with the same result and more spilling.
+    within its piece plus the rows of all earlier pieces. Rows without ``position`` are
+    written to the shared folder first if a key is that large, and their places in that copy stand in for it.
     """
     key_names = [keys] if isinstance(keys, str) else list(keys)
     positions = [c for c in position if c in df.columns]
     if positions and len(positions) != len(position):
         raise ValueError(f"position columns {list(position)} are only partly present")
 
+    hot = hot_keys(df, key_names, floor=hot_rows)
+    own_places = hot is not None and not positions
+    if own_places:
+        df, positions = _placed_copy(df), list(PLACE)
     order = [F.col(newest_by).desc_nulls_last(), *[F.col(c).asc() for c in positions]]
     spread = F.xxhash64(*[F.col(c) for c in positions or df.columns])
-    hot = hot_keys(df, key_names, floor=hot_rows)
 
     keyed = all_present(key_names)
     rows = df.withColumn("_spread", F.when(~keyed, spread))
-    if hot is None or not positions:
+    if hot is None:
         groups = Window.partitionBy(*key_names, "_spread").orderBy(*order)
         ranked = rows.withColumn(rank, F.row_number().over(groups))
     else:
         ranked = _rank_in_pieces(rows, key_names, hot, newest_by, positions, order, rank, hot_rows)
-    return ranked.drop("_spread").withColumn(flag, keyed & (F.col(rank) > 1))
+    return ranked.drop("_spread", *(PLACE if own_places else ())).withColumn(flag, keyed & (F.col(rank) > 1))
+
+
+# Where a row lies in the copy of a frame that has no position columns of its own.
+PLACE = ("_place_file", "_place_row")
+
+
+def _placed_copy(df: DataFrame) -> DataFrame:
+    """The rows from a copy in the shared folder, with their places in it. They do not change when a task is repeated."""
+    folder = shared_folder(df.sparkSession, "ranked")
+    df.write.parquet(folder)
+    copy = df.sparkSession.read.schema(df.schema).parquet(folder)
+    file, row = PLACE
+    return copy.select(
+        "*", F.xxhash64(F.col("_metadata.file_path")).alias(file), F.col("_metadata.row_index").alias(row)
+    )
 
 
 def _rank_in_pieces(rows, key_names, hot, newest_by, positions, order, rank, piece_rows) -> DataFrame:
