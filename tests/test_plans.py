@@ -5,6 +5,7 @@ from comparing import rows
 from pyspark.sql import functions as F
 
 from wattline.plans import dimensions, marts
+from wattline.operators.skew import salted_lookup
 from wattline.plans.billing import billing_charges
 
 D = date(2026, 1, 1)
@@ -121,6 +122,28 @@ def test_charges(spark, plans):
     assert {r[0] for r in rows(charged, "due_date")} == {date(2026, 1, 15)}
 
 
+def test_charges_are_the_same_when_half_of_the_meters_share_a_tariff_that_is_not_broadcast(spark):
+    used = readings(spark, *[(f"C{n % 90}", f"M{n % 180}", "x", date(2026, 1, 1 + n % 5), n % 7 / 4, None, None) for n in range(900)])
+    meters = spark.createDataFrame(
+        [(f"M{n}", f"C{n % 90}", None if n % 9 == 0 else "T0" if n % 2 else f"T{n % 5}", "x") for n in range(180)],
+        "meter_id string, customer_id string, tariff_id string, region string",
+    )
+    rates = [*[(f"T{n}", 50.0 + n, 20.0 + n) for n in range(4)], (None, 1.0, 2.0), ("T1", 60.0, 30.0)]
+    tariffs = spark.createDataFrame(rates, "tariff_id string, standing_charge_pence_per_day double, unit_rate_pence_per_kwh double")
+    plain = rows(billing_charges(used, meters, tariffs))
+    assert plain == rows(billing_charges(used, meters, tariffs, broadcast_rows=0, hot_rows=50))
+    assert plain == rows(billing_charges(used, meters, tariffs, broadcast_rows=0))
+
+
+def test_rows_of_a_hot_key_are_dealt_evenly(spark):
+    made = spark.range(20_000).selectExpr("id", "case when id % 2 = 0 then 'hot' when id % 4 = 1 then null else cast(id as string) end as k")
+    lookup = spark.createDataFrame([("hot", 1), (None, 2), ("3", 3)], "k string, v int")
+    joined = salted_lookup(made, lookup, "k", broadcast_rows=0, hot_rows=100, salts=16)
+    assert rows(joined.groupBy("v").count()) == [(1, 10_000), (2, 5_000), (3, 1), (None, 4_999)]
+    shares = made.where("k = 'hot'").selectExpr("pmod(xxhash64(id, k), 16) as share").groupBy("share").count().collect()
+    assert len(shares) == 16 and max(r["count"] for r in shares) < 2 * min(r["count"] for r in shares)
+
+
 def test_regions_come_from_all_sources_without_null(spark, run):
     frames = [spark.createDataFrame([(r,) for r in names], "region string") for names in (["a", None], ["b", "a"], ["c"])]
     regions = dimensions.dim_regions(frames, run)

@@ -19,6 +19,8 @@ HOT_GROUP_ROWS = 1_000_000
 SAMPLED_ROWS_OF_A_HOT_KEY = 10_000
 # At most this many keys can be hot, because a hot key also holds at least 1/limit of all rows.
 HOT_KEY_LIMIT = 10_000
+# Into so many shares the rows of a hot key are dealt where its lookup rows are repeated.
+SALTS = 64
 
 
 def all_present(names: Sequence[str]) -> Column:
@@ -133,6 +135,42 @@ def lookup_join(
     return joined.select(*rows.columns, *[value(c) for c in added])
 
 
+def salted_lookup(
+    rows: DataFrame,
+    lookup: DataFrame,
+    on: str,
+    broadcast_rows: int = BROADCAST_ROWS,
+    hot_rows: int = HOT_GROUP_ROWS,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Left join in which null keys match each other and a lookup key may repeat.
+
+    A short lookup (counted first) is broadcast. Against a longer one, rows of a hot key, and rows without a key, get one of
+    ``salts`` numbers by their content, and the lookup rows of these keys are repeated once per number, so no task
+    gets more than a share of them. Other lookup rows stay single.
+    """
+    added = [c for c in lookup.columns if c != on]
+    partner = lookup.withColumnRenamed(on, "_to")
+    if lookup.count() <= broadcast_rows:
+        joined = rows.join(F.broadcast(partner), F.col(on).eqNullSafe(F.col("_to")), "left")
+        return joined.select(*rows.columns, *added)
+    hot = hot_keys(rows, [on], floor=hot_rows)
+    spread, repeated = F.col(on).isNull(), F.col("_to").isNull()
+    side = rows
+    if hot is not None:
+        marks = hot.select(F.col(on).alias("_hot"))
+        side = side.join(F.broadcast(marks), F.col(on) == F.col("_hot"), "left")
+        spread = spread | F.col("_hot").isNotNull()
+        partner = partner.join(F.broadcast(marks), F.col("_to") == F.col("_hot"), "left")
+        repeated = repeated | F.col("_hot").isNotNull()
+    number = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(salts)).cast("int")
+    side = side.withColumn("_salt", F.when(spread, number).otherwise(F.lit(0))).select(*rows.columns, "_salt")
+    numbers = F.when(repeated, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    partner = partner.withColumn("_number", F.explode(numbers)).select("_to", "_number", *added)
+    match = F.col(on).eqNullSafe(F.col("_to")) & (F.col("_salt") == F.col("_number"))
+    return side.join(partner, match, "left").select(*rows.columns, *added)
+
+
 def flag_unknown_keys(
     df: DataFrame,
     reference: DataFrame,

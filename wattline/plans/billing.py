@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.functions import exact_sum
-from wattline.operators.skew import broadcast_within
+from wattline.operators.skew import BROADCAST_ROWS, HOT_GROUP_ROWS, salted_lookup
 
 # The tax rate, the days until payment and the largest reading that is billed.
 VAT_RATE = "0.05"
@@ -31,10 +31,17 @@ def _pence(name: str) -> Column:
     return F.col(name).cast("decimal(12,6)") * F.lit("0.01").cast("decimal(3,2)")
 
 
-def billing_charges(readings: DataFrame, meters: DataFrame, tariffs: DataFrame) -> DataFrame:
+def billing_charges(
+    readings: DataFrame,
+    meters: DataFrame,
+    tariffs: DataFrame,
+    broadcast_rows: int = BROADCAST_ROWS,
+    hot_rows: int = HOT_GROUP_ROWS,
+) -> DataFrame:
     """Energy, standing charge and tax per day, customer and tariff, each step in whole pence.
 
-    Readings are summed per meter-day before the joins. A meter without a tariff keeps its
+    Readings are summed per meter-day before they meet the meters, and per tariff before they meet the rates; a tariff
+    that most customers have is dealt to many tasks there. A meter without a tariff keeps its
     usage with null charges.
     """
     meter_days = (
@@ -49,27 +56,21 @@ def billing_charges(readings: DataFrame, meters: DataFrame, tariffs: DataFrame)
         F.col("region").alias("_region"),
     ).distinct()
     rates = tariffs.select(
-        F.col("tariff_id").alias("_tariff"),
+        "tariff_id",
         "standing_charge_pence_per_day",
         "unit_rate_pence_per_kwh",
     ).distinct()
-    priced = meter_days.join(
+    planned = meter_days.join(
         plans,
         (F.col("meter_id") == F.col("_meter"))
         & (F.col("customer_id") == F.col("_customer"))
         & F.col("region").eqNullSafe(F.col("_region")),
         "left",
-    ).join(broadcast_within(rates), F.col("tariff_id").eqNullSafe(F.col("_tariff")), "left")
-    daily = priced.groupBy(
-        "reading_date",
-        "customer_id",
-        "tariff_id",
-        "region",
-        "standing_charge_pence_per_day",
-        "unit_rate_pence_per_kwh",
-    ).agg(F.sum("kwh").alias("kwh"))
+    )
+    daily = planned.groupBy("reading_date", "customer_id", "tariff_id", "region").agg(F.sum("kwh").alias("kwh"))
+    priced = salted_lookup(daily, rates, "tariff_id", broadcast_rows, hot_rows)
 
-    usage = daily.withColumn("kwh", F.round("kwh", 3).cast("decimal(18,3)"))
+    usage = priced.withColumn("kwh", F.round("kwh", 3).cast("decimal(18,3)"))
     charged = usage.withColumns(
         {
             "energy": _pounds(F.col("kwh") * _pence("unit_rate_pence_per_kwh")),
