@@ -6,6 +6,8 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from test_spelling import groups_by_hand
+from test_whitening import by_hand
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -24,16 +26,38 @@ def test_queries_agree_with_sql(spark, name):
 
 
 @tables
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLE])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLE and not n.startswith("op11_")])
 def test_queries_return_every_row(spark, name):
     found = QUERIES[name](spark, SF)
-    source = "pages" if "page_id" in found.columns else "documents"
-    key = "page_id" if source == "pages" else "doc_id"
+    source, key = next((t, k) for t, k in (("pages", "page_id"), ("embeddings", "vec_id"), ("documents", "doc_id")) if k in found.columns)
     numbers = {r[0] for r in found.select(key).collect()}
     wanted = {r[0] for r in spark.read.parquet(f"{SF}/{source}.parquet").select(key).collect()}
     assert numbers <= wanted if name.startswith("op4_") else numbers == wanted
 
 
+@tables
+def test_spelling_query_agrees_with_brute_force(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    found = QUERIES["op11_spelling"](spark, SF)
+    assert sorted(tuple(r) for r in found.collect()) == groups_by_hand(rows)
+
+
+@tables
+def test_whitening_query_agrees_with_dense_algebra(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    numbers, deviation, values, share = by_hand(rows)
+    place = {number: i for i, number in enumerate(numbers)}
+    found = QUERIES["op13_whitening"](spark, SF).collect()
+    assert len(found) == 8 * len(numbers) and {r.deviation - deviation[place[r.vec_id]] for r in found} == {0}
+    for c in range(1, 9):
+        mine = {r.vec_id: r.whitened for r in found if r.component == c}
+        other = {n: values[place[n], c - 1] for n in numbers}
+        direct = max(abs(mine[n] - other[n]) for n in numbers)
+        turned = max(abs(mine[n] + other[n]) for n in numbers)
+        assert min(direct, turned) < 1e-6
+    assert max(abs(r.explained / share[r.component - 1] - 1) for r in found) < 1e-4
+
+
 def test_registered_names():
     assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
