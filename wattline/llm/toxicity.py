@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import REMEMBERED, map_rows, map_tables, texts
+from wattline.llm.common import REMEMBERED, discard, map_rows, map_tables, staged, texts
 from wattline.llm.labelled import remainder, rows_where, training_rows
 from wattline.llm.license_scan import words_of
 
@@ -315,7 +315,7 @@ def fit(
     learned from; null texts are empty; of repeated numbers one text is learned from. Other columns are not looked at.
     """
     costs = character_model(docs, text_column)
-    sample = training_rows(docs, labels, label, usable, rows, id_column, text_column).select("label", "text")
+    sample = staged(training_rows(docs, labels, label, usable, rows, id_column, text_column).select("label", "text"), "toxicity-sample")
 
     def found():
         decoder = Decoder(costs.tolist())
@@ -344,17 +344,20 @@ def fit(
         return row
 
     seen = map_rows(sample, "label int, sketch long, found binary", known).collect()
+    discard(sample)
+    hits_of = [(label > 0, np.frombuffer(hits, np.int32)) for label, _, hits in seen]
+    copies = np.unique([row[1] for row in seen], return_inverse=True)[1] if seen else []
     counts = np.zeros((2, len(number)))
-    once: set[tuple] = set()
-    hits_of = [(label, copies, np.frombuffer(hits, np.int32)) for label, copies, hits in seen]
-    for label, copies, hits in hits_of:
-        if label:
-            hits = np.array([h for h in hits.tolist() if (copies, h) not in once], np.int32)
-            once.update((copies, h) for h in hits.tolist())
-        counts[int(label > 0), hits] += 1
+    for is_toxic in (False, True):
+        # A feature of toxic documents counts once for all documents with one sketch.
+        parts = [hits.astype(np.int64) + int(c) * len(number) * is_toxic for (t, hits), c in zip(hits_of, copies, strict=True) if t == is_toxic]
+        pairs = np.concatenate([np.zeros(0, np.int64), *parts]).astype(np.int64)
+        pairs = np.unique(pairs) if is_toxic else pairs
+        if len(number):
+            counts[int(is_toxic)] = np.bincount(pairs % len(number), minlength=len(number))
     precision = counts[1] / (counts.sum(axis=0) + 0.5)
     good = (precision >= LEAST_PRECISION) & (counts[1] >= least)
-    rest = [label for label, _, hits in hits_of if not good[hits].any()]
+    rest = [is_toxic for is_toxic, hits in hits_of if not good[hits].any()]
     lexicon = {feature: float(precision[i]) for feature, i in number.items() if good[i]}
     return Model(costs, lexicon, min(0.45, (sum(rest) + 0.5) / (len(rest) + 50)))
 
