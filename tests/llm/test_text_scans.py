@@ -358,3 +358,18 @@ def test_long_tokens_without_hidden_words_stay_clean():
     assert score(b"aGVsbG8xMjM0" * 20_000) < 0.1
     assert score(b"1" * 200_000 + b"a") < 0.1
     assert time.process_time() - begin < 60
+
+
+def test_words_in_reach_are_counted_for_items_together(monkeypatch):
+    rng = np.random.default_rng(3)
+    none = np.zeros(0, int)
+    items = [rng.integers(1, 30, n) for n in (5, 12, 9, 20)]
+    index = decontaminate.Index([], items, {}, none, none, np.zeros(31), none, none, none, none)
+    ids = rng.integers(0, 31, 400)
+    at = np.sort(rng.integers(0, 4, 60))
+    lows = rng.integers(0, 300, 60)
+    highs = lows + rng.integers(1, 100, 60)
+    expected = [int(np.isin(ids[a:b], items[i]).sum()) for i, a, b in zip(at, lows, highs, strict=True)]
+    for bound in (1, 1 << 22):
+        monkeypatch.setattr(decontaminate, "COUNTS", bound)
+        assert index._in_reach(ids, at, lows, highs).tolist() == expected

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import pairwise, repeat
 
 import numpy as np
@@ -31,6 +32,8 @@ WIDTH, RANK, EXTRA = 1024, 96, 16
 CLOSE, COPY, PARAPHRASE, ANSWER = 0.6, 0.75, 0.5, 0.6
 #: Items that are searched for at once. Longer benchmarks are searched in blocks of this many.
 ITEMS = 10_000
+#: Counts of words that a task holds at once where items are compared with a text.
+COUNTS = 1 << 22
 
 
 @dataclass
@@ -55,10 +58,23 @@ class Index:
 
     def directions(self, ids: np.ndarray) -> np.ndarray:
         """What each word adds to the vector of its passage; nothing if the benchmark does not have it."""
-        found = self.space.take(self.columns[ids], axis=0)
-        found *= np.where(ids > 0, self.weights[ids] * self.signs[ids], 0.0).astype(np.float32)[:, None]
+        return self._word_directions.take(ids, axis=0)
+
+    @cached_property
+    def _lengths(self) -> np.ndarray:
+        return np.fromiter(map(len, self.items), np.int64, len(self.items))
+
+    @cached_property
+    def _word_directions(self) -> np.ndarray:
+        """The direction of every word of the vocabulary, weighted; made once a task."""
+        found = self.space.take(self.columns, axis=0)
+        found *= (self.weights * self.signs).astype(np.float32)[:, None]
+        found[0] = 0.0
         return found
 
+    def __getstate__(self) -> dict:
+        return {name: value for name, value in self.__dict__.items() if name != "_word_directions"}
+
     def latent(self, rows: np.ndarray) -> np.ndarray:
         """Unit vectors of passages, given as rows of word numbers padded with 0."""
         vectors = np.zeros((len(rows), self.space.shape[1]), np.float32)
@@ -96,6 +112,26 @@ class Index:
             vectors[-1] = self.directions(ids[starts[-1] : starts[-1] + PASSAGE]).sum(axis=0)
         return vectors
 
+    def _in_reach(self, ids: np.ndarray, items: np.ndarray, lows: np.ndarray, highs: np.ndarray) -> np.ndarray:
+        """How many words between ``lows`` and ``highs`` each candidate's item has; items are in ascending order.
+
+        Items are counted together, as many as keep the counts of a long text small.
+        """
+        firsts = np.flatnonzero(np.diff(items, prepend=-1))
+        distinct, counts = items[firsts].tolist(), np.diff(np.append(firsts, len(items)))
+        found = np.empty(len(items), np.int64)
+        together = max(1, min(64, COUNTS // (len(ids) + len(self.weights))))
+        for begin in range(0, len(distinct), together):
+            part, sizes = distinct[begin : begin + together], counts[begin : begin + together]
+            flags = np.zeros((len(part), len(self.weights)), bool)
+            flags[np.repeat(np.arange(len(part)), self._lengths[part]), np.concatenate([self.items[i] for i in part])] = True
+            held = np.zeros((len(part), len(ids) + 1), np.int32)
+            np.cumsum(flags.take(ids, axis=1), axis=1, out=held[:, 1:])
+            row = np.repeat(np.arange(len(part)), sizes)
+            at = slice(firsts[begin], firsts[begin] + len(row))
+            found[at] = held[row, highs[at]] - held[row, lows[at]]
+        return found
+
     def matches(self, text: bytes) -> list[tuple[int, float, float, int, int]]:
         """Item, share covered, share of its end covered, and the begin and end word searched, best place of each item."""
         ids = self.ids(text)
@@ -103,24 +139,18 @@ class Index:
         items, begins = self.near(ids)
         if not len(items):
             return []
-        lengths = np.fromiter((len(self.items[i]) for i in items.tolist()), np.int64, len(items))
+        lengths = self._lengths[items]
         slacks = np.maximum(4, lengths // 4)
         lows, highs = np.maximum(0, begins - 2 * slacks), np.minimum(len(ids), begins + lengths + 2 * slacks)
         # No common subsequence is longer than the number of words in reach that the item has at all.
-        least, flags, held = min(COPY, PARAPHRASE) * lengths, np.zeros(len(self.weights), bool), np.zeros(len(ids) + 1, np.int64)
-        firsts = np.flatnonzero(np.diff(items, prepend=-1))
-        for first, last in pairwise([*firsts.tolist(), len(items)]):
-            item = int(items[first])
-            wanted = self.items[item]
-            flags[wanted] = True
-            np.cumsum(flags[ids], out=held[1:])
-            flags[wanted] = False
-            enough = first + np.flatnonzero(held[highs[first:last]] - held[lows[first:last]] >= least[first:last])
-            if not len(enough):
-                continue
-            wanted, slack, checked = wanted.tolist(), int(slacks[first]), set()
+        enough = np.flatnonzero(self._in_reach(ids, items, lows, highs) >= min(COPY, PARAPHRASE) * lengths)
+        firsts = np.flatnonzero(np.diff(items[enough], prepend=-1))
+        for first, last in pairwise([*firsts.tolist(), len(enough)]):
+            at = enough[first:last]
+            item = int(items[at[0]])
+            wanted, slack, checked = self.items[item].tolist(), int(slacks[at[0]]), set()
             answer = wanted[-max(3, len(wanted) // 4) :]
-            for begin, low, high in zip(begins[enough].tolist(), lows[enough].tolist(), highs[enough].tolist(), strict=True):
+            for begin, low, high in zip(begins[at].tolist(), lows[at].tolist(), highs[at].tolist(), strict=True):
                 if begin // slack in checked:
                     continue
                 checked.add(begin // slack)
