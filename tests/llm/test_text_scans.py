@@ -373,3 +373,14 @@ def test_words_in_reach_are_counted_for_items_together(monkeypatch):
     for bound in (1, 1 << 22):
         monkeypatch.setattr(decontaminate, "COUNTS", bound)
         assert index._in_reach(ids, at, lows, highs).tolist() == expected
+
+
+def test_the_driver_gets_no_row_per_training_document(spark, monkeypatch):
+    words = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta"]
+    docs = [(i, f"{words[i % 6]} {words[i % 5]} text{i} here" + (" vileword" if i % 4 == 0 else "")) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in docs], "doc_id long, toxic int")
+    kind, sizes = type(labels), []
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda self: [rows := collect(self), "doc" in str(self.columns) or "sketch" in self.columns and sizes.append(len(rows))][0])
+    model = toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string"), labels, toxicity.not_held_out())
+    assert not sizes and model.lexicon[b"vileword"] > 0.95

@@ -339,27 +339,31 @@ def fit(
         def row(label: int, text: bytes) -> Iterator[tuple]:
             words = words_of(decoder.restore(text))
             hits = {number[f] for w in set(words) for f in features(w) if f in number}
-            yield label, sketch(words), np.fromiter(hits, np.int32, len(hits)).tobytes()
+            yield label, sketch(words), sorted(hits)
 
         return row
 
-    seen = map_rows(sample, "label int, sketch long, found binary", known).collect()
+    # What the documents have is counted by Spark: the driver gets one number per feature and label.
+    seen = staged(map_rows(sample, "label int, sketch long, found array<int>", known), "toxicity-features")
     discard(sample)
-    hits_of = [(label > 0, np.frombuffer(hits, np.int32)) for label, _, hits in seen]
-    copies = np.unique([row[1] for row in seen], return_inverse=True)[1] if seen else []
+    hits_of = seen.select((F.col("label") > 0).alias("toxic"), "sketch", F.explode("found").alias("feature"))
+    # A feature of toxic documents counts once for all documents with one sketch.
+    counted = hits_of.where("not toxic").groupBy("toxic", "feature").count()
+    counted = counted.unionByName(hits_of.where("toxic").distinct().groupBy("toxic", "feature").count())
     counts = np.zeros((2, len(number)))
-    for is_toxic in (False, True):
-        # A feature of toxic documents counts once for all documents with one sketch.
-        parts = [hits.astype(np.int64) + int(c) * len(number) * is_toxic for (t, hits), c in zip(hits_of, copies, strict=True) if t == is_toxic]
-        pairs = np.concatenate([np.zeros(0, np.int64), *parts]).astype(np.int64)
-        pairs = np.unique(pairs) if is_toxic else pairs
-        if len(number):
-            counts[int(is_toxic)] = np.bincount(pairs % len(number), minlength=len(number))
+    for is_toxic, feature, n in counted.collect():
+        counts[int(is_toxic), feature] = n
     precision = counts[1] / (counts.sum(axis=0) + 0.5)
     good = (precision >= LEAST_PRECISION) & (counts[1] >= least)
-    rest = [is_toxic for is_toxic, hits in hits_of if not good[hits].any()]
+
+    def bare():
+        return lambda label, found: iter(() if good[np.array(found, np.int32)].any() else ((label,),))
+
+    rest = map_rows(seen.select("label", "found"), "label int", bare)
+    documents, toxic_ones = rest.agg(F.count(F.lit(1)), F.count_if(F.col("label") > 0)).first()
+    discard(seen)
     lexicon = {feature: float(precision[i]) for feature, i in number.items() if good[i]}
-    return Model(costs, lexicon, min(0.45, (sum(rest) + 0.5) / (len(rest) + 50)))
+    return Model(costs, lexicon, min(0.45, (toxic_ones + 0.5) / (documents + 50)))
 
 
 def scored(df: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
