@@ -120,3 +120,18 @@ def test_a_report_follows_changed_days_also_after_a_lost_run(spark, schema):
 def test_all_facts_name_columns_that_they_have():
     for fact in (growth.READINGS, growth.BILLING, growth.OUTAGES):
         assert len(fact.filled) == len(set(fact.filled)) and fact.day in [look.column for look in fact.lookups]
+
+
+def test_new_rows_are_added_without_rewriting_their_day(spark, schema):
+    table = f"{schema}.usage"
+
+    def land(*values):
+        return replace_partitions(spark, table, spark.createDataFrame(values, "id string, kwh double, day date"), "id", "day")
+
+    land(("a", 1.0, D1), ("b", 2.0, D2), ("n", 4.0, None))
+    before = files(spark, table, D1)
+    assert land(("c", 5.0, D1), ("b", 3.0, D2), ("m", 6.0, None)) == {D1, D2, None}
+    assert before < files(spark, table, D1)
+    assert land(("n", 7.0, D2)) == {None, D2}
+    assert land(("m", 8.0, D2)) == {None, D2}
+    assert rows(spark.table(table), "id", "kwh", "day") == [("a", 1.0, D1), ("b", 3.0, D2), ("c", 5.0, D1), ("m", 8.0, D2), ("n", 7.0, D2)]

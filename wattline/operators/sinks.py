@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ from wattline.session import shared_folder
 FULL, INCREMENTAL = "full", "incremental"
 VERSION_PROPERTY = "wattline.version"
 REBUILT = "__rebuilt"
+#: How Spark names the folder of the partition without a value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def create_schemas(spark: SparkSession, *names: str, location: str | None = None) -> None:
@@ -33,7 +36,7 @@ def create_table(spark: SparkSession, name: str, columns: str) -> None:
 
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
-    df.write.format("parquet").mode(mode).partitionBy(*partition_by).saveAsTable(name)
+    df.write.format("parquet").option("compression", "zstd").mode(mode).partitionBy(*partition_by).saveAsTable(name)
 
 
 def land_table(df: DataFrame, name: str, load_type: str) -> None:
@@ -101,15 +104,18 @@ def replace_partitions(
     keys: str | Sequence[str],
     partition: str,
     broadcast_rows: int = BROADCAST_ROWS,
+    among: Column | None = None,
 ) -> set:
-    """Upsert into a partitioned table, rewriting only partitions the batch touches; returns those partitions.
+    """Upsert into a partitioned table, rewriting only partitions that hold older rows of the batch; returns those it touches.
 
     The batch is evaluated once, into a folder of its own that goes away afterwards. Touched are the partitions of the batch and those that hold an older row of one of its
-    keys. Their names are read to the driver: one value per day, never per row. The new
-    content is written to the shared folder first, so the table is not read while it is
-    overwritten; it is rebalanced by partition there, which keeps files few and splits a
+    keys. Their names are read to the driver: one value per day, never per row. Partitions without an older row
+    get the new ones added; the others are rewritten. Rows are rebalanced by partition, which keeps files few and splits a
     large day. Running the same batch again gives the same table.
 
+    With ``among`` the caller states that only rows of the table for which it is true can have a key of the batch; the
+    others are kept without a join.
+
     Columns follow the batch: new ones are added to the table; when one has vanished, the
     table is rebuilt without it under another name, which reads all partitions, and takes the
     old one's place when it is complete. Null keys match each other.
@@ -117,38 +123,59 @@ def replace_partitions(
     names = [keys] if isinstance(keys, str) else list(keys)
     folder = shared_folder(spark, "batch")
     try:
-        batch.write.parquet(folder)
-        return _replace(spark, table, spark.read.schema(batch.schema).parquet(folder), names, partition, broadcast_rows)
+        return _replace(spark, table, written(batch, folder), names, partition, broadcast_rows, among)
     finally:
         remove_folder(spark, folder)
 
 
+def written(df: DataFrame, folder: str) -> DataFrame:
+    """The rows written to a folder and read again: later steps agree on them."""
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def _replace(
-    spark: SparkSession, table: str, batch: DataFrame, names: list[str], partition: str, broadcast_rows: int
+    spark: SparkSession, table: str, batch: DataFrame, names: list[str], partition: str, broadcast_rows: int, among: Column | None
 ) -> set:
     require_unique(batch, names)
     _finish_swap(spark, table)
+    arrived = {row[0] for row in batch.select(partition).distinct().collect()}
     if not spark.catalog.tableExists(table):
         save_table(batch.hint("rebalance", partition), table, "errorifexists", [partition])
-        return {row[0] for row in batch.select(partition).distinct().collect()}
-    batch_keys = batch.select(*[F.col(k).alias(f"_key_{k}") for k in names]).distinct()
-    holding_older = spark.table(table).select(*dict.fromkeys([*names, partition])).join(
-        broadcast_within(batch_keys, broadcast_rows), null_safe_match(names), "left_semi"
-    )
-    touched = {
-        row[0] for row in batch.select(partition).union(holding_older.select(partition)).distinct().collect()
-    }
-    if set(spark.table(table).columns) - set(batch.columns):
-        rebuilt = upsert(spark.table(table), batch, names, broadcast_rows)
-        save_table(rebuilt.hint("rebalance", partition), f"{table}{REBUILT}", "overwrite", [partition])
-        spark.sql(f"DROP TABLE {table}")
-        _finish_swap(spark, table)
-        return touched
-    widen(spark, table, batch.schema)
-    target = spark.table(table)
-    merged = upsert(target.filter(in_partitions(partition, touched)), _aligned(batch, target), names, broadcast_rows)
-    overwrite_partitions(spark, table, merged, partition, touched)
-    return touched
+        return arrived
+    folder = shared_folder(spark, "older")
+    try:
+        batch_keys = batch.select(*[F.col(k).alias(f"_key_{k}") for k in names])
+        rows = spark.table(table) if among is None else spark.table(table).filter(among)
+        holding_older = rows.select(*dict.fromkeys([*names, partition])).join(
+            broadcast_within(batch_keys, broadcast_rows), null_safe_match(names), "left_semi"
+        )
+        older = written(holding_older, folder)
+        rewritten = {row[0] for row in older.select(partition).distinct().collect()}
+        if set(spark.table(table).columns) - set(batch.columns):
+            rebuilt = upsert(spark.table(table), batch, names, broadcast_rows)
+            save_table(rebuilt.hint("rebalance", partition), f"{table}{REBUILT}", "overwrite", [partition])
+            spark.sql(f"DROP TABLE {table}")
+            _finish_swap(spark, table)
+            return arrived | rewritten
+        widen(spark, table, batch.schema)
+        target = spark.table(table)
+        if rewritten:
+            near = target.filter(in_partitions(partition, rewritten))
+            replaced = older.select(*[F.col(k).alias(f"_key_{k}") for k in names])
+            open_rows = near if among is None else near.filter(among)
+            kept = open_rows.join(broadcast_within(replaced, broadcast_rows), null_safe_match(names), "left_anti")
+            if among is not None:
+                kept = kept.unionByName(near.filter(~F.coalesce(among, F.lit(False))))
+            fresh = _aligned(batch.filter(in_partitions(partition, rewritten)), target)
+            overwrite_partitions(spark, table, kept.unionByName(fresh), partition, rewritten)
+        if arrived - rewritten:
+            added = _aligned(batch.filter(in_partitions(partition, arrived - rewritten)), target)
+            added.hint("rebalance", partition).write.insertInto(table)
+            spark.catalog.refreshTable(table)
+        return arrived | rewritten
+    finally:
+        remove_folder(spark, folder)
 
 
 def _finish_swap(spark: SparkSession, table: str) -> None:
@@ -168,21 +195,32 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
 def overwrite_partitions(
     spark: SparkSession, table: str, df: DataFrame, partition: str, touched: set
 ) -> None:
-    """Replace the named partitions of a table by the given rows, which may come from them."""
-    target = spark.table(table)
-    staging = shared_folder(spark, "partitions")
-    try:
-        df.select(*target.columns).hint("rebalance", partition).write.parquet(staging)
-        staged = spark.read.schema(target.schema).parquet(staging)
-        left = {row[0] for row in staged.select(partition).distinct().collect()}
-        with _dynamic_overwrite(spark):
-            staged.write.insertInto(table, overwrite=True)
-        gone = [f"PARTITION ({partition} = {'NULL' if v is None else repr(str(v))})" for v in touched - left]
-        if gone:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(gone)}")
+    """Replace the named partitions of a table by the given rows, which may come from them.
+
+    A dynamic overwrite moves its files into place when all are complete, so the rows are written once. Named partitions that
+    still have their earlier files after it got no row and are dropped.
+    """
+    before = _files(spark, table, partition, touched)
+    with _dynamic_overwrite(spark):
+        df.select(*spark.table(table).columns).hint("rebalance", partition).write.insertInto(table, overwrite=True)
+    spark.catalog.refreshTable(table)
+    after = _files(spark, table, partition, touched)
+    stale = {name for name, found in before.items() if found & after.get(name, set())}
+    gone = [f"PARTITION ({partition} = {'NULL' if v is None else repr(str(v))})" for v in touched if ("" if v is None else str(v)) in stale]
+    if gone:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(gone)}")
         spark.catalog.refreshTable(table)
-    finally:
-        remove_folder(spark, staging)
+
+
+def _files(spark: SparkSession, table: str, partition: str, values: set) -> dict[str, set[str]]:
+    """The files of the named partitions by the text of the partition's value, which is empty for the one without a value."""
+    found: dict[str, set[str]] = {}
+    for file in spark.table(table).filter(in_partitions(partition, values)).inputFiles():
+        # A folder's name has its special characters escaped, and the file's address escapes it once more.
+        name = next(part.partition("=")[2] for part in reversed(file.split("/")) if part.startswith(f"{partition}="))
+        name = unquote(unquote(name))
+        found.setdefault("" if name == NO_VALUE else name, set()).add(file)
+    return found
 
 
 def in_partitions(partition: str, values: set) -> Column:

@@ -12,12 +12,21 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.functions import LOAD_AUDIT
-from wattline.operators.sinks import create_table, in_partitions, overwrite_partitions, replace_partitions, save_table
+from wattline.operators.sinks import (
+    create_table,
+    in_partitions,
+    overwrite_partitions,
+    remove_folder,
+    replace_partitions,
+    save_table,
+    written,
+)
 from wattline.plans.build import Build
+from wattline.session import shared_folder
 
 CHANGED_DAYS = "source string, day date, run_id string"
 BUILT = "report string, run_id string"
@@ -84,19 +93,34 @@ def grow_fact(
 
     ``shape`` turns staged rows into fact rows; it is used on saved fact rows as well, whose looked-up columns are taken
     off first. Only days with a resolved key are read for that and rewritten. The pending table has one row per value and day.
+    What earlier runs wait for is resolved once; the fresh rows have just been looked up in the same dimensions.
     """
     table = f"{schema}.{fact.name}"
-    changed = replace_partitions(spark, table, shape(fresh), fact.key, fact.day)
-    _note_pending(spark, schema, fact, changed)
-    due = resolved_keys(spark, schema, fact, dimensions)
-    days = {row[0] for row in due.select("day").distinct().collect()}
-    if days:
-        repaired = _repaired(spark.table(table).filter(in_partitions(fact.day, days)), fact, due)
-        repaired = shape(repaired.drop(*fact.filled, *LOAD_AUDIT))
-        days = replace_partitions(spark, table, repaired, fact.key, fact.day)
-        _note_pending(spark, schema, fact, days)
-    log_changes(spark, schema, fact.name, changed | days, run)
-    return changed | days
+    folder = shared_folder(spark, "due")
+    try:
+        due = None
+        if spark.catalog.tableExists(_pending_table(schema, fact)):
+            due = written(resolved_keys(spark, schema, fact, dimensions), folder)
+        changed = replace_partitions(spark, table, shape(fresh), fact.key, fact.day)
+        found = [] if due is None else due.select("lookup", "day").distinct().collect()
+        days = {row.day for row in found}
+        if days:
+            looks = [look for look in fact.lookups if look.column in {row.lookup for row in found}]
+            repaired = _repaired(spark.table(table).filter(in_partitions(fact.day, days)), looks, fact.day, due)
+            repaired = shape(repaired.drop(*fact.filled, *LOAD_AUDIT))
+            filled = replace_partitions(spark, table, repaired, fact.key, fact.day, among=_lacking(looks))
+        else:
+            filled = set()
+        _note_pending(spark, schema, fact, changed | days)
+    finally:
+        remove_folder(spark, folder)
+    log_changes(spark, schema, fact.name, changed | filled, run)
+    return changed | filled
+
+
+def _lacking(looks: Sequence[Lookup]) -> Column:
+    """Rows that miss a column of these look-ups; all others wait for none of them."""
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for look in looks for c in look.gives])
 
 
 def _pending_table(schema: str, fact: GrowingFact) -> str:
@@ -151,20 +175,20 @@ def resolved_keys(spark: SparkSession, schema: str, fact: GrowingFact, dimension
     return reduce(DataFrame.unionByName, found)
 
 
-def _repaired(rows: DataFrame, fact: GrowingFact, due: DataFrame) -> DataFrame:
-    """The saved rows that wait for one of the values that are due on their day."""
+def _repaired(rows: DataFrame, looks: Sequence[Lookup], day: str, due: DataFrame) -> DataFrame:
+    """The saved rows that wait for one of the values of these look-ups that are due on their day."""
     wait = F.lit(False)
     sides = []
-    for look in fact.lookups:
+    for look in looks:
         lacks = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in look.gives])
         values = due.where(F.col("lookup") == look.column).select(
             F.col("value").alias(f"_{look.column}"), F.col("day").alias(f"_{look.column}_day"), F.lit(True).alias(f"_{look.column}_due")
         )
         sides.append((look, values))
         wait = wait | (lacks & F.coalesce(F.col(f"_{look.column}_due"), F.lit(False)))
-    joined = rows
+    joined = rows.where(_lacking(looks))
     for look, values in sides:
-        match = (F.col(look.column).cast("string") == F.col(f"_{look.column}")) & F.col(fact.day).eqNullSafe(F.col(f"_{look.column}_day"))
+        match = (F.col(look.column).cast("string") == F.col(f"_{look.column}")) & F.col(day).eqNullSafe(F.col(f"_{look.column}_day"))
         joined = joined.join(values, match, "left")
     return joined.where(wait).select(*rows.columns)
 
