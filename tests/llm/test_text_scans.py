@@ -7,6 +7,7 @@ import re
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -384,3 +385,85 @@ def test_the_driver_gets_no_row_per_training_document(spark, monkeypatch):
     monkeypatch.setattr(kind, "collect", lambda self: [rows := collect(self), "doc" in str(self.columns) or "sketch" in self.columns and sizes.append(len(rows))][0])
     model = toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string"), labels, toxicity.not_held_out())
     assert not sizes and model.lexicon[b"vileword"] > 0.95
+
+
+def test_words_are_numbered_as_they_are_cut_one_by_one(monkeypatch):
+    rng = random.Random(1)
+    known = {b"a": 1, b"bb": 2, "é".encode(): 3, b"7": 4, "漢字".encode(): 5}
+    found = [b"", None, b" ", b"  a ", b"a", b"A,bb;  7", b"\xff\xfe a \x00a", "é É a漢字 漢字".encode()]
+    found += [bytes(rng.choice(b"aAbB7 \t\n.,\xc3\xa9\x00\xff") for _ in range(rng.randrange(30))) for _ in range(300)]
+    for cut in (1, 10, 1 << 20):
+        monkeypatch.setattr(decontaminate, "CUT", cut)
+        for column in (pa.array(found, pa.binary()), pa.array([b"zz", *found], pa.binary())[1:], pa.array([], pa.binary())):
+            got = [ids.tolist() for ids in decontaminate.numbers(column, known)]
+            assert got == [[known.get(w, 0) for w in words_of(t or b"")] for t in column.to_pylist()]
+    assert [ids.tolist() for ids in decontaminate.numbers(pa.array([b"a b"], pa.binary()), {})] == [[0, 0]]
+
+
+def numbered(index, text):
+    return next(decontaminate.numbers(pa.array([text.encode()], pa.binary()), index.vocabulary))
+
+
+def test_items_left_out_before_the_comparison_are_never_found(spark, monkeypatch):
+    rng = random.Random(6)
+    items = [" ".join(f"q{min(rng.randrange(90), rng.randrange(90))}" for _ in range(rng.choice([1, 3, 10, 25, 60]))) for _ in range(40)]
+    found = []
+    for n in range(150):
+        words = [f"q{rng.randrange(90)}" if rng.random() < 0.1 * (n % 7) else f"x{rng.randrange(10**6)}" for _ in range(rng.choice([0, 5, 40, 600]))]
+        for item in rng.sample(items, n % 4):
+            changed = [w if rng.random() < 0.8 else "z" for w in item.split()]
+            at = rng.randrange(len(words) + 1)
+            words[at:at] = changed
+        found.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(found)), "doc_id long, text string")
+    index = decontaminate.build(docs, [(i, t.encode()) for i, t in enumerate(items)])
+    every = [numbered(index, text) for text in found]
+    left_out = sum(int((~index._possible(ids)).sum()) for ids in every)
+    assert left_out > len(every) * len(items) // 4
+    got = []
+    for together in (1, 3, 128):
+        monkeypatch.setattr(decontaminate, "TOGETHER", together)
+        got.append([index.matches(ids) for ids in every])
+    monkeypatch.setattr(decontaminate.Index, "_possible", lambda self, ids: np.ones(len(self.items), bool))
+    wanted = [index.matches(ids) for ids in every]
+    assert sum(map(len, wanted)) > 100 and got == [wanted] * 3
+
+
+def test_texts_that_can_hold_no_item_are_not_compared(spark, monkeypatch):
+    item = " ".join(f"b{i}" for i in range(30))
+    plain = " ".join(f"b{i % 10} other words {i}" for i in range(400))
+    docs = spark.createDataFrame([(0, plain), (1, f"{plain} {item}")], "doc_id long, text string")
+    index = decontaminate.build(docs, [(0, item.encode())])
+    compared, unit = [], decontaminate.unit
+    monkeypatch.setattr(decontaminate, "unit", lambda vectors: [compared.append(len(vectors)), unit(vectors)][1])
+    assert not index.matches(numbered(index, plain)) and not compared
+    assert index.matches(numbered(index, f"{plain} {item}"))[0][:2] == (0, 1.0) and sum(compared) <= 2 * decontaminate.TOGETHER
+
+
+def test_the_sketch_is_that_of_all_passages(spark):
+    rng = np.random.default_rng(9)
+    known = {f"w{i}".encode(): i + 1 for i in range(60)}
+    columns, values = np.append(0, rng.integers(0, 40, 60)), np.append(0.0, rng.normal(size=60))
+    found = [" ".join(f"w{rng.integers(0, 60)}" if rng.random() < n % 5 / 4 else "unknown" for _ in range(rng.integers(0, 120))) for n in range(50)]
+    dense = []
+    for text in found:
+        ids = np.array([known.get(w, 0) for w in words_of(text.encode())], int)
+        for begin in range(0, len(ids), decontaminate.PASSAGE):
+            dense.append(np.bincount(columns[ids[begin : begin + decontaminate.PASSAGE]], values[ids[begin : begin + decontaminate.PASSAGE]], decontaminate.WIDTH))
+    test = rng.normal(size=(decontaminate.WIDTH, 3))
+    docs = decontaminate.texts(spark.createDataFrame(list(enumerate(found)), "doc_id long, text string"))
+    model = spark.sparkContext.broadcast((known, columns, values))
+    rows = np.array(dense)
+    assert np.allclose(decontaminate._sketch(model, docs, test), rows.T @ (rows @ test))
+
+
+def test_passages_are_gathered_in_bounded_blocks(monkeypatch):
+    monkeypatch.setattr(decontaminate, "GATHERED", 4)
+    blocks = []
+    gathered = decontaminate.Gathered(blocks.append)
+    parts = [np.arange(16 * n, dtype=np.int32).reshape(-1, 16) + 1 for n in (0, 1, 2, 11, 3)]
+    for part in parts:
+        gathered.add(np.concatenate([part, np.zeros((2, 16), np.int32)]))
+    gathered.close()
+    gathered.close()
+    assert max(map(len, blocks)) <= 4 and np.array_equal(np.concatenate(blocks), np.concatenate(parts))

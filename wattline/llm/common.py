@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -64,9 +64,13 @@ def texts(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -
     )
 
 
-def map_rows(df: DataFrame, schema: str, each: Callable[[], Callable[..., Iterator[tuple]]]) -> DataFrame:
+def map_rows(
+    df: DataFrame, schema: str, each: Callable[[], Callable[..., Iterator[tuple]]], readers: dict[str, Callable[[pa.Array], Iterable]] | None = None
+) -> DataFrame:
     """Run ``each()`` once per task and what it returns on every row; it yields the output rows.
 
+    ``readers`` turn columns of a batch into one value per row; of other columns a row has the Python objects.
+
     Output goes back in batches of bounded size, so one long text or many outputs of a row
     never add up to a large batch. If the function has a ``finish``, that gives the last rows.
     """
@@ -76,7 +80,7 @@ def map_rows(df: DataFrame, schema: str, each: Callable[[], Callable[..., Iterat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row_of, out, held = each(), [], 0
-        for row in _results(batches, names, row_of):
+        for row in _results(batches, names, row_of, readers or {}):
             out.append(row)
             held += 64 + sum(len(v) for v in row if isinstance(v, bytes | str | list))
             if held >= BATCH_BYTES:
@@ -88,7 +92,9 @@ def map_rows(df: DataFrame, schema: str, each: Callable[[], Callable[..., Iterat
     return df.mapInArrow(run, schema)
 
 
-def map_tables(df: DataFrame, schema: str, each: Callable[[], Callable[..., Iterator[dict]]]) -> DataFrame:
+def map_tables(
+    df: DataFrame, schema: str, each: Callable[[], Callable[..., Iterator[dict]]], readers: dict[str, Callable[[pa.Array], Iterable]] | None = None
+) -> DataFrame:
     """Like ``map_rows``, but a row yields columns (dicts of numpy arrays or lists) with many output rows each."""
     shipped(df.sparkSession)
     arrow = _arrow_schema(df.sparkSession, schema)
@@ -96,7 +102,7 @@ def map_tables(df: DataFrame, schema: str, each: Callable[[], Callable[..., Iter
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row_of, out, held = each(), [], 0
-        for columns in _results(batches, names, row_of):
+        for columns in _results(batches, names, row_of, readers or {}):
             arrays = [pa.array(columns[f.name], f.type) for f in arrow]
             out.append(pa.RecordBatch.from_arrays(arrays, schema=arrow))
             held += 256 + out[-1].nbytes
@@ -109,14 +115,18 @@ def map_tables(df: DataFrame, schema: str, each: Callable[[], Callable[..., Iter
     return df.mapInArrow(run, schema)
 
 
-def _results(batches: Iterator[pa.RecordBatch], names: list[str], row_of: Callable) -> Iterator:
+def _results(batches: Iterator[pa.RecordBatch], names: list[str], row_of: Callable, readers: dict[str, Callable[[pa.Array], Iterable]]) -> Iterator:
     for batch in batches:
-        for values in zip(*(batch.column(name) for name in names), strict=True):
-            yield from row_of(*(v.as_py() for v in values))
+        for values in zip(*(readers.get(name, _objects)(batch.column(name)) for name in names), strict=True):
+            yield from row_of(*values)
     if hasattr(row_of, "finish"):
         yield from row_of.finish()
 
 
+def _objects(column: pa.Array) -> Iterator:
+    return (v.as_py() for v in column)
+
+
 def _joined(parts: list[pa.RecordBatch], schema: pa.Schema) -> pa.RecordBatch:
     merged = pa.Table.from_batches(parts, schema).combine_chunks().to_batches()
     return merged[0] if merged else pa.RecordBatch.from_arrays([pa.array([], f.type) for f in schema], schema=schema)

@@ -10,19 +10,21 @@ answer stands, so that paraphrases are caught as well.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
-from itertools import pairwise, repeat
+from itertools import pairwise
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattline.llm.common import map_rows, map_tables, texts
 from wattline.llm.labelled import rows_where
-from wattline.llm.license_scan import words_of
+from wattline.llm.license_scan import WORDS, words_of
 
 #: Words of a passage; passages begin at every ``STEP`` words, windows of an item at every ``ITEM_STEP``.
 PASSAGE, STEP, ITEM_STEP = 16, 8, 4
@@ -34,6 +36,10 @@ CLOSE, COPY, PARAPHRASE, ANSWER = 0.6, 0.75, 0.5, 0.6
 ITEMS = 10_000
 #: Counts of words that a task holds at once where items are compared with a text.
 COUNTS = 1 << 22
+#: Passages of a text that are compared at once, and passages that a task gathers before it adds them up.
+TOGETHER, GATHERED = 128, 30_000
+#: Bytes of texts that are cut into words at once, or one text.
+CUT = 1 << 20
 
 
 @dataclass
@@ -51,11 +57,6 @@ class Index:
     query_item: np.ndarray
     query_offset: np.ndarray
 
-    def ids(self, text: bytes) -> np.ndarray:
-        """The number of every word; 0 for words that the benchmark does not have."""
-        words = words_of(text)
-        return np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int32, len(words))
-
     def directions(self, ids: np.ndarray) -> np.ndarray:
         """What each word adds to the vector of its passage; nothing if the benchmark does not have it."""
         return self._word_directions.take(ids, axis=0)
@@ -64,6 +65,19 @@ class Index:
     def _lengths(self) -> np.ndarray:
         return np.fromiter(map(len, self.items), np.int64, len(self.items))
 
+    @cached_property
+    def _slacks(self) -> np.ndarray:
+        """By how many words an item's place in a text may be off."""
+        return np.maximum(4, self._lengths // 4)
+
+    @cached_property
+    def _holders(self) -> tuple[np.ndarray, np.ndarray]:
+        """The items that have word 0, then word 1 and so on, each as often as it has the word, and where each word's items begin."""
+        words = np.concatenate(self.items)
+        order = np.argsort(words)
+        holders = np.repeat(np.arange(len(self.items)), self._lengths)[order]
+        return holders, np.searchsorted(words[order], np.arange(len(self.weights) + 1))
+
     @cached_property
     def _word_directions(self) -> np.ndarray:
         """The direction of every word of the vocabulary, weighted; made once a task."""
@@ -83,20 +97,43 @@ class Index:
         return unit(vectors)
 
     def near(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Candidates in ascending order: items and where in the text they would begin. Every passage is compared."""
-        starts = passage_starts(len(ids), STEP)
-        keys = [np.empty(0, np.int64)]
+        """Candidates in ascending order: items and where in the text they would begin.
+
+        Every passage is compared with the windows of all items that can be found near it (``_possible``).
+        """
+        starts = passage_starts(len(ids), STEP) if len(self.items) else []
+        keys = []
         # Beginnings may lie before the text; a key is the item's number times the span, plus the shifted beginning.
         shift = int(self.query_offset.max(initial=0))
         span = len(ids) + shift + 1
-        for begin in range(0, len(starts), 512):
-            part = starts[begin : begin + 512]
-            cosines = unit(self._passages(ids, part)) @ self.queries.T
-            passage, query = np.divmod(np.flatnonzero(cosines >= CLOSE), max(1, len(self.queries)))
+        # Of an item's candidates within one slack ``matches`` checks the first, so this looks one slack further than it does:
+        # where the first is left out, none of them could be found.
+        reach = int((self._lengths + 3 * self._slacks).max(initial=0))
+        for begin in range(0, len(starts), TOGETHER):
+            part = starts[begin : begin + TOGETHER]
+            possible = self._possible(ids[max(0, part[0] - reach) : part[-1] + reach])
+            windows = np.flatnonzero(possible[self.query_item])
+            if not len(windows):
+                continue
+            cosines = unit(self._passages(ids, part)) @ self.queries[windows].T
+            passage, query = np.divmod(np.flatnonzero(cosines >= CLOSE), len(windows))
+            query = windows[query]
             keys.append(self.query_item[query] * span + part[passage] - self.query_offset[query] + shift)
-        items, begins = np.divmod(np.unique(np.concatenate(keys)), span)
+        items, begins = np.divmod(np.unique(np.concatenate(keys)) if keys else np.empty(0, np.int64), span)
         return items, begins - shift
 
+    def _possible(self, ids: np.ndarray) -> np.ndarray:
+        """Whether each item can be found in these words at all: enough of its words occur there, in whatever order.
+
+        No common subsequence is longer than that, so what is left out here would fail the check of ``matches``.
+        """
+        holders, begins = self._holders
+        words = np.flatnonzero(np.bincount(ids))
+        words = words[words > 0]
+        counts = begins[words + 1] - begins[words]
+        at = np.arange(counts.sum()) + np.repeat(begins[words] - np.cumsum(counts) + counts, counts)
+        return np.bincount(holders[at], minlength=len(self.items)) >= min(COPY, PARAPHRASE) * self._lengths
+
     def _passages(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Vectors of passages in a row, put together from runs of ``STEP`` words; only the last may lie off the grid."""
         aligned = starts[starts % STEP == 0]
@@ -132,15 +169,13 @@ class Index:
             found[at] = held[row, highs[at]] - held[row, lows[at]]
         return found
 
-    def matches(self, text: bytes) -> list[tuple[int, float, float, int, int]]:
+    def matches(self, ids: np.ndarray) -> list[tuple[int, float, float, int, int]]:
         """Item, share covered, share of its end covered, and the begin and end word searched, best place of each item."""
-        ids = self.ids(text)
         best: dict[int, tuple] = {}
         items, begins = self.near(ids)
         if not len(items):
             return []
-        lengths = self._lengths[items]
-        slacks = np.maximum(4, lengths // 4)
+        lengths, slacks = self._lengths[items], self._slacks[items]
         lows, highs = np.maximum(0, begins - 2 * slacks), np.minimum(len(ids), begins + lengths + 2 * slacks)
         # No common subsequence is longer than the number of words in reach that the item has at all.
         enough = np.flatnonzero(self._in_reach(ids, items, lows, highs) >= min(COPY, PARAPHRASE) * lengths)
@@ -172,7 +207,53 @@ def passage_starts(words: int, step: int) -> np.ndarray:
     """Begins of passages; the last one reaches the end of the text."""
     if not words:
         return np.empty(0, np.int64)
-    return np.unique(np.append(np.arange(0, max(1, words - PASSAGE + 1), step), max(0, words - PASSAGE)))
+    starts, last = np.arange(0, max(1, words - PASSAGE + 1), step), max(0, words - PASSAGE)
+    return starts if starts[-1] == last else np.append(starts, last)
+
+
+def numbers(column: pa.Array, vocabulary: dict[bytes, int]) -> Iterator[np.ndarray]:
+    """The numbers of the words (``words_of``) of each text, cut and looked up for many texts at once; 0 for words not in the vocabulary."""
+    known = pa.array(list(vocabulary), pa.binary()).view(pa.string())
+    number = np.array([0, *vocabulary.values()], np.int32)
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    begin = 0
+    while begin < len(column):
+        end = max(begin + 1, int(np.searchsorted(sizes, CUT + (sizes[begin - 1] if begin else 0), "right")))
+        texts = [(t or b"").translate(WORDS) for t in column[begin:end].to_pylist()]
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).view(pa.string()))
+        words = split.flatten()
+        found = pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy(zero_copy_only=False)
+        held = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0  # white space at the ends of a text leaves empty words
+        ids, bounds = number[found[held] + 1], np.append(0, np.cumsum(held))[split.offsets.to_numpy()]
+        for first, last in pairwise(bounds.tolist()):
+            yield ids[first:last]
+        begin = end
+
+
+def _cut(ids: np.ndarray) -> np.ndarray:
+    """Passages one after the other, as rows of word numbers padded with 0."""
+    padded = np.zeros(-(-len(ids) // PASSAGE) * PASSAGE, ids.dtype)
+    padded[: len(ids)] = ids
+    return padded.reshape(-1, PASSAGE)
+
+
+class Gathered:
+    """The passages of a task with words of the benchmark; ``settle`` gets them in blocks of bounded size."""
+
+    def __init__(self, settle: Callable[[np.ndarray], None]):
+        self.settle, self.waiting, self.count = settle, [], 0
+
+    def add(self, rows: np.ndarray) -> None:
+        self.waiting.append(rows[rows.any(axis=1)])
+        self.count += len(self.waiting[-1])
+        if self.count >= GATHERED:
+            self.close()
+
+    def close(self) -> None:
+        rows = np.concatenate(self.waiting) if self.waiting else []
+        self.waiting, self.count = [], 0
+        for begin in range(0, len(rows), GATHERED):
+            self.settle(rows[begin : begin + GATHERED])
 
 
 def _rows(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -187,10 +268,9 @@ def common_length(a: list[int], b: list[int]) -> int:
         if x:
             places[x] = places.get(x, 0) | 1 << i
     row, full = 0, (1 << len(a)) - 1
-    for x in b:
-        if x in places:
-            either = row | places[x]
-            row = either & ~(either - (row << 1 | 1)) & full
+    for at in filter(None, map(places.get, b)):
+        either = row | at
+        row = either & ~(either - (row << 1 | 1)) & full
     return row.bit_count()
 
 
@@ -198,29 +278,33 @@ def _terms(vocabulary: Broadcast, docs: DataFrame) -> tuple[np.ndarray, int]:
     """In how many passages each term occurs, over all documents, and the number of passages."""
 
     def each():
-        known = vocabulary.value
-        counts, passages = np.zeros(len(known) + 1, np.int64), 0
+        counts, passages = np.zeros(len(vocabulary.value) + 1, np.int64), 0
 
-        def row(_: int | None, text: bytes) -> Iterator[dict]:
-            nonlocal passages
-            words = words_of(text)
-            ids = np.fromiter(map(known.get, words, repeat(0)), np.int32, len(words))
-            starts = np.arange(0, len(ids), PASSAGE)
-            rows = np.sort(_rows(ids, starts), axis=1)
+        def settle(rows: np.ndarray) -> None:
+            rows = np.sort(rows, axis=1)
             first = np.ones(rows.shape, bool)
             first[:, 1:] = rows[:, 1:] != rows[:, :-1]
             counts[:] += np.bincount(rows[first], minlength=len(counts))
-            passages += len(starts)
+
+        gathered = Gathered(settle)
+
+        def row(_: int | None, ids: np.ndarray) -> Iterator[dict]:
+            nonlocal passages
+            rows = _cut(ids)
+            gathered.add(rows)
+            passages += len(rows)
             return iter(())
 
         def finish() -> Iterator[dict]:
+            gathered.close()
             seen = np.flatnonzero(counts)
             yield {"term": np.append(seen, -1), "n": np.append(counts[seen], passages)}
 
         row.finish = finish
         return row
 
-    rows = map_tables(docs, "term long, n long", each).groupBy("term").agg(F.sum("n").alias("n")).collect()
+    readers = {"text": lambda column: numbers(column, vocabulary.value)}
+    rows = map_tables(docs, "term long, n long", each, readers).groupBy("term").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(len(vocabulary.value) + 1)
     for term, n in rows:
         if term >= 0:
@@ -238,34 +322,32 @@ def _sketch(model: Broadcast, docs: DataFrame, test: np.ndarray) -> np.ndarray:
     shared = spark.sparkContext.broadcast(test)
 
     def each():
-        vocabulary, columns, values = model.value
-        gram = np.zeros((WIDTH, WIDTH))
-        waiting: list[np.ndarray] = []
-
-        def settle() -> None:
-            rows = np.concatenate(waiting)
-            waiting.clear()
-            at, weight = columns[rows].astype(np.int32), values[rows]
-            for shift in range(PASSAGE // 2 + 1):  # the other shifts are the transposes of these
-                weighted = weight * np.roll(weight, shift, axis=1)
-                used = weighted != 0
-                cells = (at * WIDTH + np.roll(at, shift, axis=1))[used]
-                found = np.bincount(cells, weighted[used], WIDTH * WIDTH).reshape(WIDTH, WIDTH)
-                gram[:] += found if shift in (0, PASSAGE // 2) else found + found.T
-
-        def row(_: int | None, text: bytes) -> Iterator[dict]:
-            words = words_of(text)
-            ids = np.fromiter(map(vocabulary.get, words, repeat(0)), np.int32, len(words))
-            if ids.any():
-                rows = _rows(ids, np.arange(0, len(ids), PASSAGE))
-                waiting.append(rows[(rows > 0).any(axis=1)])
-                if sum(map(len, waiting)) > 50_000:
-                    settle()
+        _, columns, values = model.value
+        above, diagonal = np.zeros(WIDTH * WIDTH), np.zeros(WIDTH)  # pairs of words in one order only, and words with themselves
+
+        def settle(rows: np.ndarray) -> None:
+            sizes = np.count_nonzero(rows, axis=1)
+            cells, products = [], []
+            for size in range(1, PASSAGE + 1):  # passages with as many known words, without the unknown ones
+                words = rows[sizes == size]
+                words = words[words > 0].reshape(-1, size)
+                at, weight = columns[words], values[words]
+                diagonal[:] += np.bincount(at.ravel(), (weight**2).ravel(), WIDTH)
+                left, right = np.triu_indices(size, 1)
+                cells.append((at[:, left] * WIDTH + at[:, right]).ravel())
+                products.append((weight[:, left] * weight[:, right]).ravel())
+            above[:] += np.bincount(np.concatenate(cells), np.concatenate(products), WIDTH * WIDTH)
+
+        gathered = Gathered(settle)
+
+        def row(_: int | None, ids: np.ndarray) -> Iterator[dict]:
+            gathered.add(_cut(ids))
             return iter(())
 
         def finish() -> Iterator[dict]:
-            if waiting:
-                settle()
+            gathered.close()
+            gram = above.reshape(WIDTH, WIDTH)
+            gram = gram + gram.T + np.diag(diagonal)
             product = (gram @ shared.value).ravel()
             if product.any():
                 yield {"cell": np.arange(product.size), "value": product}
@@ -273,7 +355,8 @@ def _sketch(model: Broadcast, docs: DataFrame, test: np.ndarray) -> np.ndarray:
         row.finish = finish
         return row
 
-    sums = map_tables(docs, "cell long, value double", each).groupBy("cell").agg(F.sum("value").alias("value")).collect()
+    readers = {"text": lambda column: numbers(column, model.value[0])}
+    sums = map_tables(docs, "cell long, value double", each, readers).groupBy("cell").agg(F.sum("value").alias("value")).collect()
     found = np.zeros(test.size)
     for cell, value in sums:
         found[cell] = value
@@ -344,6 +427,16 @@ def indexes(docs: DataFrame, benchmark: DataFrame, item_column: str = "item_id",
     return [context.broadcast(build(docs, block, id_column, text_column)) for block in blocks]
 
 
+def _numbers_by_block(blocks: list[Broadcast]) -> Callable[[pa.Array], Iterator[list[np.ndarray]]]:
+    """For each text its word numbers in every block."""
+
+    def read(column: pa.Array) -> Iterator[list[np.ndarray]]:
+        found = [numbers(column, block.value.vocabulary) for block in blocks]
+        return ([next(ids) for ids in found] for _ in range(len(column)))
+
+    return read
+
+
 def contaminated(
     df: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -357,16 +450,16 @@ def contaminated(
     blocks = indexes(df, benchmark, id_column=id_column, text_column=text_column)
 
     def each():
-        def row(doc_id: int | None, text: bytes) -> Iterator[tuple]:
-            for block in blocks:
+        def row(doc_id: int | None, numbered: list[np.ndarray]) -> Iterator[tuple]:
+            for block, ids in zip(blocks, numbered, strict=True):
                 index = block.value
-                for item, covered, answer, begin, end in index.matches(text):
+                for item, covered, answer, begin, end in index.matches(ids):
                     yield doc_id, index.numbers[item], covered, answer, begin, end
 
         return row
 
     schema = "doc_id long, item_id long, covered double, answer double, begin long, end long"
-    return map_rows(texts(df, id_column, text_column), schema, each)
+    return map_rows(texts(df, id_column, text_column), schema, each, {"text": _numbers_by_block(blocks)})
 
 
 def without_benchmark(df: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -376,4 +469,8 @@ def without_benchmark(df: DataFrame, benchmark: DataFrame, id_column: str = "doc
     benchmark keeps every row, an empty table stays empty.
     """
     blocks = indexes(df, benchmark, id_column=id_column, text_column=text_column)
-    return rows_where(df, text_column, lambda: lambda text: not any(block.value.matches(text) for block in blocks))
+
+    def each():
+        return lambda numbered: not any(block.value.matches(ids) for block, ids in zip(blocks, numbered, strict=True))
+
+    return rows_where(df, text_column, each, _numbers_by_block(blocks))
