@@ -40,6 +40,20 @@ def test_long_lookup_is_not_broadcast_whole(spark, facts, lookup):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("hot_rows", [1_000_000, 50])
+def test_long_lookup_from_small_files_is_not_broadcast(facts, lookup, tmp_path, spark, hot_rows):
+    """Saved keys take few bytes in their files; that says nothing about the memory they need."""
+    lookup.write.option("compression", "zstd").parquet(str(tmp_path / "keys"))
+    saved = spark.read.schema(lookup.schema).parquet(str(tmp_path / "keys"))
+    joined = lookup_join(facts, saved, "k", 0, hot_rows)
+    flagged = flag_unknown_keys(facts, saved, "k", "unknown", 0)
+    for made in (joined, flagged) if hot_rows > 50 else (joined,):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        # Only the hot keys may be broadcast.
+        assert plan.count("BroadcastHashJoin") == (hot_rows == 50) and "SortMergeJoin" in plan
+    assert rows(joined) == rows(facts.join(lookup, "k", "left").select("n", "k", "v"))
+
+
 @pytest.mark.parametrize("broadcast_rows", [1000, 0])
 @pytest.mark.parametrize("hot_rows", [1_000_000, 50])
 def test_unknown_keys_are_flagged_and_null_keys_pass(spark, facts, lookup, broadcast_rows, hot_rows):

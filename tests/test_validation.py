@@ -1,6 +1,7 @@
 """Judging load by load gives what judging the whole landing table gives."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -157,6 +158,36 @@ def test_growth_equals_a_full_run_when_references_change(spark, tmp_path):
     assert build(3).as_of not in {r[0] for r in times.collect()}
 
 
+def test_many_changed_keys_and_marks_are_not_broadcast(spark, monkeypatch):
+    """Reference keys and marks are saved in small files, whatever memory their rows need."""
+    plans, write = {}, validation._written
+
+    def noted(df, purpose):
+        plans.setdefault(purpose, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, purpose)
+
+    monkeypatch.setattr(validation, "_written", noted)
+    monkeypatch.setattr(validation, "BROADCAST_ROWS", -1)
+    draw, schema = random.Random(5), "many_keys"
+    create_schemas(spark, schema)
+    create_audit_tables(spark, schema)
+    publish(spark.createDataFrame([("T1",)], "tariff_id string"), f"{schema}.tariffs_clean", "t")
+    for number, customers in enumerate((["C1", "C1", "C2", None], ["C2", "C3", "C3", None])):
+        publish(spark.createDataFrame([(c,) for c in customers], "customer_id string"), f"{schema}.customers_clean", f"r{number}")
+        new = spark.createDataFrame(bills(draw, number), BILL_COLUMNS).coalesce(1)
+        new = new.selectExpr("*", *[f"cast(null as string) as {c}" for c in BILLING.casts if c not in new.columns])
+        land_table(new, f"{schema}.billing_events_raw", "incremental")
+        if number:
+            rule = next(r for r in BILLING.rules if r.column == "customer_id" and r.reference)
+            references = {rule.reference: spark.table(f"{schema}.customers_clean")}
+            moved = validation._changed_keys(spark, f"{schema}.billing_events_verdicts", rule, references)
+            assert rows(moved) == [("C1",), ("C3",)]
+        validate_new_rows(spark, BILLING, schema, schema, schema, build(number))
+    assert "Join" not in "".join(plans["changed-keys"])
+    assert not [p for p in plans["marked"] if re.search("BroadcastHashJoin[^\n]* LeftOuter", p)]
+    assert all(re.search("SortMergeJoin[^\n]* LeftOuter", p) for p in plans["marked"])
+
+
 def test_many_new_files_are_joined(spark, monkeypatch):
     monkeypatch.setattr(validation, "LISTED_FILES", 0)
     schema = "many_files"

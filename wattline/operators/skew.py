@@ -84,7 +84,9 @@ def lookup_join(
     * A short lookup (counted first) is broadcast, so ``rows`` is not shuffled at all.
     * Against a long lookup, hot keys get their values from a broadcast of just those keys.
       Their rows, and rows without a key, then need no partner: they are spread by their
-      content over all tasks, while the other rows are shuffled to their key.
+      content over all tasks, while the other rows are shuffled to their key. Spark is told to
+      merge: it estimates a saved table by its compressed files, where millions of keys take
+      a few MB, and would send them all through the driver.
 
     ``rows`` is read once in either case. ``lookup_rows`` gives a row count that was measured
     already, for instance that of the saved table from which the lookup is derived row by row.
@@ -125,7 +127,7 @@ def lookup_join(
     for i in range(1, len(keys)):
         match = match & (F.col(f"_on_{i}") == F.col(f"_to_{i}"))
     match = match & (F.col("_spread") == F.col("_zero"))
-    joined = side.join(partner, match, "left")
+    joined = side.join(partner.hint("merge"), match, "left")
 
     def value(name: str) -> Column:
         if hot is None:

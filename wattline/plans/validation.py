@@ -135,8 +135,12 @@ def _rows_of_files(raw: DataFrame, files: DataFrame) -> DataFrame:
     return with_position(raw).join(wanted, POSITION[0], "left_semi")
 
 
+def _reference_rows(references: Mapping[str, DataFrame], rule: Rule) -> DataFrame:
+    return references[rule.reference].select(rule.column).where(F.col(rule.column).isNotNull())
+
+
 def _reference_keys(references: Mapping[str, DataFrame], rule: Rule) -> DataFrame:
-    return references[rule.reference].select(rule.column).where(F.col(rule.column).isNotNull()).distinct()
+    return _reference_rows(references, rule).distinct()
 
 
 def _key_table(table: str, rule: Rule) -> str:
@@ -144,14 +148,18 @@ def _key_table(table: str, rule: Rule) -> str:
 
 
 def _changed_keys(spark: SparkSession, table: str, rule: Rule, references: Mapping[str, DataFrame]) -> DataFrame:
-    """The keys that came into a reference table or left it since the last finished run."""
-    now = _reference_keys(references, rule)
+    """The keys that came into a reference table or left it since the last finished run.
+
+    They are grouped, not joined: each table is read and shuffled once, and no side can be broadcast.
+    """
     name = _key_table(table, rule)
     if not spark.catalog.tableExists(name):
-        return now
-    before = spark.table(name)
-    came, left = now.join(before, rule.column, "left_anti"), before.join(now, rule.column, "left_anti")
-    return _written(came.unionByName(left), "changed-keys")
+        return _reference_keys(references, rule)
+    now, before = _reference_rows(references, rule), spark.table(name)
+    sides = now.withColumn("_now", F.lit(True)).unionByName(before.withColumn("_now", F.lit(False)))
+    seen = sides.groupBy(rule.column).agg(F.bool_or("_now").alias("_is"), F.bool_and("_now").alias("_only"))
+    # In one of the two tables alone: now only, or not now.
+    return _written(seen.filter("_only or not _is").select(rule.column), "changed-keys")
 
 
 def _all_verdicts(flagged: DataFrame, rules: RuleSet, run: Build) -> DataFrame:
@@ -203,7 +211,8 @@ def _judge_growth(
 
     marks = marks.drop("_day")
     short = marks.count() <= BROADCAST_ROWS
-    near = known.filter(in_partitions(day, touched)).join(F.broadcast(marks) if short else marks, list(POSITION), "left")
+    marks = F.broadcast(marks) if short else marks.hint("merge")
+    near = known.filter(in_partitions(day, touched)).join(marks, list(POSITION), "left")
     near = near.fillna(False, ["_renewed", "_due"])
     if not short:
         near = _written(near, "marked")
